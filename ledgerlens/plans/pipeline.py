@@ -133,3 +133,27 @@ def _apply_unpartitioned(warehouse: Warehouse, part: MappingResult, data: DataFr
     ).withColumn("as_of_date", F.lit(as_of).cast("date"))
     warehouse.upsert("meta.load_log", log, LOAD_LOG_KEY, partition_col=None)
     return n
+
+
+def load_log_frame(p: Pipeline) -> DataFrame:
+    """SNK-4 as a query: rows each load mapping writes for the run date.
+
+    One aggregate per mapping, unioned into a single job; the counts are the
+    rows the mapping produced (ledger Q2), not the target's total size.
+    """
+    from pyspark.sql import functions as F
+    from ledgerlens.schemas import ENTITY_SCHEMAS, conform
+    frames = []
+    for name, ld in p.loads.items():
+        for part in ld.parts:
+            m = part.mapping
+            frames.append(conform(part.data, ENTITY_SCHEMAS[name])
+                          .agg(F.count(F.lit(1)).alias("rows_loaded"))
+                          .select(F.lit(m.rule_id).alias("rule_id"),
+                                  F.lit(m.target).alias("target"),
+                                  F.lit(p.as_of).cast("date").alias("as_of_date"),
+                                  "rows_loaded"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
