@@ -229,3 +229,35 @@ def _(spark, sf):
     return analysis.count_rows(
         analysis.hierarchy_divergence(c["party_hierarchy"], c["party"], AS_OF),
         "divergent_parties")
+
+
+# ------------------------------------------------------------------ integrity checks
+from ledgerlens.operators import checks  # noqa: E402
+
+
+@query("chk_canonical")
+def _(spark, sf):
+    return checks.check_canonical(pipeline(spark, sf).canon, AS_OF)
+
+
+@query("chk_finance")
+def _(spark, sf):
+    p = pipeline(spark, sf)
+    return checks.check_finance(p.reports.fin_detail.data, p.reports.fin_by_sector.data,
+                                p.canon["arrangement"], p.canon["trade_event"], AS_OF)
+
+
+@query("chk_risk")
+def _(spark, sf):
+    p = pipeline(spark, sf)
+    r = p.reports
+    return checks.check_risk(r.ccr_trade.data, r.ccr_netting_set.data, r.rec_netting.data,
+                             p.canon["arrangement"], p.canon["trade_event"],
+                             p.canon["collateral"], p.canon["collateral_allocation"], AS_OF)
+
+
+@query("chk_reconciliation")
+def _(spark, sf):
+    r = pipeline(spark, sf).reports
+    return checks.check_reconciliation(r.rec_detail, r.fin_detail.data, r.ccr_trade.data,
+                                       r.rec_disagreement.data)
