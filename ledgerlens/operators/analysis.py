@@ -19,15 +19,26 @@ def _round0(c):
 
 
 def four_measures(fin_detail: DataFrame, sets: DataFrame) -> DataFrame:
-    """ANL-1: the same book through two lenses, four rounded totals."""
-    def one(df: DataFrame, label: str, col: str) -> DataFrame:
-        return df.agg(_round0(F.sum(col)).alias("amount")) \
-                 .select(F.lit(label).alias("measure"), "amount")
-    deriv = fin_detail.where(F.col("product_family") == "DERIVATIVE")
-    return (one(deriv, MEASURE_FIN_ASSETS, "asset_carrying_amount")
-            .unionByName(one(fin_detail, MEASURE_FIN_LIABILITIES, "liability_fair_value"))
-            .unionByName(one(sets, MEASURE_RISK_GROSS, "gross_replacement_cost"))
-            .unionByName(one(sets, MEASURE_RISK_EAD, "exposure_at_default")))
+    """ANL-1: the same book through two lenses, four rounded totals.
+
+    One aggregate pass over each input (conditional sums), then the two
+    single-row results are unpivoted into four labelled rows.
+    """
+    fin = fin_detail.agg(
+        F.sum(F.when(F.col("product_family") == "DERIVATIVE", F.col("asset_carrying_amount")))
+         .cast("decimal(38,2)").alias("a"),
+        F.sum("liability_fair_value").cast("decimal(38,2)").alias("b"))
+    risk = sets.agg(F.sum("gross_replacement_cost").cast("decimal(38,6)").alias("a"),
+                    F.sum("exposure_at_default").cast("decimal(38,6)").alias("b"))
+
+    def unpivot(df: DataFrame, label_a: str, label_b: str) -> DataFrame:
+        return df.select(F.explode(F.array(
+            F.struct(F.lit(label_a).alias("measure"), _round0(F.col("a")).alias("amount")),
+            F.struct(F.lit(label_b).alias("measure"), _round0(F.col("b")).alias("amount")),
+        )).alias("m")).select("m.measure", "m.amount")
+
+    return (unpivot(fin, MEASURE_FIN_ASSETS, MEASURE_FIN_LIABILITIES)
+            .unionByName(unpivot(risk, MEASURE_RISK_GROSS, MEASURE_RISK_EAD)))
 
 
 def population_differences(rec_population: DataFrame) -> DataFrame:

@@ -14,12 +14,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import canonical, finance, identity, reconcile, risk
 from ledgerlens.operators.canonical import Load
 from ledgerlens.plans.mapping import Mapping, MappingResult, lineage_frame
 from ledgerlens.plans.warehouse import Warehouse
-from ledgerlens.schemas import PRIMARY_KEYS
+from ledgerlens.schemas import ENTITY_SCHEMAS, PRIMARY_KEYS, conform
 
 
 @dataclass
@@ -51,6 +52,7 @@ class Pipeline:
     canon: dict[str, DataFrame]
     reports: Reports | None = None
     extra_mappings: list[Mapping] = field(default_factory=list)
+    written_load_log: DataFrame | None = None
 
     def mappings(self) -> list[Mapping]:
         out = [m for ld in self.loads.values() for m in ld.mappings]
@@ -61,6 +63,19 @@ class Pipeline:
     def lineage(self) -> DataFrame:
         return lineage_frame(self.spark, self.mappings())
 
+    def persist(self) -> "Pipeline":
+        """Cache the shared intermediates (idempotent)."""
+        from pyspark import StorageLevel
+        frames = [self.xref, *self.canon.values()]
+        if self.reports is not None:
+            r = self.reports
+            frames += [r.fin_detail.data, r.ccr_trade.data, r.ccr_netting_set.data,
+                       r.rec_detail]
+        for df in frames:
+            if not df.is_cached:
+                df.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
 
 def build_reports(spark: SparkSession, canon: dict[str, DataFrame], as_of: str) -> Reports:
     fin_detail = finance.asset_detail(spark, canon, as_of)
@@ -92,47 +107,91 @@ def build_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: s
 
 
 def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str,
-                 warehouse: Warehouse) -> dict[str, int]:
-    """Materialise the build: xref, canonical upserts, then reports from the
-    written canonical tables. Returns rows written per target."""
+                 warehouse: Warehouse, parallelism: int = 8,
+                 timings: dict[str, float] | None = None) -> dict[str, int]:
+    """Materialise the build and return rows written per mapping.
+
+    Stage 1 writes the identity cross-reference. Stage 2 writes each canonical
+    entity once (its mappings unioned; keyed upsert by date partition). Stage 3
+    builds the detail reports from the *written* canonical tables, stage 4 the
+    aggregates from the written details. Every write counts its rows per
+    mapping with an observation in the same job, and each stage ends with one
+    lineage upsert and one load-log upsert for all of its mappings (data
+    first, then its lineage and log: ledger Q15). Independent writes of a stage
+    run as concurrent Spark jobs.
+    """
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
     counts: dict[str, int] = {}
-    p = build_pipeline(spark, extracts, as_of, with_reports=False)
-    warehouse.replace("stg.party_xref", p.xref)
+    timings = {} if timings is None else timings
+    clock = [time.time()]
+
+    def lap(name: str) -> None:
+        now = time.time()
+        timings[name] = round(now - clock[0], 3)
+        clock[0] = now
+
+    xref = identity.resolve_party_identity(extracts["ref_party"], extracts["cbs_customer"],
+                                           extracts["trd_counterparty"])
+    warehouse.replace("stg.party_xref", xref)
     xref = warehouse.read("stg.party_xref")
     loads = canonical.load_all(spark, extracts, xref, as_of)
-    for name, ld in loads.items():
-        for part in ld.parts:
-            from ledgerlens.schemas import ENTITY_SCHEMAS, conform
-            data = conform(part.data, ENTITY_SCHEMAS[name])
-            part_of_key = "as_of_date" if "as_of_date" in data.columns else None
-            n = warehouse.apply(part.mapping, data, PRIMARY_KEYS[name], as_of) \
-                if part_of_key else _apply_unpartitioned(warehouse, part, data, name, as_of)
-            counts[f"{part.mapping.rule_id} {part.mapping.target}"] = n
+    lap("identity")
+
+    def write_entity(item):
+        name, ld = item
+        return warehouse.write_mappings(
+            [(part.mapping, conform(part.data, ENTITY_SCHEMAS[name])) for part in ld.parts],
+            keys=PRIMARY_KEYS[name],
+            partition_col="as_of_date" if "as_of_date" in ENTITY_SCHEMAS[name].names else None)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        for got in pool.map(write_entity, loads.items()):
+            counts.update(got)
+    lap("canonical")
+
     canon = {name: warehouse.read(f"canon.{name}") for name in loads}
-    reports = build_reports(spark, canon, as_of)
-    for r in reports.results():
-        counts[f"{r.mapping.rule_id} {r.mapping.target}"] = warehouse.apply(
-            r.mapping, r.data, None, as_of, mode="replace")
+    details = [finance.asset_detail(spark, canon, as_of),
+               risk.trade_exposure(spark, canon, as_of),
+               reconcile.sector_disagreement(spark, canon, as_of)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        for got in pool.map(lambda r: warehouse.write_mappings([(r.mapping, r.data)]), details):
+            counts.update(got)
+    lap("details")
+    fin_detail = warehouse.read("rpt.finrep_asset_detail")
+    trades = warehouse.read("rpt.ccr_trade_exposure")
+    sets = risk.netting_set_exposure(spark, trades)
+    rec_detail = reconcile.population_detail(fin_detail, trades, canon["arrangement"],
+                                             canon["trade_event"], as_of)
+    aggregates = [finance.assets_by_sector(spark, fin_detail), sets,
+                  reconcile.population_reconciliation(spark, rec_detail, as_of)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        for got in pool.map(lambda r: warehouse.write_mappings([(r.mapping, r.data)]),
+                            aggregates):
+            counts.update(got)
+    netting = reconcile.netting_reconciliation(
+        spark, warehouse.read("rpt.ccr_exposure_by_netting_set"), as_of)
+    counts.update(warehouse.write_mappings([(netting.mapping, netting.data)]))
+    lap("aggregates")
+    warehouse.record([m for ld in loads.values() for m in ld.mappings] +
+                     [r.mapping for r in details + aggregates + [netting]], counts, as_of)
+    lap("lineage_and_log")
     return counts
 
 
-def _apply_unpartitioned(warehouse: Warehouse, part: MappingResult, data: DataFrame,
-                         name: str, as_of: str) -> int:
-    # trade_event is event-dated: no as_of_date partition, keyed on event_key
-    staged = data.persist()
-    n = staged.count()
-    warehouse.upsert(part.mapping.target, staged, PRIMARY_KEYS[name], partition_col=None)
-    staged.unpersist()
-    warehouse.upsert("meta.lineage", lineage_frame(warehouse.spark, [part.mapping]),
-                     ("rule_id", "target_table", "target_column", "source_table",
-                      "source_column"), partition_col=None)
-    from pyspark.sql import functions as F
-    from ledgerlens.schemas import LOAD_LOG_KEY, LOAD_LOG_SCHEMA
-    log = warehouse.spark.createDataFrame(
-        [(part.mapping.rule_id, part.mapping.target, None, n)], LOAD_LOG_SCHEMA
-    ).withColumn("as_of_date", F.lit(as_of).cast("date"))
-    warehouse.upsert("meta.load_log", log, LOAD_LOG_KEY, partition_col=None)
-    return n
+def pipeline_from_warehouse(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str,
+                            warehouse: Warehouse) -> Pipeline:
+    """A :class:`Pipeline` whose canonical layer is read back from a built
+    warehouse; reports are lazy plans over those Parquet tables."""
+    p = build_pipeline(spark, extracts, as_of, with_reports=False)
+    p.xref = warehouse.read("stg.party_xref")
+    p.canon = {name: warehouse.read(f"canon.{name}") for name in p.loads}
+    p.reports = build_reports(spark, p.canon, as_of)
+    p.written_load_log = (warehouse.load_log()
+                          .where(F.col("target").startswith("canon."))
+                          .where(F.col("as_of_date") == F.lit(as_of).cast("date")))
+    return p
 
 
 def load_log_frame(p: Pipeline) -> DataFrame:
@@ -141,8 +200,8 @@ def load_log_frame(p: Pipeline) -> DataFrame:
     One aggregate per mapping, unioned into a single job; the counts are the
     rows the mapping produced (ledger Q2), not the target's total size.
     """
-    from pyspark.sql import functions as F
-    from ledgerlens.schemas import ENTITY_SCHEMAS, conform
+    if p.written_load_log is not None:
+        return p.written_load_log.select("rule_id", "target", "as_of_date", "rows_loaded")
     frames = []
     for name, ld in p.loads.items():
         for part in ld.parts:

@@ -93,28 +93,57 @@ class Warehouse:
         else:
             w.parquet(self.path(table))
 
-    def apply(self, mapping: Mapping, data: DataFrame, keys: tuple[str, ...] | None,
-              as_of_date: str | None, mode: str = "insert") -> int:
-        """MAP-3 + SNK-4/5: write the data first, then its lineage and a load-log row.
-
-        ``rows_loaded`` is the number of rows this mapping wrote (ledger Q2),
-        not the size of the whole target table.
+    def write_mappings(self, parts: list[tuple[Mapping, DataFrame]],
+                       keys: tuple[str, ...] | None = None,
+                       partition_col: str | None = None) -> dict[str, int]:
+        """Write one target from one or more mappings in a single job.
+
+        With ``keys`` the target is upserted (SNK-1), otherwise replaced
+        (SNK-2). Rows per mapping (ledger Q2: rows this mapping wrote, not the
+        table size) are counted by an observation on the same job.
         """
-        if mode == "replace":
-            self.replace(mapping.target, data)
-            n = self.read(mapping.target).count()
-        else:
-            staged = data.persist()
-            n = staged.count()
-            self.upsert(mapping.target, staged, keys or tuple(data.columns))
+        from pyspark.sql import Observation
+        target = parts[0][0].target
+        tagged = None
+        for i, (m, df) in enumerate(parts):
+            t = df.withColumn("_part", F.lit(i))
+            tagged = t if tagged is None else tagged.unionByName(t)
+        if keys and self.exists(target):
+            # the merge reads ``incoming`` more than once: stage it, count, upsert
+            staged = tagged.persist()
+            n = {r["_part"]: r["n"] for r in
+                 staged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+            self.upsert(target, staged.drop("_part"), keys, partition_col=partition_col)
             staged.unpersist()
-        self.upsert("meta.lineage", lineage_frame(self.spark, [mapping]), LINEAGE_KEY,
+            return {f"{m.rule_id} {target}": int(n.get(i, 0)) for i, (m, _) in enumerate(parts)}
+        obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+        observed = tagged.observe(obs, *[F.count_if(F.col("_part") == i).alias(f"p{i}")
+                                         for i in range(len(parts))]).drop("_part")
+        if keys:
+            self.upsert(target, observed, keys, partition_col=partition_col)
+        else:
+            self.replace(target, observed)
+        got = obs.get
+        return {f"{m.rule_id} {target}": int(got[f"p{i}"]) for i, (m, _) in enumerate(parts)}
+
+    def record(self, mappings: list[Mapping], counts: dict[str, int], as_of_date: str) -> None:
+        """SNK-4 + SNK-5: lineage of the mappings and one load-log row each."""
+        self.upsert("meta.lineage", lineage_frame(self.spark, mappings), LINEAGE_KEY,
                     partition_col=None)
-        log = self.spark.createDataFrame(
-            [(mapping.rule_id, mapping.target, None, n)], LOAD_LOG_SCHEMA
-        ).withColumn("as_of_date", F.lit(as_of_date).cast("date"))
+        rows = [(m.rule_id, m.target, None, counts.get(f"{m.rule_id} {m.target}"))
+                for m in mappings]
+        log = self.spark.createDataFrame(rows, LOAD_LOG_SCHEMA) \
+            .withColumn("as_of_date", F.lit(as_of_date).cast("date"))
         self.upsert("meta.load_log", log, LOAD_LOG_KEY, partition_col=None)
-        return n
+
+    def apply(self, mapping: Mapping, data: DataFrame, keys: tuple[str, ...] | None,
+              as_of_date: str | None, mode: str = "insert",
+              partition_col: str | None = "as_of_date") -> int:
+        """MAP-3 for one mapping: write its data, then its lineage and load-log row."""
+        got = self.write_mappings([(mapping, data)], keys if mode != "replace" else None,
+                                  partition_col=partition_col)
+        self.record([mapping], got, as_of_date)
+        return next(iter(got.values()))
 
     def lineage(self) -> DataFrame:
         if not self.exists("meta.lineage"):

@@ -16,6 +16,7 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -36,7 +37,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 def apply_defaults(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to a session somebody else built."""
     for k, v in SESSION_DEFAULTS.items():
-        if k == "spark.ui.enabled":
+        if k.startswith("spark.ui."):
             continue
         spark.conf.set(k, v)
 
