@@ -276,3 +276,190 @@ def _(spark, sf):
     r = pipeline(spark, sf).reports
     return checks.check_reconciliation(r.rec_detail, r.fin_detail.data, r.ccr_trade.data,
                                        r.rec_disagreement.data)
+
+
+# ------------------------------------------------------------------ extensions (EXT-*)
+from ledgerlens.operators import extensions as ext  # noqa: E402
+from ledgerlens.sources.testdata import PRIOR_AS_OF  # noqa: E402
+
+# Fixed values used by the extension queries: an effective-dated product code
+# list (valid_to exclusive, null = open) and declared data-quality rules.
+PRODUCT_CODE_LIST = [
+    ("IR_SWAP", "INTEREST_RATE", "1990-01-01", "1998-01-01"),
+    ("IR_SWAP", "IR_DERIVATIVE", "1998-01-01", None),
+    ("FX_FORWARD", "FOREIGN_EXCHANGE", "1990-01-01", None),
+    ("FX_OPTION", "FOREIGN_EXCHANGE", "1990-01-01", None),
+    ("CDS", "CREDIT", "1990-01-01", None),
+    ("EQUITY_OPTION", "EQUITY", "1990-01-01", None),
+    ("MORTGAGE", "SECURED_LENDING", "1990-01-01", None),
+    ("TERM_LOAN", "UNSECURED_LENDING", "1990-01-01", None),
+]
+QUALITY_RULES = [
+    ext.QualityRule("DQ-ARR-01", "arrangement", "validity", "ERROR", "quarantine",
+                    "status in ('ACTIVE', 'MATURED', 'TERMINATED', 'DEFAULTED')"),
+    ext.QualityRule("DQ-ARR-02", "arrangement", "completeness", "WARN", "flag",
+                    "original_notional is not null"),
+    ext.QualityRule("DQ-ARR-03", "arrangement", "validity", "WARN", "flag",
+                    "maturity_date is null or maturity_date >= inception_date"),
+    ext.QualityRule("DQ-POS-01", "position", "validity", "WARN", "flag",
+                    "carrying_amount >= 0"),
+    ext.QualityRule("DQ-POS-02", "position", "completeness", "ERROR", "block",
+                    "currency is not null"),
+    ext.QualityRule("DQ-PTY-01", "party", "completeness", "WARN", "flag", "lei is not null"),
+    ext.QualityRule("DQ-PTY-02", "party", "validity", "ERROR", "quarantine",
+                    "lei is null or length(lei) = 20"),
+    ext.QualityRule("DQ-COL-01", "collateral", "validity", "WARN", "flag",
+                    "haircut_pct >= 0 and haircut_pct < 1"),
+    ext.QualityRule("DQ-HIER-01", "party_hierarchy", "validity", "WARN", "flag",
+                    "ownership_pct is null or (ownership_pct > 0 and ownership_pct <= 100)"),
+]
+# typed source columns checked for rejects: (extract, source column, typing, rule)
+TYPED_SOURCE_COLUMNS = [
+    ("ref_party_hierarchy", "ownership_pct",
+     "try_cast(nullif(trim(ownership_pct), '') as decimal(9,4))", "LD-PARTYHIER-001"),
+    ("ref_instrument", "maturity_date", "date", "LD-INSTR-001"),
+    ("cbs_account", "open_date", "date", "LD-ARR-CBS-001"),
+    ("cbs_account", "maturity_date", "date", "LD-ARR-CBS-001"),
+    ("cbs_account", "original_principal", "try_cast(original_principal as decimal(20,2))",
+     "LD-ARR-CBS-001"),
+    ("trd_trade", "trade_date", "date", "LD-ARR-TRD-001"),
+    ("trd_trade", "maturity_date", "date", "LD-ARR-TRD-001"),
+    ("trd_trade", "notional", "try_cast(notional as decimal(20,2))", "LD-ARR-TRD-001"),
+    ("col_collateral", "haircut_pct", "try_cast(haircut_pct as decimal(9,4))", "LD-COL-001"),
+]
+
+
+def _code_list(spark):
+    return spark.createDataFrame(PRODUCT_CODE_LIST, "code string, mapped_value string, "
+                                 "valid_from string, valid_to string") \
+        .withColumn("valid_from", F.col("valid_from").cast("date")) \
+        .withColumn("valid_to", F.col("valid_to").cast("date"))
+
+
+@query("ext_notional_as_of")
+def _(spark, sf):
+    return ext.notional_as_of(pipeline(spark, sf).canon["trade_event"], AS_OF)
+
+
+@query("ext_position_as_known")
+def _(spark, sf):
+    pos = pipeline(spark, sf).canon["position"]
+    return ext.as_known_at(pos, ["arrangement_key"], "as_of_date", "as_of_date",
+                           "1998-05-15", "1998-05-15")
+
+
+@query("ext_restatement_summary")
+def _(spark, sf):
+    pos = pipeline(spark, sf).canon["position"]
+    d = lambda v: F.col("as_of_date") == F.lit(v).cast("date")
+    diff = ext.tolerance_reconcile(pos.where(d(PRIOR_AS_OF)), pos.where(d(AS_OF)),
+                                   ["arrangement_key"], "carrying_amount",
+                                   before_label="original", after_label="restated")
+    return ext.reconcile_summary(diff)
+
+
+@query("ext_tolerance_recon")
+def _(spark, sf):
+    r = pipeline(spark, sf).reports
+    legacy = r.fin_detail.data.where(F.col("product_family") == "DERIVATIVE") \
+        .select("arrangement_key", F.col("asset_carrying_amount").alias("amount"))
+    new = r.ccr_trade.data.select("arrangement_key", F.col("replacement_cost").alias("amount"))
+    return ext.tolerance_reconcile(legacy, new, ["arrangement_key"], "amount",
+                                   before_label="finance", after_label="risk")
+
+
+@query("ext_rerun_diff")
+def _(spark, sf):
+    pos = pipeline(spark, sf).canon["position"]
+    rerun = QUERIES["upsert_rerun"](spark, sf)
+    return ext.run_diff(pos, rerun).groupBy("side").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("ext_rejects")
+def _(spark, sf):
+    x = pipeline(spark, sf).extracts
+    from ledgerlens.functions import try_date_sql
+    frames = []
+    for extract, col, typing, rule in TYPED_SOURCE_COLUMNS:
+        expr = try_date_sql(col) if typing == "date" else typing
+        frames.append(ext.rejects(x[extract].select(col), {col: expr}, rule))
+    return ext.reject_summary(ext._union(frames))
+
+
+@query("ext_dq_results")
+def _(spark, sf):
+    return ext.evaluate_rules(pipeline(spark, sf).canon, QUALITY_RULES)
+
+
+@query("ext_unmapped_codes")
+def _(spark, sf):
+    arr = pipeline(spark, sf).canon["arrangement"]
+    return ext.unmapped_codes(arr, "product_type", "inception_date", _code_list(spark))
+
+
+@query("ext_code_mapping")
+def _(spark, sf):
+    arr = pipeline(spark, sf).canon["arrangement"]
+    return (ext.map_effective_codes(arr.select("arrangement_key", "product_type",
+                                               "inception_date"),
+                                    "product_type", "inception_date", _code_list(spark))
+            .groupBy("product_type", "mapped_value")
+            .agg(F.count(F.lit(1)).alias("arrangements")))
+
+
+@query("ext_golden_lei")
+def _(spark, sf):
+    p = pipeline(spark, sf)
+    x = p.extracts
+    ref = p.canon["party"].select("party_key", "lei", F.lit(1).alias("precedence"))
+    xr = p.xref.where(F.col("party_key").isNotNull())
+    trd = (x["trd_counterparty"].join(
+        xr.where(F.col("source_system") == "TRD")
+          .select(F.col("source_id").alias("trd_counterparty_id"), "party_key"),
+        "trd_counterparty_id")
+        .select("party_key", F.nullif(F.trim("lei"), F.lit("")).alias("lei"),
+                F.lit(2).alias("precedence")))
+    cbs = (x["cbs_customer"].join(
+        xr.where(F.col("source_system") == "CBS")
+          .select(F.col("source_id").alias("cbs_customer_id"), "party_key"),
+        "cbs_customer_id")
+        .select("party_key", F.nullif(F.trim("lei"), F.lit("")).alias("lei"),
+                F.lit(3).alias("precedence")))
+    return ext.golden_value(ref.unionByName(trd).unionByName(cbs), "party_key", "lei",
+                            "precedence")
+
+
+@query("ext_recon_walk")
+def _(spark, sf):
+    return ext.reconciliation_walk(pipeline(spark, sf).reports.rec_detail)
+
+
+@query("ext_fin_by_currency")
+def _(spark, sf):
+    return ext.assets_by_sector_and_currency(pipeline(spark, sf).reports.fin_detail.data)
+
+
+@query("ext_null_density")
+def _(spark, sf):
+    return ext.null_density(pipeline(spark, sf).canon["arrangement"], "product_family",
+                            ["inception_date", "maturity_date", "original_notional", "status",
+                             "instrument_key", "netting_set_key"])
+
+
+@query("ext_hierarchy_unknown_parents")
+def _(spark, sf):
+    c = pipeline(spark, sf).canon
+    return ext.unknown_parents(c["party_hierarchy"], c["party"])
+
+
+@query("ext_hierarchy_cycles")
+def _(spark, sf):
+    from ledgerlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return ext.hierarchy_cycles(pipeline(spark, sf).canon["party_hierarchy"])
+
+
+@query("ext_lei_validation")
+def _(spark, sf):
+    party = pipeline(spark, sf).canon["party"].where(F.col("lei").isNotNull())
+    return ext.validate_lei(party.select("party_key", "lei"))
