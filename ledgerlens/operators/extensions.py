@@ -224,30 +224,32 @@ def reconciliation_walk(rec_detail: DataFrame) -> DataFrame:
     trades; remove each finance-only reason; add each risk-only reason; the
     trades in both contribute their risk-minus-finance difference; the
     residual is the risk total minus the walked figure (zero when every
-    difference is explained).
+    difference is explained). The detail is aggregated once, by presence and
+    reason; every step is read off that small result.
     """
     z = F.lit(0).cast("decimal(38,2)")
-    fin = F.col("finance_asset_amount").cast("decimal(38,2)")
-    rsk = F.col("risk_replacement_cost").cast("decimal(38,2)")
-    start = rec_detail.agg(F.coalesce(F.sum(fin), z).alias("amount")) \
+    g = (rec_detail.groupBy("in_finance_lens", "in_risk_lens", "difference_reason")
+         .agg(F.sum(F.col("finance_asset_amount").cast("decimal(38,2)")).alias("fin"),
+              F.sum(F.col("risk_replacement_cost").cast("decimal(38,2)")).alias("rsk")))
+    start = g.agg(F.coalesce(F.sum("fin"), z).alias("amount")) \
         .select(F.lit(0).alias("step"), F.lit("finance derivative assets").alias("item"), "amount")
-    fin_only = (rec_detail.where(F.col("in_finance_lens") & ~F.col("in_risk_lens"))
-                .groupBy("difference_reason").agg((-F.sum(fin)).alias("amount"))
+    fin_only = (g.where(F.col("in_finance_lens") & ~F.col("in_risk_lens"))
+                .groupBy("difference_reason").agg((-F.sum("fin")).alias("amount"))
                 .select(F.lit(1).alias("step"), F.col("difference_reason").alias("item"),
                         "amount"))
-    risk_only = (rec_detail.where(~F.col("in_finance_lens") & F.col("in_risk_lens"))
-                 .groupBy("difference_reason").agg(F.sum(rsk).alias("amount"))
+    risk_only = (g.where(~F.col("in_finance_lens") & F.col("in_risk_lens"))
+                 .groupBy("difference_reason").agg(F.sum("rsk").alias("amount"))
                  .select(F.lit(2).alias("step"), F.col("difference_reason").alias("item"),
                          "amount"))
-    both = (rec_detail.where(F.col("in_finance_lens") & F.col("in_risk_lens"))
-            .agg(F.coalesce(F.sum(rsk - fin), z).alias("amount"))
+    both = (g.where(F.col("in_finance_lens") & F.col("in_risk_lens"))
+            .agg(F.coalesce(F.sum(F.col("rsk") - F.col("fin")), z).alias("amount"))
             .select(F.lit(3).alias("step"),
                     F.lit("measurement difference on trades in both").alias("item"), "amount"))
-    walked = _union([start, fin_only, risk_only, both]).agg(F.sum("amount").alias("w"))
-    total = rec_detail.agg(F.coalesce(F.sum(rsk), z).alias("t"))
-    # residual = risk total - walked figure, computed as one signed sum
+    walked = _union([start, fin_only, risk_only, both])
+    total = g.agg(F.coalesce(F.sum("rsk"), z).alias("t"))
+    # residual = risk total - walked figure, as one signed sum
     residual = (total.select(F.col("t").alias("x"))
-                .unionByName(walked.select((-F.col("w")).alias("x")))
+                .unionByName(walked.select((-F.col("amount")).alias("x")))
                 .agg(F.sum("x").alias("amount"))
                 .select(F.lit(4).alias("step"), F.lit("unexplained residual").alias("item"),
                         "amount"))
@@ -313,6 +315,7 @@ def hierarchy_cycles(hierarchy: DataFrame, checkpoint_every: int = 4,
              .where(F.col("child_party_key").isNotNull() & F.col("parent_party_key").isNotNull())
              .distinct())
     rounds = 0
+    count = edges.persist().count()
     while True:
         # an edge survives when its child is some edge's parent and its parent
         # is some edge's child: leaves and roots peel away, cycles stay
@@ -327,8 +330,9 @@ def hierarchy_cycles(hierarchy: DataFrame, checkpoint_every: int = 4,
             kept = kept.checkpoint()
         else:
             kept = kept.persist()
-        removed_any = kept.count() < edges.count()
-        edges = kept
+        kept_count = kept.count()
+        edges.unpersist()
+        edges, removed_any, count = kept, kept_count < count, kept_count
         if not removed_any or (max_rounds is not None and rounds >= max_rounds):
             return edges
 
