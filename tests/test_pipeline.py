@@ -57,3 +57,29 @@ def test_warehouse_served_queries_equal_lazy_ones(spark, tmpdir_path):
         spark, extracts_of(spark, SF_SMALL), AS_OF, wh))
     for n, want in lazy.items():
         assert sorted(map(tuple, QUERIES[n](spark, key_dir).collect())) == want, n
+
+
+def test_second_reporting_date_does_not_leak(spark, tmpdir_path):
+    """Two runs for two dates into one warehouse: each date reads only itself."""
+    from ledgerlens.plans.pipeline import build_reports
+    from ledgerlens.sources.testdata import PRIOR_AS_OF
+    wh = Warehouse(spark, tmpdir_path)
+    run_pipeline(spark, extracts_of(spark, SF_SMALL), AS_OF, wh)
+    before = {t: sorted(map(tuple, wh.read(f"rpt.{t}").collect()))
+              for t in ("finrep_assets_by_sector", "ccr_exposure_by_netting_set")}
+    arr_before = wh.read("canon.arrangement").count()
+    run_pipeline(spark, extracts_of(spark, SF_SMALL), PRIOR_AS_OF, wh)
+    arr = wh.read("canon.arrangement")
+    assert arr.count() == 2 * arr_before
+    assert {r.as_of_date.isoformat() for r in arr.select("as_of_date").distinct().collect()} \
+        == {AS_OF, PRIOR_AS_OF}
+    canon = {t: wh.read(f"canon.{t}") for t in
+             ("arrangement", "position", "arrangement_party_role", "party", "classification",
+              "trade_event", "netting_set", "collateral", "collateral_allocation")}
+    again = build_reports(spark, canon, AS_OF)
+    assert sorted(map(tuple, again.fin_by_sector.data.collect())) == \
+        before["finrep_assets_by_sector"]
+    assert sorted(map(tuple, again.ccr_netting_set.data.collect())) == \
+        before["ccr_exposure_by_netting_set"]
+    log = wh.load_log()
+    assert log.select("as_of_date").distinct().count() == 2
