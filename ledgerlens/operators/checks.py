@@ -3,7 +3,7 @@
 Each check is a query returning ``(check_id, description, violations)``: a
 count of offending rows, zero when the check holds. Checks of one area are
 unioned into one DataFrame, so a whole area is one Spark job with shared scans.
-Row-level offenders are available from the ``*_rows`` helpers.
+Row-level offenders are available from helpers such as :func:`duplicate_keys`.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.finance import (FINANCE_ROLES, SECTOR_ACCOUNTING, SECTOR_PRUDENTIAL,
+from ledgerlens.operators.finance import (SECTOR_ACCOUNTING, SECTOR_PRUDENTIAL,
                                           inception_dates)
 from ledgerlens.operators.reconcile import RISK_RESIDUAL, FINANCE_RESIDUAL
 from ledgerlens.schemas import ENTITY_REGISTRY

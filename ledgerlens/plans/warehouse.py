@@ -16,12 +16,10 @@ partition in place.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlens.plans.mapping import Mapping, lineage_frame
 from ledgerlens.schemas import LINEAGE_KEY, LINEAGE_SCHEMA, LOAD_LOG_KEY, LOAD_LOG_SCHEMA

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import extensions as X
 from ledgerlens.operators import lineage as L
 from ledgerlens.plans.warehouse import Warehouse
-from ledgerlens.schemas import LINEAGE_SCHEMA
 from tests.conftest import rows
 
 
