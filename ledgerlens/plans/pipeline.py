@@ -111,8 +111,10 @@ def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str
                  timings: dict[str, float] | None = None) -> dict[str, int]:
     """Materialise the build and return rows written per mapping.
 
-    Stage 1 writes the identity cross-reference. Stage 2 writes each canonical
-    entity once (its mappings unioned; keyed upsert by date partition). Stage 3
+    Stage 1 writes the identity cross-reference while the nine canonical
+    entities that do not depend on it are already being written; stage 2 writes
+    the two that join it (each entity once: its mappings unioned, keyed upsert
+    by date partition). Stage 3
     builds the detail reports from the *written* canonical tables, stage 4 the
     aggregates from the written details. Every write counts its rows per
     mapping with an observation in the same job, and each stage ends with one
@@ -132,13 +134,6 @@ def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str
         timings[name] = round(now - clock[0], 3)
         clock[0] = now
 
-    xref = identity.resolve_party_identity(extracts["ref_party"], extracts["cbs_customer"],
-                                           extracts["trd_counterparty"])
-    warehouse.replace("stg.party_xref", xref)
-    xref = warehouse.read("stg.party_xref")
-    loads = canonical.load_all(spark, extracts, xref, as_of)
-    lap("identity")
-
     def write_entity(item):
         name, ld = item
         return warehouse.write_mappings(
@@ -146,9 +141,21 @@ def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str
             keys=PRIMARY_KEYS[name],
             partition_col="as_of_date" if "as_of_date" in ENTITY_SCHEMAS[name].names else None)
 
+    # entities that do not need the identity cross-reference start at once,
+    # next to the cross-reference job; the two that join it follow
+    needs_xref = ("arrangement_party_role", "netting_set")
+    xref = identity.resolve_party_identity(extracts["ref_party"], extracts["cbs_customer"],
+                                           extracts["trd_counterparty"])
+    lazy = canonical.load_all(spark, extracts, xref, as_of)
     with ThreadPoolExecutor(parallelism) as pool:
-        for got in pool.map(write_entity, loads.items()):
-            counts.update(got)
+        early = [pool.submit(write_entity, (n, ld)) for n, ld in lazy.items()
+                 if n not in needs_xref]
+        warehouse.replace("stg.party_xref", xref)
+        lap("identity")
+        loads = canonical.load_all(spark, extracts, warehouse.read("stg.party_xref"), as_of)
+        late = [pool.submit(write_entity, (n, loads[n])) for n in needs_xref]
+        for f in early + late:
+            counts.update(f.result())
     lap("canonical")
 
     canon = {name: warehouse.read(f"canon.{name}") for name in loads}

@@ -68,12 +68,17 @@ class Warehouse:
         """SNK-2: create or replace the whole table."""
         df.write.mode("overwrite").parquet(self.path(table))
 
+    def _writer(self, df: DataFrame, partition_col: str | None):
+        # dynamic partition overwrite is set on the writer itself, so a session
+        # left at the static default can never wipe the dates a load does not touch
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        return w.partitionBy(partition_col) if partition_col else w
+
     def upsert(self, table: str, incoming: DataFrame, keys: tuple[str, ...],
                partition_col: str | None = "as_of_date") -> None:
         """SNK-1: keyed upsert; only the partitions present in ``incoming`` are rewritten."""
         if not self.exists(table):
-            w = incoming.write.mode("overwrite")
-            (w.partitionBy(partition_col) if partition_col else w).parquet(self.path(table))
+            self._writer(incoming, partition_col).parquet(self.path(table))
             return
         existing = self.read(table)
         if partition_col:
@@ -82,14 +87,9 @@ class Warehouse:
             existing = existing.join(dates, partition_col, "left_semi")
         merged = keyed_upsert(existing, incoming, keys)
         staging = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
-        w = merged.write.mode("overwrite")
-        (w.partitionBy(partition_col) if partition_col else w).parquet(staging)
+        self._writer(merged, partition_col).parquet(staging)
         staged = self.spark.read.parquet(staging).select(*incoming.columns)
-        w = staged.write.mode("overwrite")
-        if partition_col:
-            w.partitionBy(partition_col).parquet(self.path(table))
-        else:
-            w.parquet(self.path(table))
+        self._writer(staged, partition_col).parquet(self.path(table))
 
     def write_mappings(self, parts: list[tuple[Mapping, DataFrame]],
                        keys: tuple[str, ...] | None = None,

@@ -66,6 +66,15 @@ def test_warehouse_upsert_rewrites_only_touched_dates(spark, tmpdir_path):
     wh.upsert("canon.t", second, ("k", "as_of_date"))
     got = rows(wh.read("canon.t"), "k", "v")
     assert got == [("a", 5), ("a", 10), ("b", 2)]
+    # a session left at the static default must not wipe the untouched date
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        third = spark.sql("select * from values ('b', 20, date '2026-03-31') as t(k, v, as_of_date)")
+        wh.upsert("canon.t", third, ("k", "as_of_date"))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert rows(wh.read("canon.t"), "k", "v") == [("a", 5), ("a", 10), ("b", 20)]
 
 
 LIN = [
