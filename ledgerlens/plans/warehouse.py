@@ -143,6 +143,25 @@ class Warehouse:
         self.record([mapping], got, as_of_date)
         return next(iter(got.values()))
 
+    def tables(self, namespace: str) -> list[str]:
+        """Table folders under ``<root>/<namespace>`` (SRC-3 over a built warehouse)."""
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{namespace}")
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                      if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
+
+    def catalog(self) -> DataFrame:
+        """Catalog DataFrame of the canonical and reporting layers, from the
+        written tables' schemas (footers only, no data scanned)."""
+        from ledgerlens.sources.catalog import catalog_from_schemas
+        layers = {"CANONICAL": "canon", "REPORTING": "rpt"}
+        return catalog_from_schemas(self.spark, {
+            layer: {t: self.read(f"{ns}.{t}").schema for t in self.tables(ns)}
+            for layer, ns in layers.items()})
+
     def lineage(self) -> DataFrame:
         if not self.exists("meta.lineage"):
             return self.spark.createDataFrame([], LINEAGE_SCHEMA)

@@ -44,6 +44,14 @@ def test_rerun_is_idempotent(spark, tmpdir_path):
     log = wh.load_log()
     assert log.count() == log.select("rule_id", "target", "as_of_date").distinct().count()
     assert wh.lineage().count() == 185
+    # the built warehouse audits clean: one WARN for the event-dated trade_event
+    from ledgerlens.operators.audit import audit_warehouse
+    findings, summary = audit_warehouse(spark, wh)
+    assert [(r.rule_id, r.severity, r.subject) for r in findings.collect()] == \
+        [("DP-29", "WARN", "canon.trade_event")]
+    status = {r.rule_id: r.status for r in summary.collect()}
+    assert status.pop("DP-29") == "WARN" and set(status.values()) == {"PASS"}
+    assert wh.catalog().where("layer = 'REPORTING'").select("table_name").distinct().count() == 7
 
 
 def test_warehouse_served_queries_equal_lazy_ones(spark, tmpdir_path):
