@@ -341,6 +341,12 @@ def _(spark, sf):
     return ext.notional_as_of(pipeline(spark, sf).canon["trade_event"], AS_OF)
 
 
+@query("ext_event_notional_as_of")
+def _(spark, sf):
+    from ledgerlens.sources.testdata import EVENTS_AS_OF, lifecycle_events
+    return ext.notional_as_of(lifecycle_events(spark, sf), EVENTS_AS_OF)
+
+
 @query("ext_position_as_known")
 def _(spark, sf):
     pos = pipeline(spark, sf).canon["position"]
