@@ -17,7 +17,12 @@ SESSION_DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the staged runner submits independent writes as concurrent jobs; FAIR
+    # scheduling lets them share the cores instead of queueing behind the largest
+    "spark.scheduler.mode": "FAIR",
 }
+# settings fixed when the context starts; apply_defaults leaves them alone
+_STARTUP_ONLY = ("spark.ui.", "spark.scheduler.mode")
 
 
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -37,7 +42,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 def apply_defaults(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to a session somebody else built."""
     for k, v in SESSION_DEFAULTS.items():
-        if k.startswith("spark.ui."):
+        if k.startswith(_STARTUP_ONLY):
             continue
         spark.conf.set(k, v)
 
