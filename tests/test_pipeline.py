@@ -43,7 +43,17 @@ def test_rerun_is_idempotent(spark, tmpdir_path):
         assert before.exceptAll(after).count() == 0, t
     log = wh.load_log()
     assert log.count() == log.select("rule_id", "target", "as_of_date").distinct().count()
+    assert log.where("as_of_date is null").count() == 0
     assert wh.lineage().count() == 185
+    # a derived column names every source it reads
+    srcs = {r.source_column for r in wh.lineage().where(
+        "target_table = 'finrep_asset_detail' and target_column = 'asset_carrying_amount'")
+        .collect()}
+    assert {"fair_value", "carrying_amount"} <= srcs
+    # the strong match does more work than the weak one, and the weak one is flagged
+    mix = {r.resolution_method: r.n for r in wh.read("stg.party_xref")
+           .groupBy("resolution_method").count().withColumnRenamed("count", "n").collect()}
+    assert mix["LEI"] > mix["NAME_COUNTRY"] > 0
     # the built warehouse audits clean: one WARN for the event-dated trade_event
     from ledgerlens.operators.audit import audit_warehouse
     findings, summary = audit_warehouse(spark, wh)
