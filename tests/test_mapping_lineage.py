@@ -165,6 +165,20 @@ def test_audit_breakage(spark, small_pipeline):
     assert s["DP-10"] == s["DP-16"] == s["DP-18"] == s["DP-19"] == "FAIL"
     strict = {r.rule_id: r.status for r in A.audit_summary(spark, f, strict=True).collect()}
     assert strict["DP-29"] == "FAIL"
+    # the verdict replaces the linter's exit code: clean passes, broken fails
+    assert A.audit_verdict(A.audit_summary(spark, f)).collect()[0].conformant is False
+    clean = A.run_audit(reg, cat, lin)
+    v = A.audit_verdict(A.audit_summary(spark, clean)).collect()[0]
+    assert v.conformant is True and v.passed == 8 and v.warned == 1
+    assert A.audit_verdict(A.audit_summary(spark, clean, strict=True)).collect()[0] \
+        .conformant is False
+
+
+def test_audit_of_an_empty_warehouse_reports_instead_of_failing(spark, tmpdir_path):
+    wh = Warehouse(spark, tmpdir_path + "/nothing-here")
+    findings, summary = A.audit_warehouse(spark, wh)
+    assert findings.count() == 0            # no tables: only registry rules can fire
+    assert {r.status for r in summary.collect()} == {"PASS"}
 
 
 def test_registry_rules(spark):
