@@ -61,6 +61,11 @@ class Warehouse:
         fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return fs.exists(p)
 
+    def _delete(self, path: str) -> None:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
@@ -90,6 +95,9 @@ class Warehouse:
         self._writer(merged, partition_col).parquet(staging)
         staged = self.spark.read.parquet(staging).select(*incoming.columns)
         self._writer(staged, partition_col).parquet(self.path(table))
+        # the swap succeeded: the staged copy is no longer needed (on failure it
+        # is kept, and the previous partitions are still in place)
+        self._delete(staging)
 
     def write_mappings(self, parts: list[tuple[Mapping, DataFrame]],
                        keys: tuple[str, ...] | None = None,

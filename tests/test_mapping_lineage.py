@@ -75,6 +75,7 @@ def test_warehouse_upsert_rewrites_only_touched_dates(spark, tmpdir_path):
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     assert rows(wh.read("canon.t"), "k", "v") == [("a", 5), ("a", 10), ("b", 20)]
+    assert wh.tables("_staging") == []          # staged copies are removed after the swap
 
 
 LIN = [
