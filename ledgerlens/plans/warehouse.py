@@ -38,11 +38,21 @@ def keyed_upsert(existing: DataFrame | None, incoming: DataFrame,
     return incoming.unionByName(keep.select(*incoming.columns))
 
 
-def dedupe_on_keys(df: DataFrame, keys: list[str], order_by: list) -> DataFrame:
-    """Deterministic de-duplication: the first row per key under ``order_by``."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def dedupe_on_keys(df: DataFrame, keys: list[str], order_cols: list[str],
+                   keep: str = "last") -> DataFrame:
+    """Deterministic de-duplication: one row per key, the greatest (``keep="last"``)
+    or smallest (``"first"``) by ``order_cols``, remaining columns breaking ties.
+
+    An aggregate of a struct rather than a window: it is combined partially
+    before the shuffle, so a key holding a large share of the rows is never
+    sorted whole in one task.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order_cols]
+    row = F.struct(*[F.col(c) for c in order_cols + rest])
+    pick = F.max(row) if keep == "last" else F.min(row)
+    return (df.groupBy(*keys).agg(pick.alias("_row"))
+            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in order_cols + rest])
+            .select(*df.columns))
 
 
 class Warehouse:
