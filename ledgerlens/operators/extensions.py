@@ -217,46 +217,53 @@ def golden_value(candidates: DataFrame, key: str, value: str, precedence: str) -
 
 
 # --------------------------------------------------------------------- EXT-11
+WALK_START = "finance derivative assets"
+WALK_BOTH = "measurement difference on trades in both"
+WALK_RESIDUAL = "unexplained residual"
+WALK_END = "risk replacement cost"
+
+
 def reconciliation_walk(rec_detail: DataFrame) -> DataFrame:
     """Walk from the finance derivative-asset total to the risk replacement cost.
 
-    Steps: start at finance assets of trades in both lenses plus finance-only
-    trades; remove each finance-only reason; add each risk-only reason; the
-    trades in both contribute their risk-minus-finance difference; the
-    residual is the risk total minus the walked figure (zero when every
-    difference is explained). The detail is aggregated once, by presence and
-    reason; every step is read off that small result.
+    Steps: 0 start at the finance assets of all reconciled trades; 1 remove
+    each finance-only reason; 2 add each risk-only reason; 3 the trades in
+    both contribute their risk-minus-finance difference; 4 the residual is the
+    risk total minus the walked figure (zero when every difference is
+    explained); 5 the risk total. The detail is aggregated once by presence
+    and reason; each aggregate row emits its contribution to every step, and
+    one small group-by adds them up. A zero seed row per fixed step keeps
+    those steps present on empty input.
     """
-    z = F.lit(0).cast("decimal(38,2)")
+    dec = "decimal(38,2)"
+    fin, rsk = F.col("fin"), F.col("rsk")
+    fo = F.col("in_finance_lens") & ~F.col("in_risk_lens")
+    ro = ~F.col("in_finance_lens") & F.col("in_risk_lens")
+    both = F.col("in_finance_lens") & F.col("in_risk_lens")
+    z = F.lit(0).cast(dec)
     g = (rec_detail.groupBy("in_finance_lens", "in_risk_lens", "difference_reason")
-         .agg(F.sum(F.col("finance_asset_amount").cast("decimal(38,2)")).alias("fin"),
-              F.sum(F.col("risk_replacement_cost").cast("decimal(38,2)")).alias("rsk")))
-    start = g.agg(F.coalesce(F.sum("fin"), z).alias("amount")) \
-        .select(F.lit(0).alias("step"), F.lit("finance derivative assets").alias("item"), "amount")
-    fin_only = (g.where(F.col("in_finance_lens") & ~F.col("in_risk_lens"))
-                .groupBy("difference_reason").agg((-F.sum("fin")).alias("amount"))
-                .select(F.lit(1).alias("step"), F.col("difference_reason").alias("item"),
-                        "amount"))
-    risk_only = (g.where(~F.col("in_finance_lens") & F.col("in_risk_lens"))
-                 .groupBy("difference_reason").agg(F.sum("rsk").alias("amount"))
-                 .select(F.lit(2).alias("step"), F.col("difference_reason").alias("item"),
-                         "amount"))
-    both = (g.where(F.col("in_finance_lens") & F.col("in_risk_lens"))
-            .agg(F.coalesce(F.sum(F.col("rsk") - F.col("fin")), z).alias("amount"))
-            .select(F.lit(3).alias("step"),
-                    F.lit("measurement difference on trades in both").alias("item"), "amount"))
-    walked = _union([start, fin_only, risk_only, both])
-    total = g.agg(F.coalesce(F.sum("rsk"), z).alias("t"))
-    # residual = risk total - walked figure, as one signed sum
-    residual = (total.select(F.col("t").alias("x"))
-                .unionByName(walked.select((-F.col("amount")).alias("x")))
-                .agg(F.sum("x").alias("amount"))
-                .select(F.lit(4).alias("step"), F.lit("unexplained residual").alias("item"),
-                        "amount"))
-    end = total.select(F.lit(5).alias("step"), F.lit("risk replacement cost").alias("item"),
-                       F.col("t").alias("amount"))
-    return _union([start, fin_only, risk_only, both, residual, end]) \
-        .withColumn("amount", F.col("amount").cast("decimal(38,2)"))
+         .agg(F.sum(F.col("finance_asset_amount").cast(dec)).alias("fin"),
+              F.sum(F.col("risk_replacement_cost").cast(dec)).alias("rsk")))
+    s1 = F.when(fo, -fin).otherwise(z)
+    s2 = F.when(ro, rsk).otherwise(z)
+    s3 = F.when(both, rsk - fin).otherwise(z)
+
+    def step(n, item, amount):
+        return F.struct(F.lit(n).alias("step"), item.alias("item"),
+                        amount.cast(dec).alias("amount"))
+
+    rows = g.select(F.explode(F.array(
+        step(0, F.lit(WALK_START), fin),
+        step(1, F.when(fo, F.col("difference_reason")), s1),
+        step(2, F.when(ro, F.col("difference_reason")), s2),
+        step(3, F.lit(WALK_BOTH), s3),
+        step(4, F.lit(WALK_RESIDUAL), rsk - (fin + s1 + s2 + s3)),
+        step(5, F.lit(WALK_END), rsk))).alias("r")).select("r.*")
+    seed = rec_detail.sparkSession.createDataFrame(
+        [(0, WALK_START), (3, WALK_BOTH), (4, WALK_RESIDUAL), (5, WALK_END)],
+        "step int, item string").withColumn("amount", z)
+    return (rows.where(F.col("item").isNotNull()).unionByName(seed)
+            .groupBy("step", "item").agg(F.sum("amount").cast(dec).alias("amount")))
 
 
 # --------------------------------------------------------------------- EXT-18

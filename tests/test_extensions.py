@@ -132,3 +132,19 @@ def test_notional_stream_equals_batch(spark, small_pipeline, tmpdir_path):
     got = rows(wh.read("rpt.current_notional"), "arrangement_key", "notional_outstanding", "events")
     want = rows(X.notional_as_of(ev, "9999-12-31"), "arrangement_key", "notional_outstanding", "events")
     assert got == want
+
+
+def test_reconciliation_walk(spark):
+    schema = ("arrangement_key string, in_finance_lens boolean, in_risk_lens boolean, "
+              "finance_asset_amount decimal(20,2), finance_liability_amount decimal(20,2), "
+              "risk_replacement_cost decimal(20,2), difference_reason string")
+    rows = [("A", True, True, Dec("10.00"), Dec("0"), Dec("10.00"), "IN BOTH"),
+            ("B", True, False, Dec("4.00"), Dec("0"), Dec("0"), "FIN INACTIVE"),
+            ("C", False, True, Dec("0"), Dec("0"), Dec("7.00"), "RISK LATE")]
+    walk = {(r.step, r.item): r.amount for r in
+            X.reconciliation_walk(spark.createDataFrame(rows, schema)).collect()}
+    assert walk == {(0, X.WALK_START): Dec("14.00"), (1, "FIN INACTIVE"): Dec("-4.00"),
+                    (2, "RISK LATE"): Dec("7.00"), (3, X.WALK_BOTH): Dec("0.00"),
+                    (4, X.WALK_RESIDUAL): Dec("0.00"), (5, X.WALK_END): Dec("17.00")}
+    empty = X.reconciliation_walk(spark.createDataFrame([], schema)).collect()
+    assert sorted((r.step, r.amount) for r in empty) == [(0, 0), (3, 0), (4, 0), (5, 0)]
