@@ -13,14 +13,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.shared import stored, text_slices
+from ledgerlens.llm.shared import added_up, stored, text_slices
 
 #: Hashed n-grams of 2 and 3 bytes; letters only, all else counts as a space.
 DIMS = 1 << 14
@@ -30,8 +29,6 @@ MOST_LANGUAGES = 512
 STEEPNESS, SHARPNESS, AMBIGUOUS = 4.0, 3.0, 0.6
 #: The stage keeps short texts that two languages share; it drops what no language claims.
 REJECTED = 0.35
-#: Tasks whose counts are added up in one place.
-FAN_IN = 64
 UNKNOWN = "und"
 
 _LETTER = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint32)
@@ -62,8 +59,7 @@ def _ngrams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 def ngram_counts(docs: DataFrame) -> DataFrame:
     """``(lang, counts)``: the hashed n-grams of all texts of each non-null language.
 
-    A task emits one row per language it met; those rows are added up in rounds of
-    ``FAN_IN`` tasks, so neither a frequent language nor many tasks meet in one place."""
+    A task emits one row per language it met, and those are added up."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in text_slices(batches):
@@ -81,18 +77,8 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
                                    pa.array([s.astype("<i8").tobytes() for s in sums.values()])],
                                   ["lang", "part", "counts"])
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "<i8") for x in rows["counts"])
-        return pd.DataFrame({"lang": rows["lang"][:1], "part": rows["part"][:1] // FAN_IN, "counts": [total.tobytes()]})
-
     schema = "lang string, part long, counts binary"
-    sums = stored(docs.where("lang is not null").select("lang", "text").mapInArrow(task, schema), "ngrams")
-    parts = (sums.agg(F.max("part")).first()[0] or 0) + 1
-    while True:
-        sums = sums.groupBy("lang", F.expr(f"part div {FAN_IN}")).applyInPandas(add, schema)
-        parts = -(-parts // FAN_IN)
-        if parts == 1:
-            return sums.select("lang", "counts")
+    return added_up(stored(docs.where("lang is not null").select("lang", "text").mapInArrow(task, schema), "ngrams"), "lang", "<i8")
 
 
 def codewords(k: int) -> np.ndarray:

@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,30 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
     return flat[at]
 
 
+#: Tasks whose partial counts are added up in one place.
+FAN_IN = 64
+
+
+def added_up(rows: DataFrame, key: str, dtype: str) -> DataFrame:
+    """``(key, counts)``: the arrays in ``counts`` (binary) of each key, added up.
+
+    ``rows`` has the columns ``key, part, counts``, a row for each key and task ``part``,
+    and is a written table. They are added in rounds of ``FAN_IN`` tasks: neither a
+    frequent key nor many tasks meet in one place."""
+    def add(some: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(1, dtype)
+        for x in some["counts"]:
+            total = total + np.frombuffer(x, dtype)
+        return pd.DataFrame({key: some[key][:1], "part": some["part"][:1] // FAN_IN, "counts": [total.tobytes()]})
+
+    parts = (rows.agg(F.max("part")).first()[0] or 0) + 1
+    while True:
+        rows = rows.groupBy(key, F.expr(f"part div {FAN_IN}")).applyInPandas(add, rows.schema)
+        parts = -(-parts // FAN_IN)
+        if parts == 1:
+            return rows.select(key, "counts")
+
+
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components: ``(id, component)`` with the smallest id of each.
 
