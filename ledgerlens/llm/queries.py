@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import byte_bpe, jaccard, language, main_text, packing, repair
+from ledgerlens.llm import byte_bpe, jaccard, language, main_text, packing, repair, secrets
 from ledgerlens.llm.shared import table
 
 QUERIES = {
     "op2_main_text": lambda spark, sf: main_text.extract(table(spark, sf, "pages")),
     "op3_pack": lambda spark, sf: packing.pack(table(spark, sf, "documents")),
     "op4_jaccard": lambda spark, sf: jaccard.linked(table(spark, sf, "documents")),
+    "op6_secrets": lambda spark, sf: secrets.secret_digests(table(spark, sf, "documents")),
     "op7_language": lambda spark, sf: language.held_out_languages(table(spark, sf, "documents")),
     "op8_repair": lambda spark, sf: repair.grammar_digests(table(spark, sf, "documents")),
     "op9_byte_bpe": lambda spark, sf: byte_bpe.encoding_digests(table(spark, sf, "documents")),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op6_secrets": secrets.ORACLE_SQL,
+}
