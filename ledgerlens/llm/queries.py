@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import byte_bpe, jaccard, language, main_text, packing, repair, secrets
+from ledgerlens.llm import byte_bpe, jaccard, language, main_text, packing, quality, repair, secrets
 from ledgerlens.llm.shared import table
 
 QUERIES = {
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_language": lambda spark, sf: language.held_out_languages(table(spark, sf, "documents")),
     "op8_repair": lambda spark, sf: repair.grammar_digests(table(spark, sf, "documents")),
     "op9_byte_bpe": lambda spark, sf: byte_bpe.encoding_digests(table(spark, sf, "documents")),
+    "op10_llr_quality": lambda spark, sf: quality.quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels")),
 }
 
 ORACLE = {
