@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import byte_bpe, jaccard, language, main_text, packing, quality, repair, secrets
+from ledgerlens.llm import byte_bpe, embeddings, jaccard, language, main_text, packing, quality, repair, secrets
 from ledgerlens.llm.shared import table
 
 QUERIES = {
     "op2_main_text": lambda spark, sf: main_text.extract(table(spark, sf, "pages")),
     "op3_pack": lambda spark, sf: packing.pack(table(spark, sf, "documents")),
     "op4_jaccard": lambda spark, sf: jaccard.linked(table(spark, sf, "documents")),
+    "op5_cover_tree": lambda spark, sf: embeddings.near_duplicates(table(spark, sf, "embeddings")),
     "op6_secrets": lambda spark, sf: secrets.secret_digests(table(spark, sf, "documents")),
     "op7_language": lambda spark, sf: language.held_out_languages(table(spark, sf, "documents")),
     "op8_repair": lambda spark, sf: repair.grammar_digests(table(spark, sf, "documents")),
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_cover_tree": embeddings.ORACLE_SQL,
     "op6_secrets": secrets.ORACLE_SQL,
 }
