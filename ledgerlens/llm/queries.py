@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import byte_bpe, embeddings, jaccard, language, main_text, packing, quality, repair, secrets
+from ledgerlens.llm import byte_bpe, embeddings, jaccard, language, main_text, packing, pii, quality, repair, secrets
 from ledgerlens.llm.shared import table
 
 QUERIES = {
+    "op1_surrogates": lambda spark, sf: pii.with_surrogates(table(spark, sf, "documents").select("doc_id", "text")),
     "op2_main_text": lambda spark, sf: main_text.extract(table(spark, sf, "pages")),
     "op3_pack": lambda spark, sf: packing.pack(table(spark, sf, "documents")),
     "op4_jaccard": lambda spark, sf: jaccard.linked(table(spark, sf, "documents")),
