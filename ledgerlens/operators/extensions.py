@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.operators.lineage import impacted
+from ledgerlens.session import ensure_checkpoint_dir, reached
+
 
 def _d(v: str) -> Column:
     return F.lit(v).cast("date")
@@ -90,10 +93,13 @@ def reconcile_summary(diff: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- EXT-7
 def run_diff(run_a: DataFrame, run_b: DataFrame) -> DataFrame:
-    """Rows only in one of two runs (multiset difference both ways)."""
+    """Rows only in one of two runs (multiset difference both ways): one aggregate over
+    both, in which a row counts +1 and -1, so each input is read and shuffled once."""
     cols = run_a.columns
-    return (run_a.exceptAll(run_b.select(*cols)).withColumn("side", F.lit("only_a"))
-            .unionByName(run_b.select(*cols).exceptAll(run_a).withColumn("side", F.lit("only_b"))))
+    both = run_a.withColumn("_n", F.lit(1)).unionByName(run_b.select(*cols).withColumn("_n", F.lit(-1)))
+    left = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    side = F.when(F.col("_n") > 0, F.lit("only_a")).otherwise(F.lit("only_b"))
+    return left.withColumn("_i", F.explode(F.sequence(F.lit(1), F.abs("_n")))).select(*cols, side.alias("side"))
 
 
 # --------------------------------------------------------------------- EXT-17
@@ -302,46 +308,60 @@ def unknown_parents(hierarchy: DataFrame, party: DataFrame) -> DataFrame:
     return hierarchy.join(known, ["parent_party_key", "as_of_date"], "left_anti")
 
 
-def hierarchy_cycles(hierarchy: DataFrame, checkpoint_every: int = 4,
-                     max_rounds: int | None = None) -> DataFrame:
-    """Edges on a cycle, per (hierarchy_type, as_of_date).
-
-    Set-based peeling: an edge whose child is nobody's parent (a leaf) or
-    whose parent is nobody's child (a root) cannot lie on a cycle, so it is
-    removed; repeating until nothing changes leaves the cycle core. In a
-    hierarchy where each child has one parent per type and date, that core is
-    exactly the edges on cycles (following parents from a remaining edge never
-    leaves the set, so it must come back to its start). With several parents
-    per child it also keeps edges that join two cycles. Each round is two
-    semi-joins; the number of rounds is the longest chain hanging off a cycle.
-    Lineage is cut with ``checkpoint()`` every few rounds (the cluster's
-    checkpoint directory).
+_SCOPE = ["hierarchy_type", "as_of_date"]
+
+
+def _peeled(edges: DataFrame) -> DataFrame:
+    """Edges without those that hang off: whose child is nobody's parent or whose parent
+    is nobody's child, again and again."""
+    n, now = -1, edges.checkpoint()
+    while (count := now.count()) != n:
+        n = count
+        parents = now.select(*_SCOPE, F.col("parent").alias("child")).distinct()
+        children = now.select(*_SCOPE, F.col("child").alias("parent")).distinct()
+        now = (now.join(parents, _SCOPE + ["child"], "left_semi")
+                  .join(children, _SCOPE + ["parent"], "left_semi")).checkpoint()
+    return now
+
+
+def hierarchy_cycles(hierarchy: DataFrame) -> DataFrame:
+    """Edges on a cycle, per (hierarchy_type, as_of_date), exact for any number of parents.
+
+    An edge lies on a cycle if its parent reaches its child again: both are in one
+    strongly connected component. What hangs off is peeled away; in the core every party
+    takes the greatest name that reaches it, and the parties that reach that name within
+    its share are its component. They are set aside and the rest is peeled again. All
+    steps are joins and aggregates over the edges, written to the checkpoint folder; a
+    hierarchy without cycles ends with the first peeling.
     """
-    scope = ["hierarchy_type", "as_of_date"]
-    edges = (hierarchy.select(*scope, "child_party_key", "parent_party_key")
-             .where(F.col("child_party_key").isNotNull() & F.col("parent_party_key").isNotNull())
-             .distinct())
-    rounds = 0
-    count = edges.persist().count()
-    while True:
-        # an edge survives when its child is some edge's parent and its parent
-        # is some edge's child: leaves and roots peel away, cycles stay
-        parents = edges.select(*scope, F.col("parent_party_key").alias("child_party_key")) \
-                       .distinct()
-        children = edges.select(*scope, F.col("child_party_key").alias("parent_party_key")) \
-                        .distinct()
-        kept = (edges.join(parents, scope + ["child_party_key"], "left_semi")
-                     .join(children, scope + ["parent_party_key"], "left_semi"))
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            kept = kept.checkpoint()
-        else:
-            kept = kept.persist()
-        kept_count = kept.count()
-        edges.unpersist()
-        edges, removed_any, count = kept, kept_count < count, kept_count
-        if not removed_any or (max_rounds is not None and rounds >= max_rounds):
-            return edges
+    ensure_checkpoint_dir(hierarchy.sparkSession)
+    edges = (hierarchy.select(*_SCOPE, F.col("child_party_key").alias("child"), F.col("parent_party_key").alias("parent"))
+             .where("child is not null and parent is not null").distinct())
+    core, found = _peeled(edges), []
+    while not core.isEmpty():
+        # the greatest name that reaches a party, child to parent
+        names = core.select(*_SCOPE, F.explode(F.array("child", "parent")).alias("node")).distinct().withColumn("name", F.col("node"))
+        changed = True
+        while changed:
+            told = core.join(names.withColumnRenamed("node", "child"), _SCOPE + ["child"]).select(
+                *_SCOPE, F.col("parent").alias("node"), "name")
+            newer = names.withColumn("own", F.lit(1)).unionByName(told.withColumn("own", F.lit(0))).groupBy(*_SCOPE, "node").agg(
+                F.max("name").alias("name"), F.max(F.when(F.col("own") == 1, F.col("name"))).alias("was")).checkpoint()
+            changed = not newer.where("name <> was").isEmpty()
+            names = newer.drop("was")
+        # within a name's share, who reaches the party of that name
+        inside = (core.join(names.select(*_SCOPE, F.col("node").alias("child"), "name"), _SCOPE + ["child"])
+                  .join(names.select(*_SCOPE, F.col("node").alias("parent"), "name"), _SCOPE + ["parent", "name"])).checkpoint()
+        key = lambda c: F.struct(*_SCOPE, "name", F.col(c).alias("node"))
+        members = reached(inside.select(key("parent").alias("a"), key("child").alias("b")),
+                          inside.select(key("name").alias("node")).distinct()).select(F.col("node.*"))
+        on = inside.join(members.withColumnRenamed("node", "child"), _SCOPE + ["name", "child"], "left_semi").join(
+            members.withColumnRenamed("node", "parent"), _SCOPE + ["name", "parent"], "left_semi")
+        found.append(on.select(*_SCOPE, "child", "parent"))
+        core = _peeled(core.join(members.select(*_SCOPE, F.col("node").alias("child")), _SCOPE + ["child"], "left_anti")
+                           .join(members.select(*_SCOPE, F.col("node").alias("parent")), _SCOPE + ["parent"], "left_anti"))
+    out = _union(found) if found else core
+    return out.select(*_SCOPE, F.col("child").alias("child_party_key"), F.col("parent").alias("parent_party_key"))
 
 
 # --------------------------------------------------------------------- EXT-12
@@ -382,27 +402,9 @@ def catalog_with_types(spark: SparkSession, tables: dict[str, DataFrame | T.Stru
 
 # --------------------------------------------------------------------- EXT-13
 def impact(spark: SparkSession, lineage: DataFrame, source_table: str,
-           source_column: str | None = None, max_hops: int = 10) -> DataFrame:
+           source_column: str | None = None) -> DataFrame:
     """Forward lineage: every target a source column (or table) flows into."""
-    sql = """
-with recursive down as (
-  select target_layer, target_table, target_column, 1 as hop,
-         array(target_table || '.' || target_column) as path
-  from {lineage}
-  where regexp_replace(source_table, '^.*\\\\.', '') = :tbl
-    and (:col is null or source_column = :col or source_column = '')
-  union all
-  select l.target_layer, l.target_table, l.target_column, d.hop + 1,
-         array_append(d.path, l.target_table || '.' || l.target_column)
-  from {lineage} l join down d
-    on regexp_replace(l.source_table, '^.*\\\\.', '') = d.target_table
-   and (l.source_column = d.target_column or l.source_column = '')
-   and not array_contains(d.path, l.target_table || '.' || l.target_column)
-  where d.hop < :max_hops)
-select target_layer, target_table, target_column, min(hop) as hop
-from down group by target_layer, target_table, target_column"""
-    return spark.sql(sql, args={"tbl": source_table, "col": source_column,
-                                "max_hops": max_hops}, lineage=lineage)
+    return impacted(lineage, source_table, source_column)
 
 
 def lineage_diff(previous: DataFrame, current: DataFrame) -> DataFrame:
@@ -472,6 +474,6 @@ def incomplete_lineage(stamped: DataFrame) -> DataFrame:
     """Lineage rows missing one of the required components."""
     missing = F.filter(F.array(*[
         F.when(F.coalesce(F.trim(F.col(c)), F.lit("")) == "", F.lit(c))
-        for c in LINEAGE_COMPLETENESS_FIELDS if c != "source_column"]),
+        for c in LINEAGE_COMPLETENESS_FIELDS]),
         lambda x: x.isNotNull())
     return stamped.withColumn("missing", missing).where(F.size("missing") > 0)

@@ -10,7 +10,7 @@ candidate parties and the smallest party key). Externals then meet each index
 with one N:1 left join, and a CASE picks the strongest method. No anti-join
 chain, no pair enumeration: a hot name shared by a third of all records is a
 partially aggregated group on the index side and a skewed-but-N:1 probe on
-the external side (AQE splits it).
+the external side (AQE splits it). The two probes take disjoint records.
 
 Ambiguity (ledger Q7): when a key matches several reference parties, the
 reference emits one row per candidate, so one source id reaches several
@@ -75,11 +75,16 @@ def resolve_party_identity(ref_party: DataFrame, cbs_customer: DataFrame,
     ext = external_side(cbs_customer, trd_counterparty)
     by_lei = _index(ref, ["lei"], "lei")
     by_name = _index(ref, ["norm_name", "country"], "name")
-    x = (ext.join(by_lei, on="lei", how="left")
-            .join(by_name, on=["norm_name", "country"], how="left"))
+    # records with an LEI probe the LEI index only, those without the name index only:
+    # no null LEI meets another in one task, and only the latter are dealt by name
+    given, bare = ext.where(F.col("lei").isNotNull()), ext.where(F.col("lei").isNull())
+    none = F.lit(None).cast("long")
+    x = (given.join(by_lei, on="lei", how="left")
+              .withColumns({"name_candidates": none, "name_party_key": none.cast("string")})
+              .unionByName(bare.join(by_name, on=["norm_name", "country"], how="left")
+                               .withColumns({"lei_candidates": none, "lei_party_key": none.cast("string")})))
     lei_n = F.coalesce(F.col("lei_candidates"), F.lit(0))
-    name_n = F.when(F.col("lei").isNull(), F.coalesce(F.col("name_candidates"), F.lit(0))) \
-              .otherwise(F.lit(0))
+    name_n = F.coalesce(F.col("name_candidates"), F.lit(0))
     method = (F.when(lei_n == 1, F.lit(LEI))
                .when(lei_n > 1, F.lit(AMBIGUOUS))
                .when(name_n == 1, F.lit(NAME_COUNTRY))

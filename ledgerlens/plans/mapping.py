@@ -12,7 +12,7 @@ such a mapping must be an aggregate expression.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,24 @@ class ColumnMapping:
     transformation: str = "direct copy"
 
 
+def reported(target: str, *sources: str, sql: str | None = None, missing: str | None = None,
+             why: str = "") -> ColumnMapping:
+    """A column of a report: by default the column named by its first source, with what
+    stands for a missing value; the description says so, and ``why`` adds the rule."""
+    expression = sql or (sources[0].rsplit(".", 1)[-1] if sources else target)
+    text = "from " + " and ".join(dict.fromkeys(s.split(".", 1)[-1] for s in sources)) if sources else "set by the run"
+    if missing is not None:
+        expression, text = f"coalesce({expression}, {missing})", f"{text}, {missing} where missing"
+    return ColumnMapping(target, expression, sources, f"{text}; {why}" if why else text)
+
+
+def run_date(as_of: str, aggregated: bool = False) -> ColumnMapping:
+    """The reporting date, a parameter of the run."""
+    literal = f"date '{as_of}'"
+    return ColumnMapping("as_of_date", f"max({literal})" if aggregated else literal, (),
+                         "reporting date of the run")
+
+
 @dataclass(frozen=True)
 class Mapping:
     """MAP-2: a complete source-to-target mapping."""
@@ -50,7 +68,6 @@ class Mapping:
     where: str | None = None
     group_by: tuple[str, ...] = ()
     regulatory_facing: bool = True
-    notes: str = field(default="", compare=False)
 
     @property
     def target(self) -> str:
@@ -114,3 +131,15 @@ def lineage_frame(spark: SparkSession, mappings: list[Mapping]) -> DataFrame:
 def apply_mapping(spark: SparkSession, mapping: Mapping, source: DataFrame) -> MappingResult:
     """Build the mapping's data and lineage together; there is no way to get one alone."""
     return MappingResult(mapping, mapping.build(source), lineage_frame(spark, [mapping]))
+
+
+def spread_nulls(df: DataFrame, key: str, by: str) -> DataFrame:
+    """``df`` with a null ``key`` replaced by a value that no surrogate key has, different
+    for each ``by``: a left join on it finds nothing for these rows either, and they are
+    dealt over all tasks instead of meeting in one."""
+    return df.withColumn(key, F.coalesce(F.col(key), F.concat(F.lit("~"), F.col(by))))
+
+
+def unspread(key: str):
+    """The key as it was before :func:`spread_nulls`."""
+    return F.when(~F.col(key).startswith("~"), F.col(key))

@@ -63,19 +63,6 @@ class Pipeline:
     def lineage(self) -> DataFrame:
         return lineage_frame(self.spark, self.mappings())
 
-    def persist(self) -> "Pipeline":
-        """Cache the shared intermediates (idempotent)."""
-        from pyspark import StorageLevel
-        frames = [self.xref, *self.canon.values()]
-        if self.reports is not None:
-            r = self.reports
-            frames += [r.fin_detail.data, r.ccr_trade.data, r.ccr_netting_set.data,
-                       r.rec_detail]
-        for df in frames:
-            if not df.is_cached:
-                df.persist(StorageLevel.MEMORY_AND_DISK)
-        return self
-
 
 def build_reports(spark: SparkSession, canon: dict[str, DataFrame], as_of: str) -> Reports:
     fin_detail = finance.asset_detail(spark, canon, as_of)

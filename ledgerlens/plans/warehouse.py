@@ -1,25 +1,26 @@
 """SNK-1/2/4/6: keyed upsert, full rebuild, load log and findings output.
 
-Tables are Parquet folders under one warehouse root: canonical entities are
-partitioned by ``as_of_date`` so a reporting date is one partition and a
-rerun rewrites only the dates it touches (dynamic partition overwrite).
-
-Keyed upsert without a table format: the rows that survive are the incoming
-rows plus the existing rows of the touched dates whose key is not incoming
-(``left_anti``); a row missing from a rerun therefore survives (the reference
-semantics, ledger Q1). Because a path cannot be overwritten while it is being
-read, the merged partitions are first written to a staging folder and then
-swapped in with a dynamic-partition overwrite. Each write is a Spark job: a
-lost executor only reruns its tasks, and an aborted job leaves the previous
-partition in place.
+A table is a folder of immutable versions. Every write is a new folder
+``version=<id>`` (split by date for dated entities); a numbered state file then names the
+folders that make the table, and one atomic rename of a small pointer publishes it.
+Readers resolve the pointer, so an aborted job, partitioned or not, leaves the table as
+it was, and a published run is never rewritten: ``read(table, state=n)`` gives any
+earlier one (EXT-17).
+
+A keyed upsert writes the incoming rows plus the existing rows of the touched dates whose
+key is not incoming (``left_anti``); a row missing from a rerun survives (ledger Q1). It
+writes once, into the new folder. Append-only tables (events) get a folder with the keys
+not yet present; nothing of theirs is rewritten.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.plans.mapping import Mapping, lineage_frame
 from ledgerlens.schemas import LINEAGE_KEY, LINEAGE_SCHEMA, LOAD_LOG_KEY, LOAD_LOG_SCHEMA
@@ -38,6 +39,10 @@ def keyed_upsert(existing: DataFrame | None, incoming: DataFrame,
     return incoming.unionByName(keep.select(*incoming.columns))
 
 
+#: Tables whose rows never change once written (events).
+APPEND_ONLY = ("canon.trade_event",)
+
+
 def dedupe_on_keys(df: DataFrame, keys: list[str], order_cols: list[str],
                    keep: str = "last") -> DataFrame:
     """Deterministic de-duplication: one row per key, the greatest (``keep="last"``)
@@ -48,6 +53,8 @@ def dedupe_on_keys(df: DataFrame, keys: list[str], order_cols: list[str],
     sorted whole in one task.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
+    if not rest and not order_cols:
+        return df.distinct()
     row = F.struct(*[F.col(c) for c in order_cols + rest])
     pick = F.max(row) if keep == "last" else F.min(row)
     return (df.groupBy(*keys).agg(pick.alias("_row"))
@@ -65,49 +72,114 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
+    # ------------------------------------------------------------- small files
+    def _hadoop(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _put(self, path: str, text: str) -> None:
+        """Write a small file beside its place and rename it there in one step."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        aside = f"{path}-{uuid.uuid4().hex}"
+        fs, p = self._hadoop(aside)
+        out = fs.create(p, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        overwrite = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        overwrite[0] = hadoop.Options.Rename.OVERWRITE
+        hadoop.FileContext.getFileContext(p.toUri(), self.spark._jsc.hadoopConfiguration()).rename(
+            p, hadoop.Path(path), overwrite)
+
+    def _get(self, path: str) -> str:
+        fs, p = self._hadoop(path)
+        stream = fs.open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    # ------------------------------------------------------------- states
     def exists(self, table: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, p = self._hadoop(f"{self.path(table)}/_current")
         return fs.exists(p)
 
-    def _delete(self, path: str) -> None:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+    def current(self, table: str) -> int:
+        """The number of the published state; 0 before the first."""
+        return int(self._get(f"{self.path(table)}/_current")) if self.exists(table) else 0
+
+    def _state(self, table: str, state: int | None = None) -> dict:
+        return json.loads(self._get(f"{self.path(table)}/_states/{state or self.current(table)}"))
+
+    def _publish(self, table: str, schema: T.StructType, partition_col: str | None,
+                 segments: list[list]) -> None:
+        """``segments``: (version, date folder or None) of every folder of the table."""
+        n = self.current(table) + 1
+        state = {"schema": schema.jsonValue(), "partition_col": partition_col, "segments": segments}
+        self._put(f"{self.path(table)}/_states/{n}", json.dumps(state))
+        self._put(f"{self.path(table)}/_current", str(n))
+
+    def read(self, table: str, state: int | None = None) -> DataFrame:
+        found = self._state(table, state)
+        schema, base = T.StructType.fromJson(found["schema"]), self.path(table)
+        paths = [f"{base}/version={v}" + (f"/{part}" if part else "") for v, part in found["segments"]]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+        return self.spark.read.option("basePath", base).schema(stored).parquet(*paths).select(*schema.names)
+
+    def _write(self, table: str, df: DataFrame, partition_col: str | None) -> list[list]:
+        """Write a new version; its segments."""
+        version = uuid.uuid4().hex
+        path = f"{self.path(table)}/version={version}"
+        writer = df.write.partitionBy(partition_col) if partition_col else df.write
+        writer.parquet(path)
+        if not partition_col:
+            return [[version, None]]
+        fs, p = self._hadoop(path)
+        return [[version, st.getPath().getName()] for st in fs.listStatus(p) if st.isDirectory()]
 
     def replace(self, table: str, df: DataFrame) -> None:
         """SNK-2: create or replace the whole table."""
-        df.write.mode("overwrite").parquet(self.path(table))
-
-    def _writer(self, df: DataFrame, partition_col: str | None):
-        # dynamic partition overwrite is set on the writer itself, so a session
-        # left at the static default can never wipe the dates a load does not touch
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        return w.partitionBy(partition_col) if partition_col else w
+        self._publish(table, df.schema, None, self._write(table, df, None))
 
     def upsert(self, table: str, incoming: DataFrame, keys: tuple[str, ...],
                partition_col: str | None = "as_of_date") -> None:
-        """SNK-1: keyed upsert; only the partitions present in ``incoming`` are rewritten."""
-        if not self.exists(table):
-            self._writer(incoming, partition_col).parquet(self.path(table))
-            return
-        existing = self.read(table)
-        if partition_col:
-            # only the touched dates are read back and rewritten
-            dates = incoming.select(partition_col).distinct()
-            existing = existing.join(dates, partition_col, "left_semi")
-        merged = keyed_upsert(existing, incoming, keys)
-        staging = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
-        self._writer(merged, partition_col).parquet(staging)
-        staged = self.spark.read.parquet(staging).select(*incoming.columns)
-        self._writer(staged, partition_col).parquet(self.path(table))
-        # the swap succeeded: the staged copy is no longer needed (on failure it
-        # is kept, and the previous partitions are still in place)
-        self._delete(staging)
+        """SNK-1: keyed upsert; only the partitions present in ``incoming`` are written.
+
+        Of incoming rows with one key the greatest, column by column, is taken.
+        """
+        incoming = dedupe_on_keys(incoming, list(keys), [])
+        kept: list[list] = []
+        merged = incoming
+        if self.exists(table):
+            existing = self.read(table)
+            kept = self._state(table)["segments"]
+            if partition_col:  # only the touched dates are read back
+                existing = existing.join(incoming.select(partition_col).distinct(), partition_col, "left_semi")
+            merged = keyed_upsert(existing, incoming, keys)
+        new = self._write(table, merged, partition_col)
+        touched = {part for _, part in new}
+        self._publish(table, incoming.schema, partition_col,
+                      new + [s for s in kept if partition_col and s[1] not in touched])
+
+    def append(self, table: str, incoming: DataFrame, keys: tuple[str, ...]) -> None:
+        """Add the rows of an append-only table whose keys it does not have yet."""
+        incoming = dedupe_on_keys(incoming, list(keys), [])
+        kept: list[list] = []
+        if self.exists(table):
+            incoming = incoming.join(self.read(table).select(*keys), list(keys), "left_anti")
+            kept = self._state(table)["segments"]
+        self._publish(table, incoming.schema, None, kept + self._write(table, incoming, None))
+
+    def forget(self, table: str, states: int = 2) -> None:
+        """Delete the versions that the last ``states`` states do not use."""
+        n = self.current(table)
+        used = {v for i in range(max(1, n - states + 1), n + 1) for v, _ in self._state(table, i)["segments"]}
+        fs, p = self._hadoop(self.path(table))
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("version=") and name[8:] not in used:
+                fs.delete(st.getPath(), True)
 
     def write_mappings(self, parts: list[tuple[Mapping, DataFrame]],
                        keys: tuple[str, ...] | None = None,
@@ -124,24 +196,28 @@ class Warehouse:
         for i, (m, df) in enumerate(parts):
             t = df.withColumn("_part", F.lit(i))
             tagged = t if tagged is None else tagged.unionByName(t)
-        if keys and self.exists(target):
-            # the merge reads ``incoming`` more than once: stage it, count, upsert
-            staged = tagged.persist()
-            n = {r["_part"]: r["n"] for r in
-                 staged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
-            self.upsert(target, staged.drop("_part"), keys, partition_col=partition_col)
-            staged.unpersist()
+        if keys and self.exists(target):  # the merge reads the incoming rows more than once
+            held = tagged.persist()
+            n = {r["_part"]: r["n"] for r in held.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+            self._merge(target, held.drop("_part"), keys, partition_col)
+            held.unpersist()
             return {f"{m.rule_id} {target}": int(n.get(i, 0)) for i, (m, _) in enumerate(parts)}
         obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
         observed = tagged.observe(obs, *[F.count_if(F.col("_part") == i).alias(f"p{i}")
                                          for i in range(len(parts))]).drop("_part")
         if keys:
-            self.upsert(target, observed, keys, partition_col=partition_col)
+            self._merge(target, observed, keys, partition_col)
         else:
             self.replace(target, observed)
         got = obs.get
         return {f"{m.rule_id} {target}": int(got[f"p{i}"]) for i, (m, _) in enumerate(parts)}
 
+    def _merge(self, target: str, df: DataFrame, keys: tuple[str, ...], partition_col: str | None) -> None:
+        if target in APPEND_ONLY:
+            self.append(target, df, keys)
+        else:
+            self.upsert(target, df, keys, partition_col=partition_col)
+
     def record(self, mappings: list[Mapping], counts: dict[str, int], as_of_date: str) -> None:
         """SNK-4 + SNK-5: lineage of the mappings and one load-log row each."""
         self.upsert("meta.lineage", lineage_frame(self.spark, mappings), LINEAGE_KEY,
@@ -163,9 +239,7 @@ class Warehouse:
 
     def tables(self, namespace: str) -> list[str]:
         """Table folders under ``<root>/<namespace>`` (SRC-3 over a built warehouse)."""
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{namespace}")
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, p = self._hadoop(f"{self.root}/{namespace}")
         if not fs.exists(p):
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(p)

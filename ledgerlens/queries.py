@@ -22,22 +22,12 @@ from ledgerlens.sources.testdata import AS_OF, testdata_extracts
 _PIPELINES: dict[tuple, Pipeline] = {}
 
 
-def pipeline(spark: SparkSession, sf_dir: str, persist: bool = False) -> Pipeline:
-    """The lazy pipeline for ``sf_dir`` (plan objects reused within a session).
-
-    ``persist=True`` marks the identity cross-reference, the canonical tables
-    and the detail reports read by several queries as MEMORY_AND_DISK cached,
-    so a session running many queries builds the shared model once, the way a
-    warehouse would. Cached blocks lost with an executor are recomputed from
-    lineage.
-    """
+def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """The lazy pipeline for ``sf_dir`` (plan objects reused within a session)."""
     key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _PIPELINES:
         _PIPELINES[key] = build_pipeline(spark, testdata_extracts(spark, sf_dir), AS_OF)
-    p = _PIPELINES[key]
-    if persist:
-        p.persist()
-    return p
+    return _PIPELINES[key]
 
 
 def bind_pipeline(spark: SparkSession, sf_dir: str, p: Pipeline) -> None:
@@ -385,11 +375,11 @@ def _(spark, sf):
 def _(spark, sf):
     x = pipeline(spark, sf).extracts
     from ledgerlens.functions import try_date_sql
-    frames = []
+    typed: dict[tuple[str, str], dict[str, str]] = {}  # one pass per extract and rule
     for extract, col, typing, rule in TYPED_SOURCE_COLUMNS:
-        expr = try_date_sql(col) if typing == "date" else typing
-        frames.append(ext.rejects(x[extract].select(col), {col: expr}, rule))
-    return ext.reject_summary(ext._union(frames))
+        typed.setdefault((extract, rule), {})[col] = try_date_sql(col) if typing == "date" else typing
+    return ext.reject_summary(ext._union([
+        ext.rejects(x[extract].select(*cols), cols, rule) for (extract, rule), cols in typed.items()]))
 
 
 @query("ext_dq_results")
@@ -460,8 +450,6 @@ def _(spark, sf):
 
 @query("ext_hierarchy_cycles")
 def _(spark, sf):
-    from ledgerlens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
     return ext.hierarchy_cycles(pipeline(spark, sf).canon["party_hierarchy"])
 
 

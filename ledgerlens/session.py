@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every plan in this package assumes.
 SESSION_DEFAULTS = {
@@ -30,7 +31,6 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -48,18 +48,39 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint directory.
+    """The folder ``spark.checkpoint.dir`` names, set for the context if need be.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (tests, a laptop) is a local folder created.
+    On a cluster that setting must name a folder all executors share; only a
+    session on one machine without it (tests, a laptop) gets a local folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def reached(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """Nodes reached from ``start(node)`` over ``edges(a, b)``: ``(node, steps)`` with the
+    least number of steps, 0 for the start.
+
+    One frontier at a time, without the nodes already seen, until none is new: it ends
+    on cycles, has no depth limit, and never enumerates paths. Each frontier is written
+    to the checkpoint folder, so the plan does not grow with the depth.
+    """
+    ensure_checkpoint_dir(edges.sparkSession)
+    seen = frontier = start.select("node").distinct().withColumn("steps", F.lit(0)).checkpoint()
+    steps = 0
+    while not frontier.isEmpty():
+        steps += 1
+        frontier = (edges.join(frontier.select(F.col("node").alias("a")), "a")
+                    .select(F.col("b").alias("node")).distinct()
+                    .join(seen.select("node"), "node", "left_anti")
+                    .withColumn("steps", F.lit(steps)).checkpoint())
+        seen = seen.unionByName(frontier)
+    return seen

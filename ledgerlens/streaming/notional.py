@@ -1,13 +1,11 @@
 """EXT-16 as a stream: current notional maintained from immutable trade events.
 
 Trade events are append-only and immutable; a correction is a new event.
-New event files landing in a folder are read as a stream, redeliveries are
-dropped with ``dropDuplicatesWithinWatermark`` on an *ingest* timestamp (so
-the watermark bounds de-duplication state without ever classifying a
-genuine event as late: economic dates can be years old), and the running
-sum per arrangement is emitted in update mode. Each micro-batch is upserted
-into the current-notional table with the same keyed upsert as the batch
-loads, so a replayed batch after a failure rewrites the same rows.
+New event files landing in a folder are read as a stream. A micro-batch is appended to
+the stored events, without the keys that are stored already: a redelivery is dropped
+however late it comes, as in the batch rule. The notional of the arrangements the batch
+touches is then summed from the stored events and upserted. Both steps are idempotent, so
+a batch replayed after a failure changes nothing.
 
 The batch operator :func:`ledgerlens.operators.extensions.notional_as_of` is
 the correctness reference: after the stream has consumed every file, the
@@ -32,33 +30,31 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
-def notional_updates(events: DataFrame, dedup_window: str = "1 day") -> DataFrame:
-    """Streaming plan: de-duplicate redeliveries, running notional per arrangement."""
-    return (events
-            .withColumn("ingest_ts", F.current_timestamp())
-            .withWatermark("ingest_ts", dedup_window)
-            .dropDuplicatesWithinWatermark(["event_key"])
-            .groupBy("arrangement_key")
-            .agg(F.sum("notional_delta").cast("decimal(38,2)").alias("notional_outstanding"),
-                 F.count(F.lit(1)).alias("events"),
-                 F.max("economic_event_date").alias("last_event_date")))
-
-
 def start_notional_stream(spark: SparkSession, source_dir: str, warehouse: Warehouse,
                           checkpoint_location: str, table: str = "rpt.current_notional",
-                          available_now: bool = True,
+                          events_table: str = "canon.streamed_event", available_now: bool = True,
                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Run the stream from Parquet event files into ``table`` (keyed on arrangement)."""
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    updates = notional_updates(reader.parquet(source_dir))
-
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        warehouse.upsert(table, batch, ("arrangement_key",), partition_col=None)
 
-    writer = (updates.writeStream.outputMode("update")
-              .option("checkpointLocation", checkpoint_location)
-              .foreachBatch(upsert))
+    def absorb(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()
+        try:
+            warehouse.append(events_table, batch.where("event_key is not null"), ("event_key",))
+            touched = batch.select("arrangement_key").distinct()
+            notional = (warehouse.read(events_table).join(touched, "arrangement_key", "left_semi")
+                        .groupBy("arrangement_key")
+                        .agg(F.sum("notional_delta").cast("decimal(38,2)").alias("notional_outstanding"),
+                             F.count(F.lit(1)).alias("events"),
+                             F.max("economic_event_date").alias("last_event_date")))
+            warehouse.upsert(table, notional, ("arrangement_key",), partition_col=None)
+            warehouse.forget(table)
+        finally:
+            batch.unpersist()
+
+    writer = (reader.parquet(source_dir).writeStream
+              .option("checkpointLocation", checkpoint_location).foreachBatch(absorb))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

@@ -79,7 +79,7 @@ def test_hierarchy_cycles_exact_on_single_parent_graph(spark):
         ('f', 'g'), ('g', 'h'),                  -- a plain chain
         ('s', 's')                               -- a self-loop
         as t(c, p)""")
-    got = rows(X.hierarchy_cycles(edges, checkpoint_every=2), "child_party_key", "parent_party_key")
+    got = rows(X.hierarchy_cycles(edges), "child_party_key", "parent_party_key")
     assert got == [("a", "b"), ("b", "c"), ("c", "a"), ("s", "s")]
 
 
