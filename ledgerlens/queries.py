@@ -258,7 +258,16 @@ def _(spark, sf):
     r = p.reports
     return checks.check_risk(r.ccr_trade.data, r.ccr_netting_set.data, r.rec_netting.data,
                              p.canon["arrangement"], p.canon["trade_event"],
-                             p.canon["collateral"], p.canon["collateral_allocation"], AS_OF)
+                             p.canon["collateral"], p.canon["collateral_allocation"],
+                             p.canon["classification"], AS_OF)
+
+
+@query("chk_rerun")
+def _(spark, sf):
+    """The loads upserted over themselves, as a rerun of the same day does."""
+    canon = pipeline(spark, sf).canon
+    again = {n: keyed_upsert(df, df, PRIMARY_KEYS[n]) for n, df in canon.items()}
+    return checks.check_rerun(canon, again)
 
 
 @query("chk_reconciliation")
@@ -319,6 +328,10 @@ TYPED_SOURCE_COLUMNS = [
 ]
 
 
+#: Times at which positions are read: before and after the restatement of the last date.
+KNOWN_TIMES = ("1998-07-05", "1998-07-25")
+
+
 def _code_list(spark):
     return spark.createDataFrame(PRODUCT_CODE_LIST, "code string, mapped_value string, "
                                  "valid_from string, valid_to string") \
@@ -339,9 +352,15 @@ def _(spark, sf):
 
 @query("ext_position_as_known")
 def _(spark, sf):
+    """Positions as known at two times: marked ones are restated, with their fair value as
+    carrying amount, 20 days after the date they are valid for."""
     pos = pipeline(spark, sf).canon["position"]
-    return ext.as_known_at(pos, ["arrangement_key"], "as_of_date", "as_of_date",
-                           "1998-05-15", "1998-05-15")
+    first = pos.withColumn("known_date", F.col("as_of_date"))
+    restated = pos.where(F.col("fair_value").isNotNull()).withColumns(
+        {"carrying_amount": F.col("fair_value"), "known_date": F.date_add("as_of_date", 20)})
+    versions = first.unionByName(restated)
+    return ext._union([ext.as_known_at(versions, ["arrangement_key"], "as_of_date", "known_date", AS_OF, known)
+                       .withColumn("known_at", F.lit(known).cast("date")) for known in KNOWN_TIMES])
 
 
 @query("ext_restatement_summary")

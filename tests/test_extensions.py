@@ -83,6 +83,31 @@ def test_hierarchy_cycles_exact_on_single_parent_graph(spark):
     assert got == [("a", "b"), ("b", "c"), ("c", "a"), ("s", "s")]
 
 
+def test_hierarchy_cycles_with_several_parents(spark):
+    edges = spark.sql("""select 'LEGAL_OWNERSHIP' as hierarchy_type, date '2026-03-31' as as_of_date,
+        c as child_party_key, p as parent_party_key from values
+        ('a', 'b'), ('b', 'a'), ('b', 'c'), ('c', 'd'), ('d', 'c'),  -- two cycles and the edge between
+        ('m', 'n'), ('n', 'o'), ('o', 'm'), ('n', 'q'), ('q', 'm'),  -- cycles that share a party
+        ('t', 'a'), ('d', 'u')                                        -- tails
+        as t(c, p)""")
+    got = rows(X.hierarchy_cycles(edges), "child_party_key", "parent_party_key")
+    assert got == [("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("m", "n"), ("n", "o"), ("n", "q"),
+                   ("o", "m"), ("q", "m")]
+
+
+def test_queries_with_content(spark):
+    """Rows that prove something: every restatement reason, cycles, unknown parents, and a
+    restatement that only the later reading knows."""
+    from ledgerlens.queries import QUERIES
+    sf = "/root/testdata/sf0.01"
+    assert {r.reason for r in QUERIES["ext_restatement_summary"](spark, sf).collect()} == \
+        {"MATCH", "CHANGED", "ONLY_ORIGINAL", "ONLY_RESTATED"}
+    assert QUERIES["ext_hierarchy_unknown_parents"](spark, sf).count() > 0
+    assert QUERIES["ext_hierarchy_cycles"](spark, sf).count() > 4
+    known = QUERIES["ext_position_as_known"](spark, sf)
+    assert known.groupBy("arrangement_key").agg(F.countDistinct("carrying_amount").alias("n")).where("n = 2").count() > 0
+
+
 def test_schema_change_classification(spark):
     old = spark.createDataFrame([("t", "a", "int"), ("t", "b", "decimal(20,2)"),
                                  ("t", "c", "string"), ("t", "d", "string")],

@@ -1,5 +1,8 @@
 """Lineage mechanism micro-fixtures, upsert semantics, and the trace / audit rules."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerlens.operators import audit as A
 from ledgerlens.operators import lineage as L
 from ledgerlens.plans.mapping import ColumnMapping as C
@@ -78,6 +81,33 @@ def test_warehouse_upsert_rewrites_only_touched_dates(spark, tmpdir_path):
     assert wh.tables("_staging") == []          # staged copies are removed after the swap
 
 
+@pytest.mark.parametrize("partition_col", ["as_of_date", None])
+def test_an_aborted_write_leaves_the_table(spark, tmpdir_path, partition_col):
+    from ledgerlens.plans.warehouse import Warehouse
+    wh = Warehouse(spark, tmpdir_path)
+    good = spark.sql("select * from values ('a', 1, date '2026-03-31'), ('b', 2, date '2026-03-31') as t(k, v, as_of_date)")
+    bad = good.selectExpr("k", "if(k = 'b', cast(raise_error('stopped') as int), v + 1) as v", "as_of_date")
+    wh.upsert("canon.t", good, ("k", "as_of_date"), partition_col=partition_col)
+    for write in (lambda: wh.upsert("canon.t", bad, ("k", "as_of_date"), partition_col=partition_col),
+                  lambda: wh.replace("canon.t", bad), lambda: wh.append("canon.t", bad.withColumn("k", F.col("v").cast("string")), ("k",))):
+        with pytest.raises(Exception):
+            write()
+        assert rows(wh.read("canon.t"), "k", "v") == [("a", 1), ("b", 2)] and wh.current("canon.t") == 1
+
+
+def test_duplicate_keys_states_and_appends(spark, tmpdir_path):
+    from ledgerlens.plans.warehouse import Warehouse
+    wh = Warehouse(spark, tmpdir_path)
+    wh.upsert("canon.t", spark.sql("select * from values ('a', 1), ('a', 3), ('b', 2) as t(k, v)"), ("k",), partition_col=None)
+    assert rows(wh.read("canon.t"), "k", "v") == [("a", 3), ("b", 2)]
+    wh.append("canon.t", spark.sql("select * from values ('a', 9), ('c', 4), ('c', 4) as t(k, v)"), ("k",))
+    assert rows(wh.read("canon.t"), "k", "v") == [("a", 3), ("b", 2), ("c", 4)]
+    wh.replace("canon.t", spark.sql("select 'z' as k, 0 as v where false"))
+    assert wh.read("canon.t").count() == 0 and wh.read("canon.t", state=2).count() == 3
+    wh.forget("canon.t", states=1)
+    assert wh.read("canon.t").columns == ["k", "v"]
+
+
 LIN = [
     # three-hop chain into a multi-source aggregate
     ("R1", "REPORTING", "agg", "total", "REPORTING", "rpt.detail", "amount", "sum of amounts", True),
@@ -128,6 +158,23 @@ def test_reachability(spark):
     assert ("agg", "total") in cols and ("orphan", "v") not in cols and ("a", "x") not in cols
 
 
+def test_chains_of_any_length(spark):
+    """Fifteen hops, with a branch at every table: complete trace, reach and impact."""
+    from ledgerlens.operators import extensions as X
+    n = 15
+    chain = [(f"R{i}", "REPORTING" if i == 0 else "CANONICAL", f"t{i}", c, "SOURCE" if i == n - 1 else "CANONICAL",
+              "SRC_x" if i == n - 1 else f"canon.t{i + 1}", s, "made of it", True)
+             for i in range(n) for c in ("a", "b") for s in ("a", "b")]
+    lin = spark.createDataFrame(chain, LINEAGE_SCHEMA)
+    t = L.trace(spark, lin, "t0", "a")
+    s = L.trace_summary(t).collect()[0]
+    assert (s.max_hop, s.landing_sources) == (n, ["SRC_x"]) and s.trace_rows == 2 + 4 * (n - 1)
+    assert L.tables_reaching_source(lin).count() == n
+    assert X.impact(spark, lin, "SRC_x", "a").count() == 2 * n
+    cat = spark.createDataFrame([("REPORTING", "t0", "a", 1)], "layer string, table_name string, column_name string, ordinal int")
+    assert A.dp19_lineage_sufficient(cat, lin).where("severity = 'ERROR'").count() == 0
+
+
 def _pipeline_audit_inputs(spark, p):
     from ledgerlens.schemas import ENTITY_SCHEMAS, registry_frame
     cat = catalog_from_schemas(spark, {"CANONICAL": ENTITY_SCHEMAS,

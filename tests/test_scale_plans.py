@@ -59,3 +59,49 @@ def test_hot_name_is_split_by_aqe_and_resolves_right(spark):
                 spark.conf.set(k, v)
     assert mix == {"NATIVE": n, "NAME_COUNTRY": n}
     assert "SortMergeJoin" in plan and "skew=true" in plan, plan[:2000]
+
+
+def test_null_keys_are_dealt_over_all_tasks(spark, small_pipeline):
+    """Half of the finance rows have no party: the shuffles of the party join hold even
+    partitions all the same, and the result keeps the nulls."""
+    from pyspark.sql import functions as F
+
+    from ledgerlens.plans.mapping import spread_nulls, unspread
+    left = spark.range(4000).selectExpr("concat('a', id) as a", "if(id % 2 = 0, null, concat('p', id % 900)) as p")
+    right = spark.range(900).selectExpr("concat('p', id) as p", "id as v")
+    joined = spread_nulls(left, "p", "a").join(right, "p", "left").withColumn("p", unspread("p"))
+    assert joined.where("p is null").count() == 2000 and joined.where("v is not null").count() == 2000
+    sizes = [r.n for r in spread_nulls(left, "p", "a").repartition(8, "p").groupBy(F.spark_partition_id()).agg(
+        F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
+    for name in ("fin_detail", "ccr_trade"):
+        assert "concat(~" in _physical_plan(QUERIES[name](spark, SF_SMALL))
+
+
+def test_broken_inputs_fail_the_checks(spark, small_pipeline):
+    """Every added check can fail."""
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators import checks
+    from ledgerlens.sources.testdata import AS_OF
+    p, c, r = small_pipeline, small_pipeline.canon, small_pipeline.reports
+
+    def ids(df):
+        return {x.check_id for x in df.where("violations > 0").collect()}
+
+    one = c["party_hierarchy"].where("hierarchy_type = 'LEGAL_OWNERSHIP'")
+    same = one.unionByName(one.withColumn("hierarchy_type", F.lit("RISK_GROUP")).withColumn("ownership_pct", F.lit(None).cast("decimal(9,4)")))
+    assert "CHK-5 divergence" in ids(checks.check_canonical({**c, "party_hierarchy": same}, AS_OF))
+    fin = r.fin_detail.data.withColumn("liability_fair_value", F.lit(0).cast("decimal(20,2)"))
+    assert "CHK-7 liabilities" in ids(checks.check_finance(fin, r.fin_by_sector.data, c["arrangement"], c["trade_event"], AS_OF))
+    risk = lambda trades, netting, col: ids(checks.check_risk(
+        trades, r.ccr_netting_set.data, netting, c["arrangement"], c["trade_event"], col, c["collateral_allocation"],
+        c["classification"], AS_OF))
+    broken = risk(r.ccr_trade.data.withColumn("counterparty_sector", F.lit("OTHER")),
+                  r.rec_netting.data.withColumn("netting_benefit", F.lit(0).cast("decimal(38,2)")),
+                  c["collateral"].withColumn("market_value", (F.col("market_value") * 1000).cast("decimal(20,2)")))
+    assert broken == {"CHK-11 enforceable", "CHK-13 sector"}  # and with enough assets CHK-14 holds
+    assert "CHK-17 not empty" in ids(checks.check_reconciliation(
+        r.rec_detail, r.fin_detail.data, r.ccr_trade.data, r.rec_disagreement.data.where("false")))
+    party = c["party"]
+    assert ids(checks.check_rerun({"party": party}, {"party": party.where("party_key > '8'")})) == {"CHK-3 party"}
