@@ -85,7 +85,7 @@ def codewords(k: int) -> np.ndarray:
     """``k`` rows of +1/-1: all splits of up to six languages, else the random code of
     10 log2(k) bits with the largest least distance among a hundred seeded ones."""
     if k <= 6:
-        splits = [s for s in itertools.product([1, -1], repeat=k) if s[0] == 1 and -1 in s]
+        splits = [s for s in itertools.product([1, -1], repeat=k) if s[:1] == (1,) and -1 in s]
         return np.array(splits, np.int8).T.reshape(k, -1)
     rng, best, most = np.random.default_rng(k), None, -1
     for _ in range(100):
