@@ -140,6 +140,23 @@ def reject_summary(rejected: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rejected_rows"))
 
 
+def load_reconciliation(loads: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Source against canonical, per load: ``(name, source, its amount, target, its amount)``
+    to row counts and typed totals on both sides and their differences."""
+    money = lambda c: F.coalesce(F.sum(F.expr(f"try_cast(trim({c}) as decimal(20,2))")), F.lit(0)).cast("decimal(38,2)")
+    out = []
+    for name, source, given, target, got in loads:
+        sides = source.agg(F.count(F.lit(1)).alias("source_rows"), money(given).alias("source_amount")).withColumns(
+            {"loaded_rows": F.lit(0).cast("long"), "loaded_amount": F.lit(0).cast("decimal(38,2)")}).unionByName(
+            target.agg(F.count(F.lit(1)).alias("loaded_rows"), F.coalesce(F.sum(got), F.lit(0)).cast("decimal(38,2)").alias("loaded_amount")).withColumns(
+                {"source_rows": F.lit(0).cast("long"), "source_amount": F.lit(0).cast("decimal(38,2)")}))
+        out.append(sides.agg(*[F.sum(c).cast(t).alias(c) for c, t in (
+            ("source_rows", "long"), ("loaded_rows", "long"), ("source_amount", "decimal(38,2)"), ("loaded_amount", "decimal(38,2)"))])
+            .select(F.lit(name).alias("load"), "*", (F.col("loaded_rows") - F.col("source_rows")).alias("row_difference"),
+                    (F.col("loaded_amount") - F.col("source_amount")).cast("decimal(38,2)").alias("amount_difference")))
+    return _union(out)
+
+
 # --------------------------------------------------------------------- EXT-3
 @dataclass(frozen=True)
 class QualityRule:
@@ -183,6 +200,34 @@ def split_quarantine(df: DataFrame, rules: list[QualityRule]) -> tuple[DataFrame
             tagged.where(F.size("_failed") > 0).withColumnRenamed("_failed", "failed_rules"))
 
 
+def quarantine_counts(tables: dict[str, DataFrame], rules: list[QualityRule]) -> DataFrame:
+    """Per table with quarantine rules: rows that pass, and rows held back by the rules
+    they fail, in one pass."""
+    out = []
+    for table in sorted({r.table for r in rules if r.action == "quarantine"}):
+        good, held = split_quarantine(tables[table], [r for r in rules if r.table == table])
+        both = good.select(F.lit("").alias("failed_rules")).unionByName(
+            held.select(F.array_join("failed_rules", ",").alias("failed_rules")))
+        out.append(both.groupBy("failed_rules").agg(F.count(F.lit(1)).alias("rows"))
+                   .select(F.lit(table).alias("table_name"), "failed_rules", "rows"))
+    return _union(out)
+
+
+def publishable(results: DataFrame) -> DataFrame:
+    """From rule results: per table whether it may be published. A failing ``block`` rule
+    stops its table."""
+    return results.groupBy("table_name").agg(
+        F.coalesce(F.max((F.col("action") == "block") & (F.col("failed_rows") > 0)), F.lit(False)).alias("blocked")) \
+        .select("table_name", (~F.col("blocked")).alias("publishable"))
+
+
+def require_publishable(results: DataFrame) -> None:
+    """Raise if a ``block`` rule fails; for use between a load and its publication."""
+    blocked = [r["table_name"] for r in publishable(results).where("not publishable").collect()]  # one row per table
+    if blocked:
+        raise ValueError(f"blocked by a quality rule: {', '.join(sorted(blocked))}")
+
+
 # --------------------------------------------------------------------- EXT-8
 def map_effective_codes(df: DataFrame, code_col: str, date_col: str,
                         code_list: DataFrame) -> DataFrame:
@@ -283,6 +328,23 @@ def assets_by_sector_and_currency(fin_detail: DataFrame) -> DataFrame:
                   .alias("impairment_allowance")))
 
 
+def risk_by_currency(trades: DataFrame, arrangement: DataFrame, as_of: str) -> DataFrame:
+    """The risk view's sums with the trade's currency in the grouping."""
+    own = arrangement.where(F.col("as_of_date") == _d(as_of)).select("arrangement_key", "currency")
+    total = lambda c, t: F.sum(c).cast(t).alias(c)
+    return trades.join(own, "arrangement_key").groupBy("as_of_date", "currency", "product_type").agg(
+        F.count(F.lit(1)).alias("trade_count"), total("notional", "decimal(38,2)"),
+        total("replacement_cost", "decimal(38,2)"), total("potential_future_exposure", "decimal(38,6)"))
+
+
+def converted(df: DataFrame, amounts: list[str], rates: DataFrame, to: str) -> DataFrame:
+    """Amounts in the currency ``to`` by the table ``rates(currency, rate)``; an amount in a
+    currency without a rate is null, never passed through. Adds ``converted_to``."""
+    df = df.join(rates.select("currency", F.col("rate").cast("decimal(18,6)").alias("_rate")), "currency", "left")
+    return df.withColumns({c: (F.col(c) * F.col("_rate")).cast("decimal(38,2)") for c in amounts}).drop("_rate").withColumn(
+        "converted_to", F.lit(to))
+
+
 # --------------------------------------------------------------------- EXT-2
 def null_density(df: DataFrame, group_col: str, columns: list[str],
                  threshold: float = 0.5) -> DataFrame:
@@ -458,14 +520,17 @@ def validate_isin(df: DataFrame, col: str = "isin") -> DataFrame:
 
 # --------------------------------------------------------------------- EXT-15
 LINEAGE_COMPLETENESS_FIELDS = ("rule_id", "source_table", "target_column", "transformation",
-                               "run_id", "code_version")
+                               "predicate", "run_id", "code_version")
 
 
-def stamp_lineage(lineage: DataFrame, run_id: str, code_version: str,
-                  as_of_date: str) -> DataFrame:
-    """Lineage rows carrying run, code version and date, so a record names
-    which run of which code produced it."""
-    return (lineage.withColumn("run_id", F.lit(run_id))
+def stamp_lineage(lineage: DataFrame, run_id: str, code_version: str, as_of_date: str,
+                  mappings: list | None = None) -> DataFrame:
+    """Lineage rows carrying run, code version and date, so a record names which run of
+    which code produced it, and the population of its mapping (filter and grouping)."""
+    spark = lineage.sparkSession
+    known = spark.createDataFrame([(m.rule_id, m.predicate) for m in mappings or []], "rule_id string, predicate string")
+    return (lineage.join(known.distinct(), "rule_id", "left")
+            .withColumn("run_id", F.lit(run_id))
             .withColumn("code_version", F.lit(code_version))
             .withColumn("as_of_date", _d(as_of_date)))
 

@@ -115,6 +115,14 @@ def ambiguous_matches(xref: DataFrame) -> DataFrame:
                .select("source_system", "source_id", "candidate_count")
 
 
+def ambiguity_effect(xref: DataFrame, contracts: DataFrame) -> DataFrame:
+    """What ambiguity costs: contracts ``(source_system, source_id, amount)`` and their
+    amounts, by the way their party was resolved; the unresolved ones have no party."""
+    return (contracts.join(xref.select("source_system", "source_id", "resolution_method"), ["source_system", "source_id"], "left")
+            .groupBy("source_system", F.coalesce("resolution_method", F.lit(UNRESOLVED)).alias("resolution_method"))
+            .agg(F.count(F.lit(1)).alias("arrangements"), F.sum("amount").cast("decimal(38,2)").alias("amount")))
+
+
 def ambiguous_candidates(ref_party: DataFrame, cbs_customer: DataFrame,
                          trd_counterparty: DataFrame) -> DataFrame:
     """The candidate parties behind ambiguous matches, one row per (key, party).

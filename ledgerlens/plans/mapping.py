@@ -68,6 +68,13 @@ class Mapping:
     where: str | None = None
     group_by: tuple[str, ...] = ()
     regulatory_facing: bool = True
+    population: str = ""         # the filter, where the source relation applies it
+
+    @property
+    def predicate(self) -> str:
+        """Which rows reach the target, and how they are grouped."""
+        rows = " and ".join(p for p in (self.where, self.population) if p) or "all rows"
+        return f"{rows}; by {', '.join(self.group_by)}" if self.group_by else rows
 
     @property
     def target(self) -> str:

@@ -68,6 +68,15 @@ def _(spark, sf):
     return identity.ambiguous_candidates(x["ref_party"], x["cbs_customer"], x["trd_counterparty"])
 
 
+@query("idr_ambiguity_effect")
+def _(spark, sf):
+    x = pipeline(spark, sf).extracts
+    money = "try_cast(trim({}) as decimal(20,2)) as amount".format
+    contracts = x["cbs_account"].selectExpr("'CBS' as source_system", "cbs_customer_id as source_id", money("original_principal")).unionByName(
+        x["trd_trade"].selectExpr("'TRD' as source_system", "trd_counterparty_id as source_id", money("notional")))
+    return identity.ambiguity_effect(pipeline(spark, sf).xref, contracts)
+
+
 @query("idr_functional_check")
 def _(spark, sf):
     return identity.check_functional(pipeline(spark, sf).xref)
@@ -476,3 +485,61 @@ def _(spark, sf):
 def _(spark, sf):
     party = pipeline(spark, sf).canon["party"].where(F.col("lei").isNotNull())
     return ext.validate_lei(party.select("party_key", "lei"))
+
+
+@query("ext_isin_validation")
+def _(spark, sf):
+    instrument = pipeline(spark, sf).canon["instrument"].where(F.col("isin").isNotNull())
+    return ext.validate_isin(instrument.select("instrument_key", "isin"))
+
+
+@query("ext_quarantine")
+def _(spark, sf):
+    return ext.quarantine_counts(pipeline(spark, sf).canon, QUALITY_RULES)
+
+
+@query("ext_publishable")
+def _(spark, sf):
+    return ext.publishable(ext.evaluate_rules(pipeline(spark, sf).canon, QUALITY_RULES))
+
+
+@query("ext_load_reconciliation")
+def _(spark, sf):
+    p = pipeline(spark, sf)
+    x, c = p.extracts, p.canon
+    own = lambda system: c["arrangement"].where(F.col("arrangement_source_system") == system)
+    return ext.load_reconciliation([
+        ("LD-ARR-CBS-001", x["cbs_account"], "original_principal", own("CBS"), "original_notional"),
+        ("LD-ARR-TRD-001", x["trd_trade"], "notional", own("TRD"), "original_notional"),
+        ("LD-POS-001", x["fin_position"], "carrying_amount", c["position"], "carrying_amount"),
+        ("LD-EVENT-001", x["trd_event"], "notional_delta", c["trade_event"], "notional_delta"),
+        ("LD-COL-001", x["col_collateral"], "market_value", c["collateral"], "market_value"),
+        ("LD-COLALLOC", x["col_allocation"], "allocated_value", c["collateral_allocation"], "allocated_value")])
+
+
+#: Illustrative rates into EUR; CHF has none, so its amounts stay unconverted (null).
+RATES = (("EUR", "1.000000"), ("USD", "0.920000"), ("GBP", "1.170000"))
+
+
+@query("ext_fin_converted")
+def _(spark, sf):
+    rates = spark.createDataFrame(RATES, "currency string, rate string")
+    by = ext.assets_by_sector_and_currency(pipeline(spark, sf).reports.fin_detail.data)
+    return ext.converted(by, ["carrying_amount", "impairment_allowance"], rates, "EUR")
+
+
+@query("ext_ccr_by_currency")
+def _(spark, sf):
+    p = pipeline(spark, sf)
+    return ext.risk_by_currency(p.reports.ccr_trade.data, p.canon["arrangement"], AS_OF)
+
+
+@query("ext_latest_version")
+def _(spark, sf):
+    """The sector report published twice: a first run over active arrangements' detail, then
+    the whole; readers see the newest version per date."""
+    p = pipeline(spark, sf)
+    detail = p.reports.fin_detail.data
+    first = finance.assets_by_sector(spark, detail.where(F.col("impairment_allowance") > 0)).data
+    runs = ext.with_version(first, "run-1", "v1").unionByName(ext.with_version(p.reports.fin_by_sector.data, "run-2", "v1"))
+    return ext.latest_version(runs, ["as_of_date"])

@@ -12,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerlens.session import get_spark
-    s = get_spark(master="local[4]", shuffle_partitions=4, app_name="ledgerlens-tests")
+    s = get_spark(master="local[4]", shuffle_partitions=4, app_name="ledgerlens-tests",
+                  extra={"spark.driver.memory": "8g"})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ll-test-ckpt-"))
     yield s

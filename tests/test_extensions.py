@@ -1,6 +1,8 @@
 """Extensions that run on metadata or need a controlled fixture, plus the stream."""
 
 import os
+
+import pytest
 from decimal import Decimal as Dec
 
 from pyspark.sql import functions as F
@@ -108,6 +110,21 @@ def test_queries_with_content(spark):
     assert known.groupBy("arrangement_key").agg(F.countDistinct("carrying_amount").alias("n")).where("n = 2").count() > 0
 
 
+def test_block_rules_stop_a_publication(spark):
+    rules = [X.QualityRule("B", "t", "validity", "ERROR", "block", "v > 0"), X.QualityRule("F", "u", "validity", "WARN", "flag", "v > 0")]
+    good, bad = spark.sql("select 1 as v"), spark.sql("select -1 as v")
+    X.require_publishable(X.evaluate_rules({"t": good, "u": bad}, rules))
+    with pytest.raises(ValueError, match="t"):
+        X.require_publishable(X.evaluate_rules({"t": bad, "u": good}, rules))
+
+
+def test_conversion_never_passes_an_amount_through(spark):
+    df = spark.sql("select * from values ('EUR', 10.00), ('USD', 10.00), ('XXX', 10.00) as t(currency, a)")
+    rates = spark.sql("select * from values ('EUR', 1.0), ('USD', 0.9) as t(currency, rate)")
+    got = rows(X.converted(df, ["a"], rates, "EUR"), "currency", "a", "converted_to")
+    assert [(c, None if a is None else float(a), t) for c, a, t in got] == [("EUR", 10.0, "EUR"), ("USD", 9.0, "EUR"), ("XXX", None, "EUR")]
+
+
 def test_schema_change_classification(spark):
     old = spark.createDataFrame([("t", "a", "int"), ("t", "b", "decimal(20,2)"),
                                  ("t", "c", "string"), ("t", "d", "string")],
@@ -127,8 +144,12 @@ def test_impact_and_lineage_completeness(spark, small_pipeline):
     assert ("position", "fair_value") in hit
     assert ("ccr_exposure_by_netting_set", "netted_replacement_cost") in hit
     assert ("finrep_assets_by_sector", "carrying_amount") in hit
-    stamped = X.stamp_lineage(lin, "run-1", "abc123", "1998-06-30")
+    stamped = X.stamp_lineage(lin, "run-1", "abc123", "1998-06-30", small_pipeline.mappings())
     assert X.incomplete_lineage(stamped).count() == 0
+    assert X.incomplete_lineage(X.stamp_lineage(lin, "run-1", "abc123", "1998-06-30")).count() == lin.count()
+    said = {r.rule_id: r.predicate for r in stamped.select("rule_id", "predicate").distinct().collect()}
+    assert said["LD-APR-CBS-001"] == "party_key is not null" and said["RPT-RECON-001"].endswith("by difference_reason")
+    assert "not terminated" in said["RPT-FINREP-001"]
     assert X.incomplete_lineage(X.stamp_lineage(lin, "", "abc123", "1998-06-30")).count() == lin.count()
     diff = X.lineage_diff(lin, lin.where(F.col("rule_id") != "LD-POS-001"))
     assert diff.where("side = 'removed'").count() == lin.where("rule_id = 'LD-POS-001'").count()
