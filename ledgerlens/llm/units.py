@@ -25,7 +25,11 @@ from ledgerlens.llm.shared import gather
 #: vocabulary: the run of white space is split elsewhere. (A superset of white space.)
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 _INNER_SPACE = f"{_SPACE} {_SPACE}"
-_PLAIN_UNIT = re.compile(r" [^\s\x1c-\x1f\x85]+\Z")
+#: Units whose ids part again when several are encoded as one text: a word with its space,
+#: whose first token alone begins with a space; a word of letters and at most one mark
+#: after it, each of which ends in a token of its own kind.
+_SPACED_UNIT = re.compile(r" [^\s\x1c-\x1f\x85]+\Z")
+_BARE_UNIT = re.compile(r"[^\W\d_]+([.,]?)\Z")
 
 
 class UnitEncoder:
@@ -36,11 +40,9 @@ class UnitEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task uses one core
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenizer, self.spaced, self.max_units = tokenizer, spaced, max_units
-        starts = np.zeros(tokenizer.get_vocab_size() + 1, bool)
-        if spaced:
-            for token, i in tokenizer.get_vocab().items():
-                starts[i] = token.startswith("Ġ")  # the space in the byte table
-        self._starts = starts
+        self._edge = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+        for token, i in tokenizer.get_vocab().items():
+            self._edge[i] = token.startswith("Ġ") if spaced else token.endswith("</w>")
         self._clear()
 
     def _clear(self) -> None:
@@ -66,14 +68,20 @@ class UnitEncoder:
         self.slot.update(zip(units, range(n, m)))
 
     def _learn(self, units: list[str], many: int = 4000) -> None:
-        """Encode new units; those of one plain word with its space go to the library
-        as one text, whose ids part again where a token begins with a space."""
-        plain = [u for u in units if self.spaced and _PLAIN_UNIT.match(u)]
+        """Encode new units, the plain ones many at a time."""
+        shape = _SPACED_UNIT if self.spaced else _BARE_UNIT
+        plain = [(u, m) for u in units if (m := shape.match(u))]
         for i in range(0, len(plain), many):
-            part = plain[i:i + many]
-            ids = self._whole(["".join(part)])[0]
-            cut = np.flatnonzero(self._starts[ids])
-            if len(cut) == len(part) and cut[0] == 0:
+            part = [u for u, _ in plain[i:i + many]]
+            ids = self._whole([("" if self.spaced else " ").join(part)])[0]
+            edge = np.flatnonzero(self._edge[ids])
+            if self.spaced:
+                cut, right = edge, len(edge) == len(part) and edge[0] == 0
+            else:  # the ends of words and marks
+                ends = np.cumsum([1 + len(m[1]) for _, m in plain[i:i + many]])
+                right = len(edge) == ends[-1]
+                cut = np.append(0, edge[ends[:-1] - 1] + 1) if right else edge
+            if right:
                 self._keep(part, ids, np.diff(np.append(cut, len(ids))))
         rest = [u for u in units if u not in self.slot]
         for i in range(0, len(rest), many):
