@@ -39,14 +39,17 @@ def test_stages(spark):
     check_packing(before.collect(), after.collect())
 
 
-def test_run_ends_in_pieces(spark):
-    assert corpus_pipeline.run(spark, SF_SMALL).columns == [
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+def test_run_chains_the_stages(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [
+        ("one", lambda s, docs, sf: docs.where("doc_id < 50")), ("two", lambda s, docs, sf: docs.where("doc_id >= 40"))])
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF_SMALL).collect()) == list(range(40, 50))
 
 
 def test_clashing_and_empty_tables(spark):
     docs = table(spark, SF_SMALL, "documents").selectExpr("*", "1 AS key", "2 AS row", "3 AS words", "4 AS spans", "5 AS kept", "6 AS kinds")
     for name, stage in corpus_pipeline.STAGES[:4]:
-        out = stage(spark, docs, SF_SMALL)
-        assert out.columns == docs.columns
-        assert out.count() > 0 and stage(spark, docs.limit(0), SF_SMALL).count() == 0
+        out = stage(spark, docs.where("doc_id < 30"), SF_SMALL)
+        assert out.columns == docs.columns and out.count() > 0
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF_SMALL).count() == 0
