@@ -3,12 +3,14 @@
 Documents with one set of n-grams are one class, of which the smallest id goes on. The
 n-grams of a set are ordered rare first by a count over the whole corpus. Two sets that
 are similar enough share an n-gram among the first of each, so only documents with a
-common prefix n-gram meet; their sizes, the places of their first common n-gram and the
-spread of the rest tell most pairs apart, and the others are verified, once, on whole sets.
+common prefix n-gram meet; their sizes, the places of a common n-gram in both and the
+spread of the rest tell most pairs apart, and the others are verified, once, on whole
+sets.
 
 A group of documents with a common prefix n-gram is not expanded into pairs: it is first
-compared with one of its members, round by round, until a round links nothing new. Only
-pairs of members that are not connected by then are enumerated, by size class.
+compared with one of its members, round by round, while its pairs are many and a round
+takes away some. Only pairs of members that are not connected by then are enumerated, by size
+class, so no link between groups is lost whatever the rounds found.
 """
 
 from __future__ import annotations
@@ -27,8 +29,13 @@ from ledgerlens.llm.shared import added_up, components, stored, text_slices
 
 WORDS, PERCENT = 5, 80
 #: Counters for the order of n-grams: each counts the n-grams with its first bits. They
-#: take 4 MB whatever the corpus; sharing one makes the order less exact, no result.
-SKETCH_BITS, SKETCH_ROWS = 20, 64
+#: take 8 MB whatever the corpus; sharing one makes the order less exact, no result.
+SKETCH_BITS, SKETCH_ROWS = 21, 64
+#: Text that a task holds as words and hashes at a time.
+HELD_BYTES = 4 << 20
+#: Rounds of comparing with one member go on while all pairs of members would be more than
+#: so many for each member, and while a round takes away such a share of the pairs.
+PAIRS_A_MEMBER, WORTH_A_ROUND = 4, 0.2
 #: An n-gram is hot if its counter is so many times the mean and so large. Groups of
 #: others are met in sorted streams, hot ones by an aggregate and a join that Spark splits.
 HOT_TIMES, HOT_LEAST = 8, 4096
@@ -79,7 +86,7 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         names = ["doc_id", "n_shingles", "sig", "row", "part", "counts"]
         types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary()]
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=HELD_BYTES):
             sizes, sigs, all_ = [], [], []
             for s in shingle_sets(batch.column(1), n):
                 sizes.append(len(s))
@@ -102,21 +109,21 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
 def _postings(docs: DataFrame, often: np.ndarray, n: int, percent: int) -> DataFrame:
     """``doc_id, n, grams, hot``: the ordered prefix of each non-empty set."""
     hot_at = max(HOT_LEAST, HOT_TIMES * float(often.mean()))
-    rank = np.minimum(often, (1 << SKETCH_BITS) - 1).astype(np.uint64) << np.uint64(64 - SKETCH_BITS)
+    shift, low = np.uint64(64 - SKETCH_BITS), np.uint64((1 << 64 - SKETCH_BITS) - 1)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=HELD_BYTES):
             ids, sizes, grams, hot = [], [], [], []
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), n)):
                 if doc is None or not len(s):
                     continue
-                first = (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                key = rank[first] | (s & np.uint64((1 << 64 - SKETCH_BITS) - 1))
-                s = s[np.argsort(key, kind="stable")[:prefix_length(len(s), percent)]]
+                count = often[(s >> shift).astype(np.int64)]
+                key = np.minimum(count, (1 << SKETCH_BITS) - 1).astype(np.uint64) << shift | (s & low)
+                chosen = np.argsort(key, kind="stable")[:prefix_length(len(s), percent)]
                 ids.append(doc)
-                sizes.append(len(first))
-                grams.append(s.view(np.int64))
-                hot.append(often[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= hot_at)
+                sizes.append(len(s))
+                grams.append(s[chosen].view(np.int64))
+                hot.append(count[chosen] >= hot_at)
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()),
                                    pa.array(grams, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.bool_()))],
                                   ["doc", "n", "grams", "hot"])
@@ -165,11 +172,18 @@ def _met_batch(cols: list, firsts: list, kind: pa.DataType) -> pa.RecordBatch:
                             pa.array(cols[3], pa.int32()), pivot], ["gram", "doc", "n", "pos", "pivot"])
 
 
-def _overlap_fits(i: str, j: str, m: str, n: str, before: str, percent: int) -> str:
-    """SQL: sets of ``m`` and ``n`` with a common n-gram at ``i`` and ``j`` can be similar."""
-    most = f"({before} + 1 + least({m} - {i} - 1, {n} - {j} - 1))"
-    return (f"100 * cast(least({m}, {n}) as long) >= {percent} * cast(greatest({m}, {n}) as long) and "
-            f"100 * cast({most} as long) >= {percent} * (cast({m} as long) + {n} - {most})")
+def _size_fits(m: str, n: str, percent: int) -> str:
+    """SQL: sets of ``m`` and ``n`` n-grams can be similar."""
+    return f"100 * cast(least({m}, {n}) as long) >= {percent} * cast(greatest({m}, {n}) as long)"
+
+
+def _place_fits(i: str, j: str, m: str, n: str, percent: int) -> str:
+    """SQL: the places ``i`` and ``j`` of a common n-gram lie in the prefixes that sets of
+    ``m`` and ``n`` need for each other. At the first n-gram that they have in common no
+    more than it and what comes after it can be common, so of a similar pair that n-gram,
+    at least, is at such places."""
+    need = f"((cast({m} as long) + {n}) * {percent} + {99 + percent}) div {100 + percent}"
+    return f"{i} <= {m} - {need} and {j} <= {n} - {need}"
 
 
 def suffix_fits(a: np.ndarray, b: np.ndarray, percent: int, depth: int = 3) -> bool:
@@ -204,7 +218,7 @@ class _Verifier:
         n = self.n
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in text_slices(batches):
+            for batch in text_slices(batches, limit=HELD_BYTES):
                 yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), n)], pa.binary())],
                                       ["doc", "grams"])
 
@@ -238,17 +252,11 @@ class _Verifier:
 
 
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of ``doc`` and ``pivot`` that the filters leave."""
-    fits = _overlap_fits("i", "j", "n", "m", "least(i, j)", percent)
-    return met.where("doc <> pivot.doc").where(
-        "100 * cast(least(n, pivot.n) as long) >= %d * cast(greatest(n, pivot.n) as long)" % percent).groupBy(
-        F.greatest("doc", "pivot.doc").alias("a"), F.least("doc", "pivot.doc").alias("b")).agg(
-        # the first of their common n-grams bounds the overlap best
-        F.min(F.when(F.expr("doc > pivot.doc"), F.col("pos")).otherwise(F.col("pivot.pos"))).alias("i"),
-        F.min(F.when(F.expr("doc > pivot.doc"), F.col("pivot.pos")).otherwise(F.col("pos"))).alias("j"),
-        F.first(F.when(F.expr("doc > pivot.doc"), F.col("n")).otherwise(F.col("pivot.n"))).alias("n"),
-        F.first(F.when(F.expr("doc > pivot.doc"), F.col("pivot.n")).otherwise(F.col("n"))).alias("m"),
-    ).where(fits).select("a", "b")
+    """Distinct pairs ``(a, b)`` of ``doc`` and ``pivot``, which have an n-gram in common,
+    that the filters by size and place leave."""
+    return met.where("doc <> pivot.doc").where(_size_fits("n", "pivot.n", percent)).where(
+        _place_fits("pos", "pivot.pos", "n", "pivot.n", percent)).select(
+        F.greatest("doc", "pivot.doc").alias("a"), F.least("doc", "pivot.doc").alias("b")).distinct()
 
 
 def linked(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -280,17 +288,23 @@ def linked(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame
     links = verifier.links(tested)
     vertices = lambda: met.select(F.col("doc").alias("id")).distinct()
     joined = stored(components(vertices(), links), "joined")
-    turn = 0
+    turn, pairs_before = 0, float("inf")
     while True:
-        turn += 1
-        # n-grams whose documents are not yet connected, and another member to compare with
+        # n-grams whose documents are not yet connected
         left = met.drop("pivot").join(joined.withColumnRenamed("id", "doc"), "doc")
-        spread = left.groupBy("gram").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64(F.col("doc"), F.lit(turn)).alias("turn"), "doc", "n", "pos", "component")).alias("p")).where("low <> high")
-        left = stored(left.join(spread.select("gram", F.struct("p.doc", "p.n", "p.pos").alias("pivot"),
-                                              F.col("p.component").alias("other")), "gram"), "left")
-        pairs = stored(_candidates(left.where("component <> other"), percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        sizes = left.groupBy("gram", "component").agg(F.count("*").alias("k")).groupBy("gram").agg(
+            F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"), F.count("*").alias("components"))
+        open_ = stored(sizes.where("components > 1"), "open")
+        members, pairs_left = map(float, open_.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("own")) / 2), F.lit(0))).first())
+        left = stored(left.join(open_.select("gram"), "gram"), "left")
+        if pairs_left <= PAIRS_A_MEMBER * members or pairs_left > (1 - WORTH_A_ROUND) * pairs_before:
+            break
+        pairs_before = float(pairs_left)
+        # another member to compare the others with
+        turn += 1
+        chosen = left.groupBy("gram").agg(F.min(F.struct(F.xxhash64(F.col("doc"), F.lit(turn)).alias("turn"), "doc", "n", "pos", "component")).alias("p"))
+        star = left.join(chosen.select("gram", F.struct("p.doc", "p.n", "p.pos").alias("pivot"), F.col("p.component").alias("other")), "gram")
+        pairs = stored(_candidates(star.where("component <> other"), percent).join(tested, ["a", "b"], "left_anti"), "pairs")
         new = verifier.links(pairs) if not pairs.isEmpty() else pairs
         tested = tested.union(pairs)
         if new.isEmpty():
@@ -303,9 +317,9 @@ def linked(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame
     ours = left.select("gram", "doc", "n", "pos", "component", band.alias("band"))
     theirs = left.select("gram", F.struct("doc", "n", "pos").alias("pivot"), F.col("component").alias("other"),
                          F.explode(F.array(band, band + 1)).alias("band"))
-    fits = _overlap_fits("pos", "pivot.pos", "n", "pivot.n", "least(pos, pivot.pos)", percent)
-    across = ours.join(theirs, ["gram", "band"]).where("component <> other and n >= pivot.n").where(fits)
-    rest = stored(_candidates(across.select("gram", "doc", "n", "pos", "pivot"), percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    across = ours.join(theirs, ["gram", "band"]).where(
+        "component <> other and (n > pivot.n or n = pivot.n and doc > pivot.doc)")
+    rest = stored(_candidates(across, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         new = verifier.links(rest)
         if not new.isEmpty():
