@@ -33,7 +33,13 @@ ENDINGS = {
     "Greek": {"surname": "δης πουλος κης ρας νος", "given_f": "λινα νια ρα δια σα", "given_m": "ρινος τωρ λας μος δων"},
 }
 
-_TITLE = "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True))
+def _titles(genders: str) -> str:
+    """A pattern of the titles that tell one of ``genders``, as written or in capitals."""
+    found = sorted({v for g in genders for t in TITLES[g] for v in (t, t.upper())}, key=lambda t: (-len(t), t))
+    return "|".join(found)
+
+
+_TITLE = _titles("fmx")
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 PERSON = rf"(?<!\p{{L}})(?:{_TITLE})\.?[ \x{{a0}}](?:{_NAME}[ \x{{a0}}]){{0,2}}{_NAME}"
@@ -45,10 +51,9 @@ CARD = r"(?<![A-Za-z0-9.+])(?:\d[ -]?){12,18}\d(?![A-Za-z0-9])"
 PHONE = (r"(?<![\w+.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}"
          r"|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)")
 ALL = "|".join([EMAIL, PERSON, ADDRESS, IBAN, SOCIAL, CARD, PHONE])
-#: What any of them contains.
-_ANY = rf"@|[0-9][0-9 ()+.-]{{4}}|(?:{_TITLE})\.?[ \x{{a0}}]\p{{Lu}}|[A-Z]{{2}}[0-9]{{2}}"
-
-TYPES = ("email", "phone", "address", "card", "social", "iban", "surname", "given_f", "given_m")
+#: What any of them contains. The class looked at first turns most places down at once.
+_FIRST = "".join(sorted({t[0] for t in _TITLE.split("|")}))
+_ANY = rf"(?=[@0-9A-Z{_FIRST}])(?:@|[0-9][0-9 ()+.-]{{4}}|[A-Z]{{2}}[0-9]{{2}}|(?:{_TITLE})\.?[ \x{{a0}}]\p{{Lu}})"
 
 
 def _sql(text: str) -> str:
@@ -72,8 +77,8 @@ def _parts(x: str) -> str:
     """SQL: the entities of a mention as an array of ``struct<type, canonical>``. The last
     name of a person is the surname; the title tells the gender of the given names, or
     else their ending does."""
-    female = _sql(rf"^(?:{'|'.join(TITLES['f'])})[. \x{{a0}}]")
-    male = _sql(rf"^(?:{'|'.join(TITLES['m'])})[. \x{{a0}}]")
+    female = _sql(rf"^(?:{_titles('f')})[. \x{{a0}}]")
+    male = _sql(rf"^(?:{_titles('m')})[. \x{{a0}}]")
     gender = f"CASE WHEN rlike({x}, {female}) THEN 'f' WHEN rlike({x}, {male}) THEN 'm' END"
     words = _words(x)
     return f"""CASE {_type(x)}
@@ -85,13 +90,18 @@ def _parts(x: str) -> str:
         ELSE array(struct({_type(x)} AS type, concat(if(startswith({x}, '+'), '+', ''), regexp_replace({x}, '[^0-9]', '')) AS canonical)) END"""
 
 
-def mentions(docs: DataFrame) -> DataFrame:
-    """Adds ``pattern``, ``found`` (the mentions in order) and ``named`` (the distinct name
-    entities) to rows whose text has an entity; other rows are left out.
+def _found(text: str) -> Column:
+    """The mentions in a text in order; null where the text has none."""
+    found = F.regexp_extract_all(text, F.lit(ALL), F.lit(0))
+    return F.when(F.rlike(text, F.lit(_ANY)) & (F.size(found) > 0), found)
+
+
+def mentions(found: DataFrame) -> DataFrame:
+    """Adds ``pattern``, ``found`` (all mentions in order) and ``named`` (the distinct name
+    entities) to rows whose ``first`` mentions are known.
 
     A name that is introduced with a title is found again without it in the same text."""
-    some = docs.where(F.rlike("text", F.lit(_ANY))).withColumn("first", F.regexp_extract_all("text", F.lit(ALL), F.lit(0)))
-    some = some.where(F.size("first") > 0).withColumn("named", F.expr(
+    some = found.withColumn("named", F.expr(
         f"array_distinct(flatten(transform(filter(first, x -> {_type('x')} = 'person'), x -> {_parts('x')})))"))
     words = F.expr(f"array_distinct(flatten(transform(filter(first, x -> {_type('x')} = 'person'), x -> {_words('x')})))")
     pattern = F.when(F.size("named") == 0, F.lit(ALL)).otherwise(F.concat(
@@ -107,11 +117,6 @@ def _known(x: str) -> str:
         THEN slice(filter(named, n -> n.canonical = lower({x})), 1, 1) ELSE {_parts(x)} END"""
 
 
-def entities(found: DataFrame) -> DataFrame:
-    """The distinct ``(type, canonical)`` of all mentions."""
-    return found.select(F.expr(f"explode(flatten(transform(found, x -> {_known('x')}))) AS e")).select("e.*").distinct()
-
-
 def _drawn(key: str) -> dict[str, Column]:
     """The surrogate of ``type, canonical`` at an ``attempt``, from a keyed stream of hex
     digits: characters by class, then what the type fixes."""
@@ -159,7 +164,7 @@ def surrogates(found: DataFrame, key: str, most_attempts: int = 100) -> DataFram
 
     A surrogate that another entity has, or that is itself an entity of the corpus, is
     drawn again, round by round; of entities with one surrogate the first keeps it."""
-    real = stored(found, "entities")
+    real = stored(found.select("type", "canonical").distinct(), "entities")
     drawn = _drawn(key)
 
     def draw(rows: DataFrame) -> DataFrame:
@@ -209,15 +214,15 @@ def with_surrogates(docs: DataFrame, key: str = "surrogates") -> DataFrame:
 
     Null and empty texts, and those without an entity, are as they were; other columns
     too, but an ``n_entities`` of their own. Repeated rows are answered alike. Only texts
-    with an entity are shuffled."""
+    with an entity are stored and shuffled."""
     names = [c for c in docs.columns if c != "n_entities"]
     rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), docs["text"].alias("text"),
                        F.xxhash64(docs["doc_id"], docs["text"]).alias("key"), docs["doc_id"].alias("id"))
-    found = mentions(rows)
+    found = stored(mentions(rows.withColumn("first", _found("text")).where("first is not null")), "found")
     pairs = found.select("key", "id", F.expr(f"explode(array_distinct(flatten(transform(found, x -> {_known('x')})))) AS e")).select(
         "key", "id", "e.*").distinct()
     pairs = stored(pairs, "mentions")
-    drawn = surrogates(pairs.select("type", "canonical").distinct(), key)
+    drawn = surrogates(pairs, key)
     known = pairs.join(drawn, ["type", "canonical"]).groupBy("key", "id").agg(
         F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "type", "canonical"), "surrogate"))).alias("known"))
     known = known.withColumnsRenamed({"key": "k", "id": "i"})
@@ -225,9 +230,7 @@ def with_surrogates(docs: DataFrame, key: str = "surrogates") -> DataFrame:
     text = F.expr(f"""concat_ws('', flatten(zip_with(split(text, pattern, -1), transform(found, x -> {_rendered('x')}),
         (piece, s) -> array(piece, coalesce(s, '')))))""")
     changed = met.select("row", text.alias("changed"), F.size("found").cast("long").alias("n"))
-    # rlike and the extraction tell the same rows apart here as in mentions()
-    bare = rows.where(~F.coalesce(F.rlike("text", F.lit(_ANY)), F.lit(False)) |
-                      F.coalesce(F.size(F.regexp_extract_all("text", F.lit(ALL), F.lit(0))) == 0, F.lit(True)))
+    bare = rows.where(_found("text").isNull())
     bare = bare.select("row", F.col("text").alias("changed"), F.lit(0).cast("long").alias("n"))
     return changed.union(bare).select(*[F.col("changed").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names],
                                       F.col("n").alias("n_entities"))
