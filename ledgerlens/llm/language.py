@@ -86,7 +86,7 @@ def codewords(k: int) -> np.ndarray:
     10 log2(k) bits with the largest least distance among a hundred seeded ones."""
     if k <= 6:
         splits = [s for s in itertools.product([1, -1], repeat=k) if s[:1] == (1,) and -1 in s]
-        return np.array(splits, np.int8).T.reshape(k, -1)
+        return np.array(splits, np.int8).T.reshape(k, len(splits))
     rng, best, most = np.random.default_rng(k), None, -1
     for _ in range(100):
         code = rng.choice(np.array([1, -1], np.int8), (k, int(np.ceil(10 * np.log2(k)))))
