@@ -27,9 +27,15 @@ DIMS = 1 << 14
 MOST_LANGUAGES = 512
 #: Steepness of the bits' loss and of the score; a score below is ambiguous.
 STEEPNESS, SHARPNESS, AMBIGUOUS = 4.0, 3.0, 0.6
-#: The stage keeps short texts that two languages share; it drops what no language claims.
-REJECTED = 0.35
 UNKNOWN = "und"
+#: The stage's evidence is how far a text's mean n-gram likelihood falls short of its best
+#: language's own, 0 as the language and 1 as evenly spread n-grams, beyond what so many
+#: n-grams fall short by chance (in standard deviations). A language claims a text up to
+#: the shortfall that this share of its training texts keep, each left out of the counts.
+CHANCE, CLAIMED_SHARE, BINS = 3.0, 0.995, 2000
+#: Limits of the claimed shortfall, for languages whose training texts are all alike or
+#: hold much that is none of theirs; and what an ambiguous text may fall short.
+LEAST_SHORT, MOST_SHORT, AMBIGUOUS_SHORT = 0.2, 0.3, 0.1
 
 _LETTER = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint32)
 
@@ -125,23 +131,32 @@ class LanguageModel:
         return [self.languages[b] if x else UNKNOWN for b, x in zip(best, letters)], score, letters & (score < AMBIGUOUS)
 
 
-def fit(docs: DataFrame) -> LanguageModel:
-    """Learn from all rows of ``(text, lang)`` with a language; languages weigh alike."""
+def learned(docs: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The languages in order and their counts, languages x DIMS."""
     rows = ngram_counts(docs).limit(MOST_LANGUAGES + 1).collect()
     if len(rows) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     rows.sort(key=lambda r: r["lang"])
-    code = codewords(len(rows))
-    if not rows:
+    return [r["lang"] for r in rows], np.array([np.frombuffer(r["counts"], "<i8") for r in rows]).reshape(-1, DIMS)
+
+
+def fit(docs: DataFrame) -> LanguageModel:
+    """Learn from all rows of ``(text, lang)`` with a language; languages weigh alike."""
+    return model_of(*learned(docs))
+
+
+def model_of(languages: list[str], counts: np.ndarray) -> LanguageModel:
+    code = codewords(len(languages))
+    if not languages:
         return LanguageModel([], code, np.zeros((DIMS, 0), np.float32), np.zeros(0))
-    counts = np.array([np.frombuffer(r["counts"], "<i8") for r in rows]) + 0.5
+    counts = counts + 0.5
     shares = counts / counts.sum(1, keepdims=True)
     mean = lambda b, sign: shares[code[:, b] == sign].mean(0)
     weights = np.stack([np.log(mean(b, 1) / mean(b, -1)) for b in range(code.shape[1])], 1) if code.shape[1] else np.zeros((DIMS, 0))
     typical = shares @ weights  # the margins of a text that is like its language
     scale = np.maximum(np.abs(typical).mean(0), 1e-9) if len(typical) else 1
     trust = np.maximum((typical / scale * code).min(0), 0.05)
-    return LanguageModel([r["lang"] for r in rows], code, (weights / scale).astype(np.float32), trust / max(trust.sum(), 1e-9))
+    return LanguageModel(languages, code, (weights / scale).astype(np.float32), trust / max(trust.sum(), 1e-9))
 
 
 #: Rows whose crc32 of the id, as text, leaves this rest are not learned from.
@@ -168,14 +183,90 @@ def held_out_languages(docs: DataFrame) -> DataFrame:
     return identify(docs, model).selectExpr("doc_id", f"{HELD_OUT} AS held_out", "lang_pred", "score", "ambiguous")
 
 
+class Claims:
+    """How far texts fall short of the learned languages; ``limits`` by language."""
+
+    def __init__(self, counts: np.ndarray):
+        self.totals = counts.sum(1) + 0.5 * DIMS
+        logs = np.log((counts + 0.5) / self.totals[:, None])
+        shares = (counts + 0.5) / self.totals[:, None]
+        self.typical, even = (shares * logs).sum(1), logs.mean(1)
+        self.spread = np.sqrt((shares * (logs - self.typical[:, None]) ** 2).sum(1))
+        self.scale = np.maximum(self.typical - even, 1e-9)
+        self.counts, self.logs = counts, logs.T.astype(np.float32)
+        self.limits = np.full(len(counts), LEAST_SHORT)
+
+    def _beyond(self, mean: np.ndarray, n: np.ndarray, of: np.ndarray | slice) -> np.ndarray:
+        return (self.typical[of] - mean - CHANCE * self.spread[of] / np.sqrt(np.maximum(n, 1))) / self.scale[of]
+
+    def short(self, texts: pa.Array) -> np.ndarray:
+        """Texts x languages: the shortfall of each text."""
+        out = np.zeros((len(texts), len(self.typical)))
+        for at, of, hashes in _ngrams(texts):
+            m = min(128, len(texts) - at)
+            counts = np.bincount(of * DIMS + hashes, minlength=m * DIMS).reshape(m, DIMS).astype(np.float32)
+            n = counts.sum(1, keepdims=True)
+            out[at:at + m] = self._beyond((counts @ self.logs) / np.maximum(n, 1), n, slice(None))
+        return out
+
+    def left_out(self, texts: pa.Array, langs: np.ndarray) -> np.ndarray:
+        """The shortfall of training texts from the rest of their languages' texts."""
+        out = np.zeros(len(texts))
+        for at, of, hashes in _ngrams(texts):
+            m = min(128, len(texts) - at)
+            counts = np.bincount(of * DIMS + hashes, minlength=m * DIMS)
+            some = counts.nonzero()[0]
+            text, own, n = some // DIMS, counts[some], counts.reshape(m, DIMS).sum(1)
+            lang = langs[at:at + m]
+            logs = np.log((self.counts[lang[text], some % DIMS] - own + 0.5) / (self.totals[lang] - n)[text])
+            mean = np.bincount(text, own * logs, minlength=m) / np.maximum(n, 1)
+            out[at:at + m] = self._beyond(mean, n, lang)
+        return out
+
+
+def claims_of(docs: DataFrame, languages: list[str], counts: np.ndarray) -> Claims:
+    """The limits from a second pass over the training texts: a task emits one histogram
+    of fixed size per language it met, and those are added up."""
+    claims, index = Claims(counts), {x: i for i, x in enumerate(languages)}
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in text_slices(batches):
+            langs = np.array([index[x] for x in batch.column(0).to_pylist()])
+            short = claims.left_out(batch.column(1), langs)
+            for i in np.unique(langs):
+                bins = (np.clip(short[langs == i], 0, 1) * (BINS - 1)).round().astype(np.int64)
+                sums[int(i)] = sums.get(int(i), 0) + np.bincount(bins, minlength=BINS)
+        if sums:
+            n = TaskContext.get().partitionId()
+            yield pa.record_batch([pa.array([languages[i] for i in sums]), pa.array([n] * len(sums), pa.int64()),
+                                   pa.array([s.astype("<i8").tobytes() for s in sums.values()])],
+                                  ["lang", "part", "counts"])
+
+    rows = docs.where("lang is not null and rlike(text, '\\\\p{L}')").select("lang", "text")
+    for r in added_up(stored(rows.mapInArrow(task, "lang string, part long, counts binary"), "shortfalls"), "lang", "<i8").collect():
+        upto = np.frombuffer(r["counts"], "<i8").cumsum()
+        limit = np.searchsorted(upto, CLAIMED_SHARE * upto[-1]) / (BINS - 1)
+        claims.limits[index[r["lang"]]] = min(max(limit, LEAST_SHORT), MOST_SHORT)
+    claims.counts = None  # only for the second pass
+    return claims
+
+
 def in_a_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that a language claims: not ``und``
-    and a score of at least ``REJECTED``. No shuffle: a task drops its own rows."""
-    model, schema = fit(docs.where(f"not {HELD_OUT}")), docs.schema
+    """The rows of ``docs``, all columns as they are, that a language claims: not ``und``,
+    and no further from a language than its own training texts are. The score is no
+    evidence of that: it only compares the learned languages, so it never is low for all
+    of them. No shuffle of documents: a task drops its own rows."""
+    known, schema = docs.where(f"not {HELD_OUT}"), docs.schema
+    languages, counts = learned(known)
+    model, claims = model_of(languages, counts), claims_of(known, languages, counts)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            langs, score, _ = model.classify(batch.column(batch.schema.get_field_index("text")))
-            yield batch.filter(pa.array([x != UNKNOWN and s >= REJECTED for x, s in zip(langs, score)]))
+            texts = batch.column(batch.schema.get_field_index("text"))
+            langs, _, ambiguous = model.classify(texts)
+            limits = np.where(ambiguous[:, None], AMBIGUOUS_SHORT, claims.limits)
+            claimed = (claims.short(texts) <= limits).any(1)
+            yield batch.filter(pa.array([x != UNKNOWN and bool(c) for x, c in zip(langs, claimed)]))
 
     return docs.mapInArrow(task, schema)

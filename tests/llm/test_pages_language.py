@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import language, main_text
 from ledgerlens.llm.shared import table
@@ -118,3 +119,22 @@ def test_counts_are_all_texts(spark):
         from '{SF_SMALL}/documents.parquet' where strlen(text) > 2 group by 1""").fetchall())
     assert {k: int(np.frombuffer(v, "<i8").sum()) for k, v in rows.items()} == want
     assert language._ngrams(pa.array([""])) is not None
+
+
+@pytest.mark.parametrize("left", ["en", "fr"])
+def test_the_stage_drops_what_no_learned_language_claims(spark, left):
+    """A left-out language, unseen scripts and letter junk go, clean documents stay."""
+    import random
+
+    rng = random.Random(1)
+    words = lambda first, n: " ".join("".join(chr(first + rng.randrange(n)) for _ in range(rng.randint(2, 9))) for _ in range(60))
+    junk = [words(97, 26) for _ in range(30)] + [words(0x430, 32) for _ in range(30)] + [words(0x4E00, 5000) for _ in range(30)]
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    some = docs.withColumn("lang", F.when(F.col("lang") != left, F.col("lang"))).union(
+        spark.createDataFrame([(10**9 + i, x, None) for i, x in enumerate(junk)], "doc_id long, text string, lang string"))
+    kept = {r.doc_id for r in language.in_a_language(some).select("doc_id").collect()}
+    clean, foreign = [d for d, x in truth.items() if x != left], [d for d, x in truth.items() if x == left]
+    assert sum(d in kept for d in clean) >= 0.99 * len(clean)
+    assert sum(d in kept for d in foreign) <= 0.02 * len(foreign)
+    assert not any(d >= 10**9 for d in kept)
