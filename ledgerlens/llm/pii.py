@@ -40,9 +40,11 @@ def _titles(genders: str) -> str:
 
 
 _TITLE = _titles("fmx")
-_NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+#: One title or more, each with its space, before a name; a name is no title itself.
+_RUN = rf"(?:(?:{_TITLE})\.?[ \x{{a0}}])"
+_NAME = rf"(?!(?:{_TITLE})['’-]*(?![\p{{L}}'’-]))\p{{Lu}}[\p{{L}}'’-]*\p{{L}}"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-PERSON = rf"(?<!\p{{L}})(?:{_TITLE})\.?[ \x{{a0}}](?:{_NAME}[ \x{{a0}}]){{0,2}}{_NAME}"
+PERSON = rf"(?<!\p{{L}}){_RUN}+(?:{_NAME}[ \x{{a0}}]){{0,2}}{_NAME}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 ADDRESS = rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
@@ -69,16 +71,16 @@ def _type(x: str) -> str:
 
 
 def _words(x: str) -> str:
-    """SQL: the name words of a person's mention, without the title."""
+    """SQL: the name words of a person's mention, without the titles."""
     return f"filter(split({x}, '[ \\\\x{{a0}}]+'), w -> NOT rlike(w, {_sql(rf'^(?:{_TITLE})[.]?$')}))"
 
 
 def _parts(x: str) -> str:
     """SQL: the entities of a mention as an array of ``struct<type, canonical>``. The last
-    name of a person is the surname; the title tells the gender of the given names, or
+    name of a person is the surname; a title tells the gender of the given names, or
     else their ending does."""
-    female = _sql(rf"^(?:{_titles('f')})[. \x{{a0}}]")
-    male = _sql(rf"^(?:{_titles('m')})[. \x{{a0}}]")
+    female = _sql(rf"^{_RUN}*(?:{_titles('f')})\.?[ \x{{a0}}]")
+    male = _sql(rf"^{_RUN}*(?:{_titles('m')})\.?[ \x{{a0}}]")
     gender = f"CASE WHEN rlike({x}, {female}) THEN 'f' WHEN rlike({x}, {male}) THEN 'm' END"
     words = _words(x)
     return f"""CASE {_type(x)}
@@ -113,7 +115,7 @@ def mentions(found: DataFrame) -> DataFrame:
 def _known(x: str) -> str:
     """SQL: the entities of mention ``x`` where ``named`` are the text's names: a bare
     name is the entity of that name that was introduced."""
-    return f"""CASE WHEN {_type(x)} = 'person' AND NOT rlike({x}, {_sql(rf'^(?:{_TITLE})[. ]')})
+    return f"""CASE WHEN {_type(x)} = 'person' AND NOT rlike({x}, {_sql(f'^{_RUN}')})
         THEN slice(filter(named, n -> n.canonical = lower({x})), 1, 1) ELSE {_parts(x)} END"""
 
 
@@ -191,7 +193,7 @@ def surrogates(found: DataFrame, key: str, most_attempts: int = 100) -> DataFram
 
 def _rendered(x: str) -> str:
     """SQL: mention ``x`` with its surrogates from ``known``, in the mention's notation:
-    digits in the places of digits, capitals where it has them, its title and spaces."""
+    digits in the places of digits, capitals where it has them, its titles and spaces."""
     of = lambda t, c: f"element_at(known, concat({t}, ':', {c}))"
     fill = f"""aggregate(split({x}, ''), struct(1 AS at, '' AS out), (a, c) -> if(rlike(c, '[A-Z0-9]'),
         struct(a.at + 1 AS at, concat(a.out, substring(s, a.at, 1)) AS out), struct(a.at AS at, concat(a.out, c) AS out)), a -> a.out)"""
@@ -200,10 +202,12 @@ def _rendered(x: str) -> str:
     email = f"array_join(zip_with(split({x}, ''), split({of('e.type', 'e.canonical')}, ''), (c, s) -> if(rlike(c, '[A-Z]'), upper(s), s)), '')"
     name = f"""coalesce({of("'surname'", 'lower(w)')}, {of("'given_f'", 'lower(w)')}, {of("'given_m'", 'lower(w)')})"""
     typed = f"element_at(known, concat(p.type, ':', p.canonical))"
-    person = f"""CASE WHEN rlike({x}, {_sql(rf'^(?:{_TITLE})[. ]')}) THEN concat(
-            regexp_extract({x}, {_sql(rf'^((?:{_TITLE})[.]?[ ])')}, 1),
-            array_join(zip_with({_words(x)}, {_parts(x)}, (w, p) -> {cased('w', typed)}), ' '))
-        ELSE array_join(transform(array({x}), w -> {cased('w', name)}), '') END"""
+    spaces = f"regexp_extract_all(regexp_replace({x}, {_sql(f'^{_RUN}+')}, ''), '[ \\\\x{{a0}}]', 0)"
+    person = f"""CASE WHEN rlike({x}, {_sql(f'^{_RUN}')}) THEN concat(
+            regexp_extract({x}, {_sql(f'^({_RUN}+)')}, 1),
+            array_join(zip_with(zip_with({_words(x)}, {_parts(x)}, (w, p) -> coalesce({cased('w', typed)}, w)), {spaces},
+                (w, space) -> concat(w, coalesce(space, ''))), ''))
+        ELSE array_join(transform(array({x}), w -> coalesce({cased('w', name)}, w)), '') END"""
     e = f"{_known(x)}[0]"
     return (f"CASE {_type(x)} WHEN 'person' THEN {person} WHEN 'email' THEN {email} "
             f"WHEN 'address' THEN {of('e.type', 'e.canonical')} ELSE {number} END").replace("e.type", f"({e}).type").replace("e.canonical", f"({e}).canonical")
@@ -226,8 +230,9 @@ def with_surrogates(docs: DataFrame, key: str = "surrogates") -> DataFrame:
     known = pairs.join(drawn, ["type", "canonical"]).groupBy("key", "id").agg(
         F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "type", "canonical"), "surrogate"))).alias("known"))
     known = known.withColumnsRenamed({"key": "k", "id": "i"})
-    met = found.join(known, (found["key"] == known["k"]) & found["id"].eqNullSafe(known["i"]))
-    text = F.expr(f"""concat_ws('', flatten(zip_with(split(text, pattern, -1), transform(found, x -> {_rendered('x')}),
+    met = found.join(known, (found["key"] == known["k"]) & found["id"].eqNullSafe(known["i"]), "left").withColumn(
+        "known", F.coalesce("known", F.expr("cast(map() AS map<string, string>)")))  # a mention without entity stays
+    text = F.expr(f"""concat_ws('', flatten(zip_with(split(text, pattern, -1), transform(found, x -> coalesce({_rendered('x')}, x)),
         (piece, s) -> array(piece, coalesce(s, '')))))""")
     changed = met.select("row", text.alias("changed"), F.size("found").cast("long").alias("n"))
     bare = rows.where(_found("text").isNull())

@@ -186,6 +186,24 @@ def test_surrogates_keep_type_format_and_reference(spark):
     assert {r.text for r in pii.with_surrogates(docs, "another key").collect()} & {out} == set()
 
 
+def test_stacked_titles_and_no_break_spaces(spark):
+    """No row goes, every name behind its titles is replaced, titles and spaces stay."""
+    texts = ["Herr Dr. Müller kam.", "Prof. Dr. Schmidt", "Frau Prof. Dr. Eva Schmidt; Schmidt, a@b.example", "Mr\u00a0Smith and Dr.\u00a0Ann\u00a0Jones, Smith",
+             "Herr Dr. kam", "Herr Dr- 10.1.2.3", "MRS. DR. MILLER", "Mr. Brown", "nobody"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "doc_id long, text string")
+    rows = pii.with_surrogates(docs).collect()
+    assert sorted(r.doc_id for r in rows) == sorted([0, *range(len(texts))])
+    out = {r.doc_id: r for r in rows}
+    want = [r"Herr Dr\. (\w+) kam\.", r"Prof\. Dr\. (\w+)", r"Frau Prof\. Dr\. (\w+a) (\w+); (\w+), \w@\w\.example",
+            "Mr\u00a0(\\w+) and Dr\\.\u00a0(\\w+)\u00a0(\\w+), (\\w+)", r"Herr Dr\. kam", r"Herr Dr- [\d.]+", r"MRS\. DR\. ([A-Z]+)", r"Mr\. (\w+)", "nobody"]
+    g = [re.fullmatch(p, out[i].text) for i, p in enumerate(want)]
+    assert all(g), [r.text for r in rows]
+    for old in ("Müller", "Schmidt", "Eva", "Smith", "Jones", "10.1.2.3", "MILLER", "Brown"):
+        assert old not in " ".join(r.text for r in rows)
+    assert g[1][1] == g[2][2] == g[2][3] and g[3][1] == g[3][4]
+    assert [out[i].n_entities for i in (0, 1, 2, 3, 4, 5, 8)] == [1, 1, 3, 3, 0, 1, 0]
+
+
 def test_surrogates_stay_distinct(spark):
     """A type with few surrogates: every collision is drawn again until none is left."""
     found = spark.range(2000).selectExpr("'surname' AS type", "concat('name', id) AS canonical").union(
