@@ -120,18 +120,21 @@ def pack(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID, size: int
         task, f"{_PLACED}, done boolean, merge_group long"), "packed")
 
     def merge(pieces: pd.DataFrame) -> pd.DataFrame:
-        """Best fit over the pieces by falling length; the windows' ids are taken again."""
-        ids = iter(sorted(pieces["sequence_id"].unique().tolist()))
+        """Best fit over the pieces by falling length; the windows' ids are taken again.
+        The windows stay as they came when that makes no fewer of them."""
+        ids = sorted(pieces["sequence_id"].unique().tolist())
         cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
         order = pieces.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
         nulls = order["doc_id"].isna().tolist()
-        windows, rows = OpenWindows(size, len(order)), []
+        windows, made = OpenWindows(size, len(order)), []
         for null, piece in zip(nulls, order[cols].astype("Int64").fillna(0).astype("int64").itertuples(index=False, name=None)):
             if full := windows.add((None if null else piece[0], *piece[1:])):
-                rows += _rows(full, next(ids))
-        for window in windows.left():
-            rows += _rows(window, next(ids))
-        out = pd.DataFrame(rows, columns=[*cols, "sequence_id", "offset"])
+                made.append(full)
+        made += windows.left()
+        if len(made) < len(ids):
+            out = pd.DataFrame([r for window, n in zip(made, ids) for r in _rows(window, n)], columns=[*cols, "sequence_id", "offset"])
+        else:
+            out = pieces[[*cols, "sequence_id", "offset"]]
         return out.astype({"doc_id": "Int64"})
 
     columns = [*_NAMES]

@@ -145,6 +145,15 @@ def test_packing_places_every_id_once(spark, odd):
     assert use.padded < 0.02 * use.tokens
 
 
+def test_merge_that_needs_more_windows_keeps_them(spark):
+    """By falling length these make three windows, as they came two."""
+    words = lambda n: " ".join(["the"] * (n - 1))  # noqa: E731  (n tokens with the end)
+    docs = spark.createDataFrame([(i, words(n)) for i, n in enumerate([870, 580, 580, 870, 580, 580])], "doc_id long, text string").coalesce(1)
+    rows = packing.pack(docs).collect()
+    assert sorted(r.length for r in rows) == [580] * 4 + [870] * 2 and len({r.sequence_id for r in rows}) == 2
+    check_packing(docs.collect(), rows)
+
+
 def test_open_windows_take_the_best_fit_and_emit_the_fullest():
     w = packing.OpenWindows(10, 2)
     assert w.add(("a", 0, 6)) is None and w.add(("b", 0, 7)) is None
