@@ -135,7 +135,8 @@ def _drawn(key: str) -> dict[str, Column]:
     script = "CASE WHEN rlike(canonical, '\\\\p{IsCyrillic}') THEN 'Cyrillic' WHEN rlike(canonical, '\\\\p{IsGreek}') THEN 'Greek' ELSE 'Latin' END"
     lists = " ".join(f"WHEN '{s}' THEN split('{v}', ' ')" for s, v in SYLLABLES.items())
     ends = " ".join(f"WHEN '{s}{k}' THEN split('{v}', ' ')" for s, by in ENDINGS.items() for k, v in by.items())
-    pick = lambda at: f"syllables[{number(at)} % size(syllables)]"
+    # a name has a syllable more with each attempt, so that names never run out
+    stem = f"array_join(transform(sequence(0, 2 + attempt), i -> syllables[{number('if(i < 3, i, i + 1)')} % size(syllables)]), '')"
     body = "substring(canonical, 2, length(canonical) - 2)"
     rest = drawn("substring(canonical, 5)")
     check = (f"cast(98 - aggregate(split(concat({rest}, left(canonical, 2), '00'), ''), 0, (a, c) -> "
@@ -157,7 +158,7 @@ def _drawn(key: str) -> dict[str, Column]:
             WHEN 'card' THEN CASE WHEN luhn_check(canonical) THEN concat(left(canonical, 1), {drawn(body)},
                     cast(filter(sequence(0, 9), d -> luhn_check(concat(left(canonical, 1), {drawn(body)}, cast(d as string))))[0] as string))
                 ELSE concat(left(canonical, 1), {drawn('substring(canonical, 2)')}) END
-            ELSE concat({pick(0)}, {pick(1)}, {pick(2)}, endings[{number(3)} % size(endings)]) END"""),
+            ELSE concat({stem}, endings[{number(3)} % size(endings)]) END"""),
     }
 
 

@@ -215,6 +215,14 @@ def test_surrogates_stay_distinct(spark):
     assert len(made) == len(rows) and not made & real
 
 
+def test_names_do_not_run_out(spark, monkeypatch):
+    """More surnames than three syllables of two make (8 times 6 endings)."""
+    monkeypatch.setitem(pii.SYLLABLES, "Latin", "ba be")
+    found = spark.range(200).selectExpr("'surname' AS type", "concat('name', id) AS canonical")
+    rows = pii.surrogates(found, "k", most_attempts=15).collect()
+    assert len(rows) == len({r.canonical for r in rows}) == len({r.surrogate for r in rows}) == 200
+
+
 def test_personal_data_of_the_test_documents(spark):
     docs = {r.doc_id: r.text for r in table(spark, "/root/testdata/sf0.01", "documents").collect()}
     find = [r"[\w.+-]+@[\w.-]+\w", r"\+1 \(\d+\) \d+-\d+", r"\b\d+\.\d+\.\d+\.\d+\b", r"(?<![0-9a-f])\d{16}(?![0-9a-f])"]
