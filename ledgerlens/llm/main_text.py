@@ -2,7 +2,9 @@
 
 Paragraphs pass points for their length and commas to their ancestors, less with each
 level; a container's points are discounted by its share of link text. The best container
-and those of its siblings that score well are kept, without boilerplate inside.
+and those of its siblings that score well are kept, without boilerplate inside. What only
+its class, id or role or a form calls boilerplate is measured first: the wrapper of most
+of a page's paragraphs is not.
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold the article's text.
-DROPPED = set("nav footer aside form button select option menu dialog head fieldset label audio video canvas map".split())
+DROPPED = set("nav footer aside button select option menu dialog head label audio video canvas map".split())
+#: Elements that are dropped unless they wrap the page's paragraphs, as by a class word.
+FORMS = {"form", "fieldset"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q s samp small span "
              "strike strong sub sup time tt u var wbr ruby rb rt rp".split())
 #: Elements whose text is a paragraph; others count if they hold text directly.
@@ -52,16 +56,23 @@ PREFERRED = re.compile(r"article|body|content|entry|main|post|story|text", re.I)
 #: comma and 1 for each 100 characters up to 3.
 LEAST_LENGTH, LEVELS = 25, 5
 SIBLING_SHARE, LINK_LIST = 0.2, 0.5
+#: A wrapper's paragraphs have at most this share of its points beside it.
+BESIDE = 0.2
+#: Elements that tell where the article is.
+MARKS = {"article", "main", "h1"}
 
 
 class Tree:
     """Elements in page order: an element's descendants follow it up to ``last``. Text
-    of boilerplate is not in the tree."""
+    of boilerplate is not in the tree, but that of elements in ``doubted`` is until their
+    paragraphs are counted."""
 
     def __init__(self, page: str):
         self.tag, self.parent, self.last, self.weight = ["#"], [-1], [0], [0.0]
         self.first_chunk, self.end_chunk = [0], [0]
         self.chunks: list[tuple[int, str, bool]] = []  # (element, text, in a link)
+        self.doubted: dict[int, tuple[bool, int]] = {}  # element: (named as comments, articles around it)
+        self.gone: set[int] = set()  # of the doubted
         stack, skipped, links, at = [0], 0, 0, 0  # skipped: depth of boilerplate
 
         def close(down_to: int) -> None:
@@ -110,10 +121,13 @@ class Tree:
                     break
             names.append(tag)
             attrs = m["attrs"] or m["attrs2"] or ""
-            if skipped or self._boilerplate(tag, attrs, names):
+            why = None if skipped else self._boilerplate(tag, attrs, names)
+            if skipped or why == "sure":
                 skipped += 1
                 stack.append(-1)
                 continue
+            if why:
+                self.doubted[len(self.tag)] = why == "comments", names[:-1].count("article") + names[:-1].count("main")
             links += tag == "a"
             self.parent.append(stack[-1])
             stack.append(len(self.tag))
@@ -126,26 +140,81 @@ class Tree:
         text(page[at:])
         close(0)
         self._measure()
+        if self.doubted:
+            self._drop()
 
     def _gap(self, node: int, skipped: int) -> None:
         if not skipped:
             self.chunks.append((node, " ", False))
 
     @staticmethod
-    def _boilerplate(tag: str, attrs: str, names: list[str]) -> bool:
+    def _boilerplate(tag: str, attrs: str, names: list[str]) -> str | None:
+        """"sure", or by its name only "comments" or "word"; None for other elements."""
         if tag in DROPPED or tag == "header" and not ("article" in names or "main" in names):
-            return True
+            return "sure"
+        why = "word" if tag in FORMS else None
         if not attrs or tag in ("html", "body"):
-            return False
+            return why
         for name, value in _ATTR.findall(attrs):
             name = name.lower()
             if name in ("class", "id", "role"):
-                if (COMMENTS if tag in ("article", "main", "header") else BOILERPLATE).search(value.strip("\"'")):
-                    return True
+                value = value.strip("\"'")
+                if COMMENTS.search(value):
+                    why = "comments"
+                elif tag not in ("article", "main", "header") and BOILERPLATE.search(value):
+                    why = why or "word"
             elif name == "hidden" and tag not in INLINE or name == "aria-hidden" and "true" in value \
                     or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        return False
+                return "sure"
+        return why
+
+    def _drop(self) -> None:
+        """Take the text of the doubted elements away, from the outermost on, but for
+        those that wrap the page's paragraphs."""
+        got = [0.0] * len(self.tag)
+        for node, points in self._paragraphs(1):
+            got[node] += points
+        points, marks = [0.0, *accumulate(got)], [0, *accumulate(t in MARKS for t in self.tag)]
+        inside = lambda sums, n: sums[self.last[n] + 1] - sums[n]
+        within: dict[int, list[int]] = {}  # the doubted by the nearest doubted around them
+        around = [-1]
+        for n in self.doubted:
+            while around[-1] >= 0 and self.last[around[-1]] < n:
+                around.pop()
+            within.setdefault(around[-1], []).append(n)
+            around.append(n)
+        # what is not in a doubted element
+        free, free_marks = points[-1], marks[-1]
+        todo = within.get(-1, [])
+        free -= sum(inside(points, n) for n in todo)
+        free_marks -= sum(inside(marks, n) for n in todo)
+        while todo:
+            wrapper = next((n for n in todo if self._wraps(n, inside(points, n), points[-1], free, inside(marks, n), free_marks)), None)
+            self.gone.update(n for n in todo if n != wrapper)
+            todo = within.get(wrapper, []) if wrapper is not None else []
+            if wrapper is not None:
+                free += inside(points, wrapper) - sum(inside(points, n) for n in todo)
+                free_marks += inside(marks, wrapper) - sum(inside(marks, n) for n in todo)
+        kept, chunk = [True] * len(self.chunks), [0]
+        for n in self.gone:
+            kept[self.first_chunk[n]:self.end_chunk[n]] = [False] * (self.end_chunk[n] - self.first_chunk[n])
+        chunk += accumulate(kept)
+        self.chunks = [c for c, k in zip(self.chunks, kept) if k]
+        self.first_chunk, self.end_chunk = [chunk[x] for x in self.first_chunk], [chunk[x] for x in self.end_chunk]
+        self._measure()
+
+    def _wraps(self, node: int, own: float, total: float, free: float, marks: int, free_marks: int) -> bool:
+        """Whether a doubted element with ``own`` of the ``total`` points, ``free`` beside
+        it, holds the article: most points, and no sign of an article beside it."""
+        comments, articles = self.doubted[node]
+        if own * 2 <= total:
+            return False
+        beside = free_marks - articles  # an article around it is no other one
+        if free < 1e-9 and beside <= 0 or marks and beside <= 0:
+            return True
+        if comments or beside > 0 and not articles:
+            return False
+        return free <= BESIDE * own
 
     def _measure(self) -> None:
         """Sums over the chunks, so that any element's are a difference."""
@@ -160,15 +229,14 @@ class Tree:
     def link_share(self, node: int) -> float:
         return self.over(self.linked, node) / max(1, self.over(self.chars, node))
 
-    def scores(self, least: int) -> dict[int, float]:
-        """Points of every container that a paragraph of ``least`` characters passes any."""
+    def _paragraphs(self, least: int) -> Iterator[tuple[int, float]]:
+        """The paragraphs of ``least`` characters and their points."""
         direct: dict[int, list[int]] = {}
         for i, (node, _, _) in enumerate(self.chunks):
             while self.tag[node] in INLINE:
                 node = self.parent[node]
             if self.tag[node] not in HEADINGS:
                 direct.setdefault(node, []).append(i)
-        points: dict[int, float] = {}
         for node, own in direct.items():
             size = sum(self.chars[i + 1] - self.chars[i] for i in own)
             if size < least:
@@ -176,6 +244,12 @@ class Tree:
             linked = sum(self.linked[i + 1] - self.linked[i] for i in own)
             got = 1 + sum(self.commas[i + 1] - self.commas[i] for i in own) + min(size // 100, 3)
             got *= 1 - linked / size
+            yield node, got
+
+    def scores(self, least: int) -> dict[int, float]:
+        """Points of every container that a paragraph of ``least`` characters passes any."""
+        points: dict[int, float] = {}
+        for node, got in self._paragraphs(least):
             up = self.parent[node] if self.tag[node] in PARAGRAPHS | {"li", "dd", "dt", "th"} and node else node
             for level in range(LEVELS):
                 if up < 0:
@@ -193,7 +267,7 @@ class Tree:
             if points := self.scores(least):
                 break
         else:
-            named = [n for n, t in enumerate(self.tag) if t in ("article", "main")]
+            named = [n for n, t in enumerate(self.tag) if t in ("article", "main") and not any(g <= n <= self.last[g] for g in self.gone)]
             return named[:1] or [0]
         best = max(points, key=lambda n: (points[n], -n))
         around = best

@@ -51,9 +51,29 @@ def test_shapes(page, want):
     assert main_text.main_text(page) == want
 
 
+ARTICLE = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>"
+
+
+@pytest.mark.parametrize("page", [
+    *[f"<body class='home'><div class='{c}'>{ARTICLE}</div><footer>{LONG}</footer></body>" for c in
+      ("content has-sidebar", "no-sidebar search", "page nav-open", "with-comments", "sidebar")],
+    f"<form action='x.aspx'><div id=content>{ARTICLE}<div class=sidebar><p>{LONG}</p></div></div></form>",
+    f"<form><fieldset role=search><section class='with-comments'>{ARTICLE}</section></fieldset></form>",
+    f"<div class='page nav-open'><div class=menu><a href=/>Home</a></div><div class='x no-sidebar'><article>{ARTICLE}</article>"
+    f"<div class=comments><article><p>{LONG}</p></article></div></div></div>",
+    f"<div class='page-wrap sidebar'><div>{ARTICLE}</div></div><form class=newsletter><p>Mail</p></form>",
+    f"<div class=post>{ARTICLE}</div><div class=comments><p>{LONG * 9}</p></div><div class=cookie-notice><p>{LONG}</p></div>",
+    f"<article>{ARTICLE}<div class=comments><p>{LONG * 9}</p><p>{LONG * 9}</p></div></article>",
+])
+def test_wrappers_named_like_boilerplate(page):
+    assert main_text.main_text(page) == f"Title {LONG}{LONG}".strip()
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 5000 + f"<p>{LONG}" + "</div>" * 5000
     assert main_text.main_text(deep) == LONG.strip()
+    wrapped = "<div class=has-sidebar>" * 5000 + f"<p>{LONG}" + "</div>" * 5000
+    assert main_text.main_text(wrapped) == LONG.strip()
     many = "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>"
     assert main_text.main_text(many) == (LONG * 3000).strip()
 
