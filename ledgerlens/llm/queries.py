@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import byte_bpe, embeddings, jaccard, language, main_text, packing, pii, quality, repair, secrets
+from ledgerlens.llm import (byte_bpe, embeddings, jaccard, language, main_text, packing, pii, quality, ranking, repair,
+                            secrets, shallot, warc)
 from ledgerlens.llm.shared import table
 
 QUERIES = {
@@ -16,9 +17,15 @@ QUERIES = {
     "op8_repair": lambda spark, sf: repair.grammar_digests(table(spark, sf, "documents")),
     "op9_byte_bpe": lambda spark, sf: byte_bpe.encoding_digests(table(spark, sf, "documents")),
     "op10_llr_quality": lambda spark, sf: quality.quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels")),
+    "op11_shallot": lambda spark, sf: shallot.clusters(table(spark, sf, "embeddings")),
+    "op12_warc_index": lambda spark, sf: warc.archived(table(spark, sf, "pages")),
+    "op13_lemp": lambda spark, sf: ranking.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
 }
 
 ORACLE = {
     "op5_cover_tree": embeddings.ORACLE_SQL,
     "op6_secrets": secrets.ORACLE_SQL,
+    "op11_shallot": shallot.ORACLE_SQL,
+    "op12_warc_index": warc.ORACLE_SQL,
+    "op13_lemp": ranking.ORACLE_SQL,
 }
