@@ -12,6 +12,7 @@ nothing else, whatever the length of the range.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -103,6 +104,11 @@ def records(archive: bytes) -> Iterator[tuple[int, int, dict[str, str], memoryvi
         at = stop + 4
 
 
+def plain(content: bytes) -> bytes:
+    """An archive file's records; offsets count in these."""
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 def _page(name: str) -> int | None:
     page = name[1:-1].split(":")[2]
     return None if page == "null" else int(page)
@@ -193,7 +199,7 @@ def _capture_time(column: str | None) -> Column:
 
 
 def write_archives(pages: DataFrame, out: str, archive_bytes: int = ARCHIVE_BYTES, hot_share: int = HOT_SHARE,
-                   captured: str | None = None) -> None:
+                   captured: str | None = None, compression: str = "gzip") -> None:
     """Write a WARC record per row of ``pages(page_id, url, html)`` to files in ``out``.
 
     The payload is the html (null: empty). Of rows with equal payloads that with the
@@ -201,7 +207,8 @@ def write_archives(pages: DataFrame, out: str, archive_bytes: int = ARCHIVE_BYTE
     others are revisits of it without a body. A null url has no target URI. ``captured``
     names a column of seconds since 1970; without it a page's time follows from its id.
     Other columns are not read. Spark's text writer, with two line ends as separator,
-    writes whole files of plain WARC and commits them.
+    writes whole files of WARC and commits them; ``compression`` is "gzip" or "none".
+    Copies of a hot payload travel without it, as none of them needs it but the response.
     """
     stamp = _capture_time(captured)
     html = F.coalesce("html", F.lit("")).cast("binary")
@@ -213,7 +220,8 @@ def write_archives(pages: DataFrame, out: str, archive_bytes: int = ARCHIVE_BYTE
     hot = groups.where((F.col("n") > 1) & (F.col("n") * hot_share > (total.n or 0))).select(
         "digest", "last", F.lit(True).alias("hot"))
     salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("page_id"), F.lit(HOT_TASKS))).otherwise(0)
-    dealt = rows.join(F.broadcast(hot), "digest", "left").withColumn("salt", salt)
+    dealt = rows.join(F.broadcast(hot), "digest", "left").withColumn("salt", salt).withColumn(
+        "size", F.length("html")).withColumn("html", F.when(F.col("hot") & ~F.col("page_id").eqNullSafe(F.col("last")), F.lit(b"")).otherwise(F.col("html")))
     tasks = -(-(total.bytes or 0) // archive_bytes) + 1
     dealt = dealt.repartition(int(tasks), "digest", "salt").sortWithinPartitions(
         "digest", "salt", F.col("page_id").desc_nulls_last(), "url")
@@ -222,7 +230,7 @@ def write_archives(pages: DataFrame, out: str, archive_bytes: int = ARCHIVE_BYTE
         group, response, count = None, None, 0
         for batch in text_slices(batches, "html"):
             made = []
-            for page, url, payload, hexadecimal, when, last, is_hot, part in zip(*(c.to_pylist() for c in batch.columns)):
+            for page, url, payload, hexadecimal, when, last, is_hot, part, size in zip(*(c.to_pylist() for c in batch.columns)):
                 digest = base32_sha1(hexadecimal)
                 if group != (hexadecimal, part):
                     group, count = (hexadecimal, part), 0
@@ -230,13 +238,13 @@ def write_archives(pages: DataFrame, out: str, archive_bytes: int = ARCHIVE_BYTE
                     leads = not is_hot or page == last
                 else:
                     leads, count = False, count + 1
-                made.append(render(page, url, payload, len(payload), digest, when,
+                made.append(render(page, url, payload, size, digest, when,
                                    None if leads else _name(response, digest), "" if leads else f":{part}-{count}"))
             yield pa.record_batch([pa.array(made, pa.binary())], ["value"])
 
-    dealt.select("page_id", "url", "html", "digest", "captured", "last", "hot", "salt").mapInArrow(
+    dealt.select("page_id", "url", "html", "digest", "captured", "last", "hot", "salt", "size").mapInArrow(
         task, "value binary").select(F.col("value").cast("string").alias("value")).write.option(
-        "lineSep", "\r\n\r\n").text(out)
+        "lineSep", "\r\n\r\n").option("compression", compression).text(out)
 
 
 def _splitters(pages: DataFrame, total: int, range_entries: int) -> list[tuple]:
@@ -265,7 +273,7 @@ def runs(spark: SparkSession, folder: str, splitters: list[tuple], block_entries
         for batch in batches:
             for i in range(batch.num_rows):
                 path = batch.column(0)[i].as_py().rsplit("/", 1)[-1]
-                run = sorted((entry(path, *r) for r in records(batch.column(1)[i].as_py())), key=order)
+                run = sorted((entry(path, *r) for r in records(plain(batch.column(1)[i].as_py()))), key=order)
                 out, held = [], []
                 for e in run:
                     at = bisect_right(splitters, order(e))

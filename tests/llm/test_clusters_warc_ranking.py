@@ -138,14 +138,15 @@ def test_archives_read_back(spark, hot_share):
     assert len({(r.archive, r.offset) for r in got}) == len(rows)
 
 
-def test_archives_are_warc(spark):
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_archives_are_warc(spark, compression):
     out = scratch(spark, "warc-test")
-    warc.write_archives(pages_of(spark, PAGES).coalesce(1), out)
-    files = spark.read.format("binaryFile").load(out).collect()
+    warc.write_archives(pages_of(spark, PAGES).coalesce(1), out, compression=compression)
+    files = [warc.plain(f.content) for f in spark.read.format("binaryFile").load(out).collect()]
     seen = []
     for f in files:
-        for at, length, headers, block in warc.records(f.content):
-            assert f.content[at:at + 10] == b"WARC/1.1\r\n" and f.content[at + length:at + length + 4] == b"\r\n\r\n"
+        for at, length, headers, block in warc.records(f):
+            assert f[at:at + 10] == b"WARC/1.1\r\n" and f[at + length:at + length + 4] == b"\r\n\r\n"
             assert len(block) == int(headers["Content-Length"])
             seen.append(headers["WARC-Record-ID"])
             if headers["WARC-Type"] == "revisit":
@@ -154,7 +155,7 @@ def test_archives_are_warc(spark):
                 assert "sha1:" + base64.b32encode(hashlib.sha1(bytes(block).split(b"\r\n\r\n", 1)[1]).digest()).decode() == headers["WARC-Payload-Digest"]
     assert len(seen) == len(set(seen)) == len(PAGES)
     with pytest.raises(ValueError, match="damaged"):
-        [warc.entry("a", *r) for f in files for r in warc.records(bytes(f.content).replace(b"<p>one", b"<p>two"))]
+        [warc.entry("a", *r) for f in files for r in warc.records(f.replace(b"<p>one", b"<p>two"))]
     assert warc.capture_index(pages_of(spark, PAGES).limit(0)).count() == 0
 
 
