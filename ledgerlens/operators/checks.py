@@ -13,10 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.digests import compare_runs
 from ledgerlens.operators.extensions import run_diff
 from ledgerlens.operators.finance import (SECTOR_ACCOUNTING, SECTOR_PRUDENTIAL,
                                           inception_dates)
 from ledgerlens.operators.reconcile import RISK_RESIDUAL, FINANCE_RESIDUAL
+from ledgerlens.plans.warehouse import Warehouse
 from ledgerlens.schemas import ENTITY_REGISTRY
 
 TOLERANCE = "0.01"
@@ -194,3 +196,13 @@ def check_rerun(first: dict[str, DataFrame], second: dict[str, DataFrame]) -> Da
     """CHK-3: rows that a rerun of a load adds or loses, per table."""
     return _union([_rows(run_diff(df, second[name]).agg(F.count(F.lit(1)).alias("n")),
                          (f"CHK-3 {name}", "a rerun leaves the rows unchanged", "n")) for name, df in first.items()])
+
+
+def check_rerun_runs(warehouse: Warehouse, first: str, second: str, tables: dict[str, tuple[str, ...]]) -> DataFrame:
+    """CHK-3 over two published runs of the same loads: rows in which they differ, per table
+    (name -> key), found by digests."""
+    found = compare_runs(warehouse, first, second, {f"canon.{t}": keys for t, keys in tables.items()})
+    counts = {t: found[f"canon.{t}"].count() for t in tables}
+    return warehouse.spark.createDataFrame(
+        [(f"CHK-3 {t}", "a rerun leaves the rows unchanged", n) for t, n in counts.items()],
+        "check_id string, description string, violations long")

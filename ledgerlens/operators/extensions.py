@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,8 +112,9 @@ def latest_version(published: DataFrame, partition_cols: list[str],
                    version_col: str = "run_id") -> DataFrame:
     """Readers' default view: the newest published run per partition.
 
-    Published runs are never rewritten in place; the newest version is found
-    by an aggregate over (partition, version) and semi-joined back.
+    For publications kept side by side in one table, the newest version is found
+    by an aggregate over (partition, version) and semi-joined back. Tables of a warehouse
+    need no join: ``Warehouse.read(table, stamped=True)`` reads the newest folders by name.
     """
     newest = published.groupBy(*partition_cols).agg(F.max(version_col).alias(version_col))
     return published.join(newest, partition_cols + [version_col], "left_semi")
@@ -229,19 +230,79 @@ def require_publishable(results: DataFrame) -> None:
 
 
 # --------------------------------------------------------------------- EXT-8
+_DECADES = (190, 220)  # dates before 1900 and after 2209 share the first and last
+
+
+def _decade(date: Column) -> Column:
+    return F.greatest(F.lit(_DECADES[0]), F.least(F.lit(_DECADES[1]), F.floor(F.year(date) / 10).cast("int")))
+
+
+def interval_join(df: DataFrame, keys: dict[str, str], date_col: str, intervals: DataFrame,
+                  how: str = "left") -> DataFrame:
+    """Rows of ``df`` with the intervals ``[valid_from, valid_to)`` of their key that hold
+    their date (``keys``: column of ``df`` -> column of ``intervals``; a null bound is open).
+
+    An interval is laid into the decades it touches, a row falls into one, and the join is
+    on key and decade: a row meets only intervals near its date, and a hot key is an
+    ordinary skewed equi-join."""
+    renamed = {c: f"_i_{c}" for c in intervals.columns}
+    last = F.coalesce(F.date_sub("valid_to", 1), F.lit("9999-12-31").cast("date"))
+    first = F.coalesce(F.col("valid_from"), F.lit("0001-01-01").cast("date"))
+    laid = intervals.where(first <= last).withColumn("_decade", F.explode(F.sequence(_decade(first), _decade(last))))
+    laid = laid.withColumnsRenamed(renamed)
+    cond = [F.col(a) == F.col(f"_i_{b}") for a, b in keys.items()] + [
+        _decade(F.col(date_col)) == F.col("_decade"),
+        F.col("_i_valid_from").isNull() | (F.col(date_col) >= F.col("_i_valid_from")),
+        F.col("_i_valid_to").isNull() | (F.col(date_col) < F.col("_i_valid_to"))]
+    return df.join(laid, reduce(lambda a, b: a & b, cond), how).drop("_decade")
+
+
+def effective_intervals(code_list: DataFrame) -> DataFrame:
+    """``(code, mapped_value, valid_from, valid_to)`` without overlaps: an entry ends when
+    the next one of its code begins; of entries that begin on one day the greatest value
+    counts. So no date has two values, whatever the list holds."""
+    one = code_list.groupBy("code", "valid_from").agg(
+        F.max(F.struct("mapped_value", F.coalesce("valid_to", F.lit("9999-12-31").cast("date")).alias("valid_to"))).alias("e")).select(
+        "code", "valid_from", "e.mapped_value", "e.valid_to")
+    after = F.lead("valid_from").over(Window.partitionBy("code").orderBy("valid_from"))
+    return one.select("code", "mapped_value", "valid_from", F.nullif(
+        F.least("valid_to", F.coalesce(after, F.lit("9999-12-31").cast("date"))), F.lit("9999-12-31").cast("date")).alias("valid_to"))
+
+
+def code_list_findings(code_list: DataFrame) -> DataFrame:
+    """Faults of an effective-dated list: ``(code, kind, valid_from, valid_to)`` of every
+    stretch in which a code has several entries (``OVERLAP``) or, between entries, none (``GAP``)."""
+    far = F.lit("9999-12-31").cast("date")
+    ends = code_list.withColumn("valid_to", F.coalesce("valid_to", far))
+    steps = ends.select("code", F.explode(F.array(
+        F.struct(F.col("valid_from").alias("at"), F.lit(1).alias("d")), F.struct(F.col("valid_to").alias("at"), F.lit(-1).alias("d")))).alias("s"))
+    steps = steps.groupBy("code", F.col("s.at").alias("at")).agg(F.sum("s.d").alias("d"))
+    by = Window.partitionBy("code").orderBy("at")
+    open_ = steps.withColumns({"n": F.sum("d").over(by), "until": F.lead("at").over(by)}).where("until is not null")
+    kind = F.when(F.col("n") > 1, F.lit("OVERLAP")).when(F.col("n") == 0, F.lit("GAP"))
+    return open_.select("code", kind.alias("kind"), F.col("at").alias("valid_from"),
+                        F.nullif("until", far).alias("valid_to")).where("kind is not null")
+
+
+def rows_in_findings(df: DataFrame, code_col: str, date_col: str, findings: DataFrame) -> DataFrame:
+    """``findings`` with the number of rows of ``df`` that each concerns."""
+    hit = interval_join(df.select(code_col, date_col), {code_col: "code"}, date_col, findings, "inner")
+    counts = hit.groupBy("_i_code", "_i_kind", "_i_valid_from").agg(F.count(F.lit(1)).alias("rows"))
+    return findings.join(counts, (F.col("code") == F.col("_i_code")) & (F.col("kind") == F.col("_i_kind")) &
+                         (F.col("valid_from") == F.col("_i_valid_from")), "left").select(
+        *findings.columns, F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+
+
 def map_effective_codes(df: DataFrame, code_col: str, date_col: str,
                         code_list: DataFrame) -> DataFrame:
-    """Map codes through an effective-dated code list.
+    """Map codes through an effective-dated code list; a row stays one row.
 
     ``code_list``: (code, mapped_value, valid_from, valid_to) with valid_to
-    exclusive and null for open-ended. Equi-join on the code, then the date
-    range as a residual condition, so the join is never a range-only join.
+    exclusive and null for open-ended. Overlapping entries are resolved by
+    :func:`effective_intervals` before the interval join.
     """
-    c = code_list.select(F.col("code").alias("_code"), "mapped_value",
-                         F.col("valid_from").alias("_vf"), F.col("valid_to").alias("_vt"))
-    cond = ((F.col(code_col) == F.col("_code")) & (F.col(date_col) >= F.col("_vf")) &
-            (F.col("_vt").isNull() | (F.col(date_col) < F.col("_vt"))))
-    return df.join(c, cond, "left").drop("_code", "_vf", "_vt")
+    got = interval_join(df, {code_col: "code"}, date_col, effective_intervals(code_list))
+    return got.withColumnRenamed("_i_mapped_value", "mapped_value").drop("_i_code", "_i_valid_from", "_i_valid_to")
 
 
 def unmapped_codes(df: DataFrame, code_col: str, date_col: str,

@@ -11,6 +11,7 @@ the whole chain.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import canonical, finance, identity, reconcile, risk
 from ledgerlens.operators.canonical import Load
+from ledgerlens.operators.extensions import QualityRule
 from ledgerlens.plans.mapping import Mapping, MappingResult, lineage_frame
+from ledgerlens.plans.publication import audit_run, publish_audited
 from ledgerlens.plans.warehouse import Warehouse
 from ledgerlens.schemas import ENTITY_SCHEMAS, PRIMARY_KEYS, conform
 
@@ -70,7 +73,7 @@ def build_reports(spark: SparkSession, canon: dict[str, DataFrame], as_of: str)
     trades = risk.trade_exposure(spark, canon, as_of)
     sets = risk.netting_set_exposure(spark, trades.data)
     rec_detail = reconcile.population_detail(fin_detail.data, trades.data, canon["arrangement"],
-                                             canon["trade_event"], as_of)
+                                             canon["trade_event"], as_of, canon.get("inception_dates"))
     return Reports(
         fin_detail=fin_detail, fin_by_sector=fin_agg, ccr_trade=trades, ccr_netting_set=sets,
         rec_detail=rec_detail,
@@ -93,10 +96,50 @@ def build_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: s
     return p
 
 
+def load_run(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str, run: Warehouse, parallelism: int = 8,
+             lap: Callable[[str], None] = lambda name: None) -> tuple[dict[str, Load], dict[str, int]]:
+    """Write the cross-reference and the canonical layer into ``run``; the loads and the
+    rows written per mapping."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    counts: dict[str, int] = {}
+
+    def write_entity(item):
+        name, ld = item
+        return run.write_mappings(
+            [(part.mapping, conform(part.data, ENTITY_SCHEMAS[name])) for part in ld.parts],
+            keys=PRIMARY_KEYS[name],
+            partition_col="as_of_date" if "as_of_date" in ENTITY_SCHEMAS[name].names else None)
+
+    # entities that do not need the identity cross-reference start at once,
+    # next to the cross-reference job; the two that join it follow
+    needs_xref = ("arrangement_party_role", "netting_set")
+    xref = identity.resolve_party_identity(extracts["ref_party"], extracts["cbs_customer"],
+                                           extracts["trd_counterparty"])
+    lazy = canonical.load_all(spark, extracts, xref, as_of)
+    with ThreadPoolExecutor(parallelism) as pool:
+        early = [pool.submit(write_entity, (n, ld)) for n, ld in lazy.items()
+                 if n not in needs_xref]
+        run.replace("stg.party_xref", xref)
+        lap("identity")
+        loads = canonical.load_all(spark, extracts, run.read("stg.party_xref"), as_of)
+        late = [pool.submit(write_entity, (n, loads[n])) for n in needs_xref]
+        for f in early + late:
+            counts.update(f.result())
+    return loads, counts
+
+
 def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str,
                  warehouse: Warehouse, parallelism: int = 8,
-                 timings: dict[str, float] | None = None) -> dict[str, int]:
-    """Materialise the build and return rows written per mapping.
+                 timings: dict[str, float] | None = None, run_id: str | None = None,
+                 code_version: str = "unversioned", rules: list[QualityRule] | None = None) -> dict[str, int]:
+    """Materialise the build as one run and return rows written per mapping.
+
+    Everything is staged and published at the end by one manifest, so readers see the run
+    whole or not at all. Before the reports are built, ``rules`` are evaluated on the
+    canonical rows just written: quarantined rows go to ``quar`` tables, and a failing
+    ``block`` rule raises :class:`~ledgerlens.plans.publication.Blocked` with nothing
+    published but its evidence.
 
     Stage 1 writes the identity cross-reference while the nine canonical
     entities that do not depend on it are already being written; stage 2 writes
@@ -110,8 +153,10 @@ def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str
     run as concurrent Spark jobs.
     """
     import time
+    import uuid
     from concurrent.futures import ThreadPoolExecutor
 
+    warehouse = warehouse.run(run_id or f"run-{uuid.uuid4().hex}", code_version, as_of)
     counts: dict[str, int] = {}
     timings = {} if timings is None else timings
     clock = [time.time()]
@@ -121,31 +166,15 @@ def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str
         timings[name] = round(now - clock[0], 3)
         clock[0] = now
 
-    def write_entity(item):
-        name, ld = item
-        return warehouse.write_mappings(
-            [(part.mapping, conform(part.data, ENTITY_SCHEMAS[name])) for part in ld.parts],
-            keys=PRIMARY_KEYS[name],
-            partition_col="as_of_date" if "as_of_date" in ENTITY_SCHEMAS[name].names else None)
-
-    # entities that do not need the identity cross-reference start at once,
-    # next to the cross-reference job; the two that join it follow
-    needs_xref = ("arrangement_party_role", "netting_set")
-    xref = identity.resolve_party_identity(extracts["ref_party"], extracts["cbs_customer"],
-                                           extracts["trd_counterparty"])
-    lazy = canonical.load_all(spark, extracts, xref, as_of)
-    with ThreadPoolExecutor(parallelism) as pool:
-        early = [pool.submit(write_entity, (n, ld)) for n, ld in lazy.items()
-                 if n not in needs_xref]
-        warehouse.replace("stg.party_xref", xref)
-        lap("identity")
-        loads = canonical.load_all(spark, extracts, warehouse.read("stg.party_xref"), as_of)
-        late = [pool.submit(write_entity, (n, loads[n])) for n in needs_xref]
-        for f in early + late:
-            counts.update(f.result())
+    loads, loaded = load_run(spark, extracts, as_of, warehouse, parallelism, lap)
+    counts.update(loaded)
+    if blocked := audit_run(warehouse, rules or []):
+        publish_audited(warehouse, blocked)
+    # both lenses read the first dates; events are aggregated for them once
+    warehouse.replace("stg.inception_dates", finance.inception_dates(warehouse.read("canon.trade_event")))
     lap("canonical")
 
-    canon = {name: warehouse.read(f"canon.{name}") for name in loads}
+    canon = dated_canon(warehouse, as_of)
     details = [finance.asset_detail(spark, canon, as_of),
                risk.trade_exposure(spark, canon, as_of),
                reconcile.sector_disagreement(spark, canon, as_of)]
@@ -157,7 +186,7 @@ def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str
     trades = warehouse.read("rpt.ccr_trade_exposure")
     sets = risk.netting_set_exposure(spark, trades)
     rec_detail = reconcile.population_detail(fin_detail, trades, canon["arrangement"],
-                                             canon["trade_event"], as_of)
+                                             canon["trade_event"], as_of, canon["inception_dates"])
     aggregates = [finance.assets_by_sector(spark, fin_detail), sets,
                   reconcile.population_reconciliation(spark, rec_detail, as_of)]
     with ThreadPoolExecutor(parallelism) as pool:
@@ -170,18 +199,29 @@ def run_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str
     lap("aggregates")
     warehouse.record([m for ld in loads.values() for m in ld.mappings] +
                      [r.mapping for r in details + aggregates + [netting]], counts, as_of)
+    warehouse.publish()
     lap("lineage_and_log")
     return counts
 
 
+def dated_canon(warehouse: Warehouse, as_of: str) -> dict[str, DataFrame]:
+    """The canonical tables as the reports of one date read them: that date of the dated
+    ones, bucketed on the arrangement where the table is, and the first dates of events."""
+    canon = {name: warehouse.read_dated(f"canon.{name}", as_of) for name in ENTITY_SCHEMAS}
+    if warehouse.exists("stg.inception_dates"):
+        canon["inception_dates"] = warehouse.read_dated("stg.inception_dates", as_of)
+    return canon
+
+
 def pipeline_from_warehouse(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str,
                             warehouse: Warehouse) -> Pipeline:
     """A :class:`Pipeline` whose canonical layer is read back from a built
     warehouse; reports are lazy plans over those Parquet tables."""
     p = build_pipeline(spark, extracts, as_of, with_reports=False)
+    warehouse = warehouse.at()  # one run, whatever is published meanwhile
     p.xref = warehouse.read("stg.party_xref")
     p.canon = {name: warehouse.read(f"canon.{name}") for name in p.loads}
-    p.reports = build_reports(spark, p.canon, as_of)
+    p.reports = build_reports(spark, dated_canon(warehouse, as_of), as_of)
     p.written_load_log = (warehouse.load_log()
                           .where(F.col("target").startswith("canon."))
                           .where(F.col("as_of_date") == F.lit(as_of).cast("date")))

@@ -1,22 +1,36 @@
-"""SNK-1/2/4/6: keyed upsert, full rebuild, load log and findings output.
+"""SNK-1/2/4/6, EXT-3, EXT-17: tables, runs and their publication.
 
 A table is a folder of immutable versions. Every write is a new folder
-``version=<id>`` (split by date for dated entities); a numbered state file then names the
-folders that make the table, and one atomic rename of a small pointer publishes it.
-Readers resolve the pointer, so an aborted job, partitioned or not, leaves the table as
-it was, and a published run is never rewritten: ``read(table, state=n)`` gives any
-earlier one (EXT-17).
+``version=<id>`` (split by date for dated entities) and a new state file that names the
+folders that make the table. A *manifest*, numbered, names the state of every table and the
+run, code version and date that made it; the greatest one is what readers see. A manifest
+is created under a number that does not exist yet, so of two writers one comes second: it
+starts again from the newer manifest, or gets a :class:`Conflict` if both changed one
+table. Nothing is lost without a word, and an aborted job leaves no trace in any manifest.
+
+``Warehouse.run`` opens a run: everything it writes is staged, seen by itself alone, and
+published by one manifest (write, audit, publish) or abandoned. ``at`` gives the tables as
+one run published them, so figures of an earlier run come back whole and a reader never
+sees parts of two runs.
 
 A keyed upsert writes the incoming rows plus the existing rows of the touched dates whose
-key is not incoming (``left_anti``); a row missing from a rerun survives (ledger Q1). It
-writes once, into the new folder. Append-only tables (events) get a folder with the keys
-not yet present; nothing of theirs is rewritten.
+key is not incoming (``left_anti``); a row missing from a rerun survives (ledger Q1) unless
+``snapshot`` is asked for. The touched dates are the incoming ones, and only their folders
+are read. Append-only tables (events) get a folder with the keys not yet present; split by
+month, only the months that arrive are looked through.
+
+Tables of one row or few per arrangement are written in buckets of ``arrangement_key``
+(:data:`BUCKETED`); :meth:`Warehouse.read_dated` reads a date so that Spark knows them, and
+joins of such tables need no exchange.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import threading
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,12 +76,36 @@ def dedupe_on_keys(df: DataFrame, keys: list[str], order_cols: list[str],
             .select(*df.columns))
 
 
+#: Tables in buckets of a key, of which a date holds few rows for one key value each.
+BUCKETED = {f"canon.{t}": "arrangement_key" for t in (
+    "arrangement", "position", "arrangement_party_role", "classification")} | {"stg.inception_dates": "arrangement_key"}
+
+#: Hidden column by which append-only tables are split, and the expression it holds.
+MONTHLY = {"canon.trade_event": "date_format(economic_event_date, 'yyyy-MM')"}
+
+
+class Conflict(RuntimeError):
+    """Another writer has published the same table since this one read it."""
+
+
 class Warehouse:
-    """Parquet tables under ``root``: ``<root>/<namespace>/<table>``."""
+    """Parquet tables under ``root``: ``<root>/<namespace>/<table>``.
+
+    The object itself sees the newest manifest and publishes each write at once;
+    :meth:`run` and :meth:`at` give views of the same root.
+    """
+
+    _creating = threading.Lock()  # local file systems rename in two steps
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.run_id: str | None = None
+        self.code_version: str | None = None
+        self.as_of_date: str | None = None
+        self._pinned: dict | None = None            # the manifest a view stands on
+        self._staged: dict[str, str] | None = None  # table -> state file, of an open run
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
@@ -78,17 +116,23 @@ class Warehouse:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def _put(self, path: str, text: str) -> None:
-        """Write a small file beside its place and rename it there in one step."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        aside = f"{path}-{uuid.uuid4().hex}"
-        fs, p = self._hadoop(aside)
-        out = fs.create(p, True)
+        """Write a small file under a name of its own."""
+        fs, p = self._hadoop(path)
+        out = fs.create(p, False)
         out.write(bytearray(text, "utf-8"))
         out.close()
-        overwrite = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-        overwrite[0] = hadoop.Options.Rename.OVERWRITE
-        hadoop.FileContext.getFileContext(p.toUri(), self.spark._jsc.hadoopConfiguration()).rename(
-            p, hadoop.Path(path), overwrite)
+
+    def _create(self, path: str, text: str) -> bool:
+        """Write a small file whole, or not at all if there is one; says which."""
+        aside = f"{path}-{uuid.uuid4().hex}"
+        self._put(aside, text)
+        fs, p = self._hadoop(aside)
+        with Warehouse._creating:
+            _, target = self._hadoop(path)
+            if not fs.exists(target) and fs.rename(p, target):
+                return True
+        fs.delete(p, False)
+        return False
 
     def _get(self, path: str) -> str:
         fs, p = self._hadoop(path)
@@ -98,88 +142,328 @@ class Warehouse:
         finally:
             stream.close()
 
+    # ------------------------------------------------------------- manifests
+    def _numbers(self) -> list[int]:
+        fs, p = self._hadoop(f"{self.root}/_manifests")
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def _manifest(self, n: int) -> dict:
+        return json.loads(self._get(f"{self.root}/_manifests/{n:010d}"))
+
+    def _newest(self) -> dict:
+        numbers = self._numbers()
+        return self._manifest(numbers[-1]) if numbers else {"number": 0, "tables": {}}
+
+    def _commit(self, changed: dict[str, str], base: dict) -> int:
+        """Publish the states ``changed``, which were built on the manifest ``base``."""
+        while True:
+            newest = self._newest()
+            for table in changed:
+                if newest["tables"].get(table) != base["tables"].get(table):
+                    raise Conflict(f"{table} was published by run {newest.get('run_id')} meanwhile")
+            n = newest["number"] + 1
+            manifest = {"number": n, "run_id": self.run_id or f"write-{n}", "code_version": self.code_version,
+                        "as_of_date": self.as_of_date, "changed": sorted(changed), "tables": newest["tables"] | changed}
+            if self._create(f"{self.root}/_manifests/{n:010d}", json.dumps(manifest)):
+                return n
+
+    # ------------------------------------------------------------- runs
+    def _view(self, pinned: dict) -> "Warehouse":
+        view = Warehouse(self.spark, self.root, self.buckets)
+        view._pinned = pinned
+        return view
+
+    def run(self, run_id: str, code_version: str, as_of_date: str | None = None) -> "Warehouse":
+        """Open a run on the newest manifest: what it writes is staged until
+        :meth:`publish`; reads see its own writes, else that manifest."""
+        if any(r["run_id"] == run_id for r in self.runs()):
+            raise ValueError(f"run {run_id} is published; a run is never published again")
+        view = self._view(self._newest())
+        view.run_id, view.code_version, view.as_of_date, view._staged = run_id, code_version, as_of_date, {}
+        return view
+
+    def publish(self, only: list[str] | None = None) -> int:
+        """Publish the run's tables (or ``only`` some, abandoning the rest) by one manifest."""
+        if self._staged is None:
+            raise ValueError("no open run")
+        self.abandon([t for t in self._staged if only is not None and t not in only])
+        n = self._commit(self._staged, self._pinned)
+        self._pinned, self._staged = self._manifest(n), None
+        return n
+
+    def abandon(self, tables: list[str] | None = None) -> None:
+        """Delete what the run has staged (for some tables)."""
+        for table in list(self._staged) if tables is None else tables:
+            before = {s[0] for s in self._segments(self._pinned["tables"].get(table), table)}
+            for version in {s[0] for s in self._segments(self._staged.pop(table), table)} - before:
+                fs, p = self._hadoop(f"{self.path(table)}/version={version}")
+                fs.delete(p, True)
+
+    def at(self, run_id: str | None = None) -> "Warehouse":
+        """The tables as ``run_id`` published them (None: the newest run), for reading."""
+        for n in reversed(self._numbers()):
+            found = self._manifest(n)
+            if run_id is None or found["run_id"] == run_id:
+                return self._view(found)
+        raise KeyError(f"no published run {run_id}")
+
+    def runs(self) -> list[dict]:
+        """Every publication, oldest first: number, run, code version, date, tables changed."""
+        return [{k: m.get(k) for k in ("number", "run_id", "code_version", "as_of_date", "changed")}
+                for m in map(self._manifest, self._numbers())]
+
     # ------------------------------------------------------------- states
-    def exists(self, table: str) -> bool:
-        fs, p = self._hadoop(f"{self.path(table)}/_current")
-        return fs.exists(p)
+    def _tables(self) -> dict[str, str]:
+        seen = self._pinned if self._pinned is not None else self._newest()
+        return seen["tables"] | (self._staged or {})
 
-    def current(self, table: str) -> int:
-        """The number of the published state; 0 before the first."""
-        return int(self._get(f"{self.path(table)}/_current")) if self.exists(table) else 0
+    @property
+    def staged(self) -> list[str]:
+        """The tables that the open run has written."""
+        return sorted(self._staged or ())
+
+    def exists(self, table: str) -> bool:
+        return table in self._tables()
 
     def _state(self, table: str, state: int | None = None) -> dict:
-        return json.loads(self._get(f"{self.path(table)}/_states/{state or self.current(table)}"))
+        """The table's state, or an earlier one by its number."""
+        found = json.loads(self._get(f"{self.path(table)}/_states/{self._tables()[table]}"))
+        while state is not None and found["state"] != state:
+            if not found["previous"] or found["state"] < state:
+                raise KeyError(f"{table} has no state {state}")
+            found = json.loads(self._get(f"{self.path(table)}/_states/{found['previous']}"))
+        return found
+
+    def _segments(self, file: str | None, table: str) -> list[list]:
+        return json.loads(self._get(f"{self.path(table)}/_states/{file}"))["segments"] if file else []
+
+    def current(self, table: str) -> int:
+        """The number of the table's state; 0 before the first."""
+        return self._state(table)["state"] if self.exists(table) else 0
 
     def _publish(self, table: str, schema: T.StructType, partition_col: str | None,
-                 segments: list[list]) -> None:
-        """``segments``: (version, date folder or None) of every folder of the table."""
-        n = self.current(table) + 1
-        state = {"schema": schema.jsonValue(), "partition_col": partition_col, "segments": segments}
-        self._put(f"{self.path(table)}/_states/{n}", json.dumps(state))
-        self._put(f"{self.path(table)}/_current", str(n))
-
-    def read(self, table: str, state: int | None = None) -> DataFrame:
-        found = self._state(table, state)
-        schema, base = T.StructType.fromJson(found["schema"]), self.path(table)
-        paths = [f"{base}/version={v}" + (f"/{part}" if part else "") for v, part in found["segments"]]
+                 segments: list[list], base: dict, bucketed: list | None = None) -> None:
+        """``segments``: (version, folder or None, run, code version) of every folder of the
+        table, which was built on the tables of the manifest ``base``."""
+        if self._pinned is not None and self._staged is None:
+            raise ValueError("this view is for reading")
+        was = (self._staged or {}).get(table, base["tables"].get(table))
+        before = json.loads(self._get(f"{self.path(table)}/_states/{was}")) if was else {"state": 0}
+        published = base["tables"].get(table)
+        n = before["state"] + (0 if self._staged and table in self._staged else 1)
+        file = uuid.uuid4().hex
+        self._put(f"{self.path(table)}/_states/{file}", json.dumps({
+            "state": n, "previous": published, "schema": schema.jsonValue(), "partition_col": partition_col,
+            "bucketed": bucketed, "segments": segments}))
+        if self._staged is not None:
+            self._staged[table] = file
+        else:
+            self._commit({table: file}, base)
+
+    def _base(self) -> dict:
+        return self._pinned if self._pinned is not None else self._newest()
+
+    def _retried(self, write) -> None:
+        """Run ``write(base)``; outside a run, once more on the newer tables after a conflict."""
+        while True:
+            base = self._base()
+            try:
+                return write(base)
+            except Conflict:
+                if self._staged is not None:
+                    raise
+
+    def _read(self, table: str, schema: T.StructType, segments: list[list]) -> DataFrame:
+        base = self.path(table)
+        paths = [f"{base}/version={s[0]}" + (f"/{s[1]}" if s[1] else "") for s in segments]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        stored = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+        hidden = [T.StructField("version", T.StringType()), T.StructField("_month", T.StringType())]
+        stored = T.StructType([*schema.fields, *hidden])
         return self.spark.read.option("basePath", base).schema(stored).parquet(*paths).select(*schema.names)
 
-    def _write(self, table: str, df: DataFrame, partition_col: str | None) -> list[list]:
-        """Write a new version; its segments."""
+    def read(self, table: str, state: int | None = None, stamped: bool = False) -> DataFrame:
+        """The table, or an earlier state of it. ``stamped``: with the columns ``run_id`` and
+        ``code_version`` of the run that wrote each row's folder."""
+        found = self._state(table, state)
+        schema = T.StructType.fromJson(found["schema"])
+        if not stamped:
+            return self._read(table, schema, found["segments"])
+        by_run: dict[tuple, list] = {}
+        for s in found["segments"]:
+            by_run.setdefault((s[2], s[3]), []).append(s)
+        parts = [self._read(table, schema, segments).withColumns({"run_id": F.lit(r), "code_version": F.lit(c)})
+                 for (r, c), segments in (by_run or {(None, None): []}).items()]
+        return reduce(DataFrame.unionByName, parts).withColumns(
+            {c: F.col(c).cast("string") for c in ("run_id", "code_version")})
+
+    def written(self, table: str) -> DataFrame:
+        """What the open run has written of ``table``: the folders no earlier run has."""
+        found = self._state(table)
+        before = {tuple(s[:2]) for s in self._segments(self._pinned["tables"].get(table), table)}
+        return self._read(table, T.StructType.fromJson(found["schema"]),
+                          [s for s in found["segments"] if tuple(s[:2]) not in before])
+
+    def unshared(self, table: str, other: "Warehouse") -> DataFrame:
+        """The rows in folders of ``table`` that ``other``'s state of it does not have."""
+        found = self._state(table)
+        theirs = {tuple(s[:2]) for s in other._segments(other._tables().get(table), table)}
+        return self._read(table, T.StructType.fromJson(found["schema"]),
+                          [s for s in found["segments"] if tuple(s[:2]) not in theirs])
+
+    def read_dated(self, table: str, as_of: str) -> DataFrame:
+        """The rows of one date. A date of a bucketed table is read as a bucketed Spark
+        table over its folder, so that joins and aggregates on the key need no exchange."""
+        found = self._state(table)
+        schema, col = T.StructType.fromJson(found["schema"]), found["partition_col"]
+        here = [s for s in found["segments"] if col and s[1] == f"{col}={as_of}"]
+        if not found["bucketed"] or (col and len(here) != 1) or (not col and len(found["segments"]) != 1):
+            df = self.read(table)
+            return df.where(F.col(col) == F.lit(as_of).cast("date")) if col else df
+        version, part = (here or found["segments"])[0][:2]
+        folder = f"{self.path(table)}/version={version}" + (f"/{part}" if part else "")
+        key, n = found["bucketed"]
+        name = f"ledgerlens_{hashlib.md5(folder.encode()).hexdigest()}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != col)
+        self.spark.sql(f"create table if not exists {name} ({columns}) using parquet clustered by ({key}) "
+                       f"sorted by ({key}) into {n} buckets location '{folder}'")
+        df = self.spark.table(name)
+        if col:
+            df = df.withColumn(col, F.lit(as_of).cast(schema[col].dataType))
+        return df.select(*schema.names)
+
+    def _write(self, table: str, df: DataFrame, partition_col: str | None) -> tuple[list[list], list | None]:
+        """Write a new version; its segments, and its bucketing (key, number) if any."""
         version = uuid.uuid4().hex
         path = f"{self.path(table)}/version={version}"
-        writer = df.write.partitionBy(partition_col) if partition_col else df.write
-        writer.parquet(path)
+        key = BUCKETED.get(table)
+        bucketed = [key, self.buckets] if key and key in df.columns else None
+        writer = (df.repartition(self.buckets, key) if bucketed else df).write
+        if partition_col:
+            writer = writer.partitionBy(partition_col)
+        if bucketed:  # Spark writes buckets through a table; dropping it leaves the files
+            name = f"ledgerlens_{version}"
+            writer.bucketBy(self.buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+            self.spark.sql(f"drop table {name}")
+        else:
+            writer.parquet(path)
+        stamp = [self.run_id, self.code_version]
         if not partition_col:
-            return [[version, None]]
+            return [[version, None, *stamp]], bucketed
         fs, p = self._hadoop(path)
-        return [[version, st.getPath().getName()] for st in fs.listStatus(p) if st.isDirectory()]
+        return [[version, st.getPath().getName(), *stamp] for st in fs.listStatus(p) if st.isDirectory()], bucketed
 
+    # ------------------------------------------------------------- writes
     def replace(self, table: str, df: DataFrame) -> None:
         """SNK-2: create or replace the whole table."""
-        self._publish(table, df.schema, None, self._write(table, df, None))
+        def write(base: dict) -> None:
+            segments, bucketed = self._write(table, df, None)
+            self._publish(table, df.schema, None, segments, base, bucketed)
+        self._retried(write)
 
     def upsert(self, table: str, incoming: DataFrame, keys: tuple[str, ...],
-               partition_col: str | None = "as_of_date") -> None:
-        """SNK-1: keyed upsert; only the partitions present in ``incoming`` are written.
+               partition_col: str | None = "as_of_date", snapshot: bool = False) -> None:
+        """SNK-1: keyed upsert; only the partitions present in ``incoming`` are read and written.
 
-        Of incoming rows with one key the greatest, column by column, is taken.
+        Of incoming rows with one key the greatest, column by column, is taken. With
+        ``snapshot`` the incoming dates (or the table) are replaced: rows missing go.
         """
         incoming = dedupe_on_keys(incoming, list(keys), [])
-        kept: list[list] = []
-        merged = incoming
-        if self.exists(table):
-            existing = self.read(table)
-            kept = self._state(table)["segments"]
-            if partition_col:  # only the touched dates are read back
-                existing = existing.join(incoming.select(partition_col).distinct(), partition_col, "left_semi")
-            merged = keyed_upsert(existing, incoming, keys)
-        new = self._write(table, merged, partition_col)
-        touched = {part for _, part in new}
-        self._publish(table, incoming.schema, partition_col,
-                      new + [s for s in kept if partition_col and s[1] not in touched])
-
-    def append(self, table: str, incoming: DataFrame, keys: tuple[str, ...]) -> None:
-        """Add the rows of an append-only table whose keys it does not have yet."""
+        def write(base: dict) -> None:
+            kept: list[list] = []
+            merged = incoming
+            if self.exists(table):
+                found = self._state(table)
+                kept = touched = found["segments"]
+                if partition_col:  # the folders of the incoming dates
+                    text = F.coalesce(F.col(partition_col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+                    dates = {f"{partition_col}={r[0]}" for r in incoming.select(text).distinct().collect()}
+                    touched = [s for s in kept if s[1] in dates]
+                    kept = [s for s in kept if s[1] not in dates]
+                else:
+                    kept = []
+                if touched and not snapshot:
+                    existing = self._read(table, T.StructType.fromJson(found["schema"]), touched)
+                    merged = keyed_upsert(existing, incoming, keys)
+            new, bucketed = self._write(table, merged, partition_col)
+            if not new and kept and not bucketed:
+                bucketed = self._state(table)["bucketed"]
+            self._publish(table, incoming.schema, partition_col, new + kept, base, bucketed)
+        self._retried(write)
+
+    def append(self, table: str, incoming: DataFrame, keys: tuple[str, ...], month: str | None = None) -> None:
+        """Add the rows of an append-only table whose keys it does not have yet.
+
+        ``month`` (by default :data:`MONTHLY`) is an expression that never changes for a
+        key: the table is split by it, and only the months that arrive are searched."""
+        month = month or MONTHLY.get(table)
         incoming = dedupe_on_keys(incoming, list(keys), [])
-        kept: list[list] = []
-        if self.exists(table):
-            incoming = incoming.join(self.read(table).select(*keys), list(keys), "left_anti")
-            kept = self._state(table)["segments"]
-        self._publish(table, incoming.schema, None, kept + self._write(table, incoming, None))
+        dated = incoming.withColumn("_month", F.coalesce(F.expr(month), F.lit("none"))) if month else incoming
+        part = "_month" if month else None
+
+        def write(base: dict) -> None:
+            kept: list[list] = []
+            fresh = dated
+            if self.exists(table):
+                found = self._state(table)
+                kept = searched = found["segments"]
+                if month:
+                    months = {f"_month={r[0]}" for r in dated.select("_month").distinct().collect()}
+                    searched = [s for s in kept if s[1] in months or not s[1]]
+                if searched:
+                    stored = self._read(table, T.StructType.fromJson(found["schema"]), searched)
+                    fresh = dated.join(stored.select(*keys), list(keys), "left_anti").select(*dated.columns)
+            new, _ = self._write(table, fresh, part)
+            self._publish(table, incoming.schema, None, kept + new, base)
+        self._retried(write)
+
+    def compact(self, table: str, most: int = 64) -> None:
+        """Rewrite an append-only table whose state names more than ``most`` folders of one
+        month (or at all), month by month, so that states stay short."""
+        def write(base: dict) -> None:
+            found = self._state(table)
+            groups: dict[str | None, list] = {}
+            for s in found["segments"]:
+                groups.setdefault(s[1], []).append(s)
+            schema, segments = T.StructType.fromJson(found["schema"]), []
+            for part, group in groups.items():
+                if len(group) > most:
+                    df = self._read(table, schema, group)
+                    if part:
+                        df = df.withColumn("_month", F.lit(part.split("=", 1)[1]))
+                    group = self._write(table, df, "_month" if part else None)[0]
+                segments += group
+            if segments != found["segments"]:
+                self._publish(table, schema, found["partition_col"], segments, base, found["bucketed"])
+        self._retried(write)
 
     def forget(self, table: str, states: int = 2) -> None:
-        """Delete the versions that the last ``states`` states do not use."""
-        n = self.current(table)
-        used = {v for i in range(max(1, n - states + 1), n + 1) for v, _ in self._state(table, i)["segments"]}
-        fs, p = self._hadoop(self.path(table))
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("version=") and name[8:] not in used:
-                fs.delete(st.getPath(), True)
+        """Delete the versions that only states before the last ``states`` use. Runs before
+        can then no longer be read for this table."""
+        found, used, files, n = self._state(table), set(), [], states
+        while True:
+            if n > 0:
+                used |= {s[0] for s in found["segments"]}
+            else:
+                files.append(found["segments"])
+            n -= 1
+            if not found["previous"]:
+                break
+            fs, p = self._hadoop(f"{self.path(table)}/_states/{found['previous']}")
+            if not fs.exists(p):
+                break
+            if n <= 0:
+                name = found["previous"]
+                found = json.loads(self._get(f"{self.path(table)}/_states/{name}"))
+                fs.delete(p, False)
+            else:
+                found = json.loads(self._get(f"{self.path(table)}/_states/{found['previous']}"))
+        for version in {s[0] for segments in files for s in segments} - used:
+            fs, p = self._hadoop(f"{self.path(table)}/version={version}")
+            fs.delete(p, True)
 
     def write_mappings(self, parts: list[tuple[Mapping, DataFrame]],
                        keys: tuple[str, ...] | None = None,
@@ -218,6 +502,17 @@ class Warehouse:
         else:
             self.upsert(target, df, keys, partition_col=partition_col)
 
+    def quarantine(self, table: str, good: DataFrame, held: DataFrame, keys: tuple[str, ...]) -> None:
+        """In a run: the rows of ``table`` that this run wrote become ``good``; ``held`` are
+        the rows taken out, kept in ``quar.<table>`` by their keys and dates."""
+        found = self._state(table)
+        before = {tuple(s[:2]) for s in self._segments(self._pinned["tables"].get(table), table)}
+        kept = [s for s in found["segments"] if tuple(s[:2]) in before]
+        col = found["partition_col"]
+        self.upsert(f"quar.{table.split('.', 1)[1]}", held, keys, partition_col=col, snapshot=True)
+        new, bucketed = self._write(table, good, col)
+        self._publish(table, T.StructType.fromJson(found["schema"]), col, new + kept, self._pinned, bucketed)
+
     def record(self, mappings: list[Mapping], counts: dict[str, int], as_of_date: str) -> None:
         """SNK-4 + SNK-5: lineage of the mappings and one load-log row each."""
         self.upsert("meta.lineage", lineage_frame(self.spark, mappings), LINEAGE_KEY,

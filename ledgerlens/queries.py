@@ -7,6 +7,7 @@ runs the library's operators on them; nothing is sampled or capped (the one
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import surrogate_key
 from ledgerlens.operators import analysis, canonical, finance, identity, reconcile, risk
-from ledgerlens.plans.pipeline import Pipeline, build_pipeline, load_log_frame
-from ledgerlens.plans.warehouse import keyed_upsert
+from ledgerlens.plans.pipeline import Pipeline, build_pipeline, load_log_frame, load_run
+from ledgerlens.plans.publication import audit_run, publish_audited, published_rows
+from ledgerlens.plans.warehouse import Warehouse, keyed_upsert
 from ledgerlens.schemas import PRIMARY_KEYS
+from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.testdata import AS_OF, testdata_extracts
 
 _PIPELINES: dict[tuple, Pipeline] = {}
@@ -271,12 +274,20 @@ def _(spark, sf):
                              p.canon["classification"], AS_OF)
 
 
+def new_warehouse(spark: SparkSession, name: str) -> Warehouse:
+    """An empty warehouse in the shared folder, for queries that publish runs."""
+    return Warehouse(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+
+
 @query("chk_rerun")
 def _(spark, sf):
-    """The loads upserted over themselves, as a rerun of the same day does."""
-    canon = pipeline(spark, sf).canon
-    again = {n: keyed_upsert(df, df, PRIMARY_KEYS[n]) for n, df in canon.items()}
-    return checks.check_rerun(canon, again)
+    """All loads from the extracts, twice, as two runs of one warehouse."""
+    wh = new_warehouse(spark, "rerun")
+    for run_id in ("first", "again"):
+        run = wh.run(run_id, "v1", AS_OF)
+        load_run(spark, testdata_extracts(spark, sf), AS_OF, run)
+        run.publish()
+    return checks.check_rerun_runs(wh, "first", "again", PRIMARY_KEYS)
 
 
 @query("chk_reconciliation")
@@ -341,8 +352,8 @@ TYPED_SOURCE_COLUMNS = [
 KNOWN_TIMES = ("1998-07-05", "1998-07-25")
 
 
-def _code_list(spark):
-    return spark.createDataFrame(PRODUCT_CODE_LIST, "code string, mapped_value string, "
+def _code_list(spark, entries=PRODUCT_CODE_LIST):
+    return spark.createDataFrame(entries, "code string, mapped_value string, "
                                  "valid_from string, valid_to string") \
         .withColumn("valid_from", F.col("valid_from").cast("date")) \
         .withColumn("valid_to", F.col("valid_to").cast("date"))
@@ -536,10 +547,82 @@ def _(spark, sf):
 
 @query("ext_latest_version")
 def _(spark, sf):
-    """The sector report published twice: a first run over active arrangements' detail, then
-    the whole; readers see the newest version per date."""
+    """The sector report published by two runs: first over the detail with an allowance, then
+    over the whole; a reader sees what the newest run published, stamped with it."""
     p = pipeline(spark, sf)
-    detail = p.reports.fin_detail.data
-    first = finance.assets_by_sector(spark, detail.where(F.col("impairment_allowance") > 0)).data
-    runs = ext.with_version(first, "run-1", "v1").unionByName(ext.with_version(p.reports.fin_by_sector.data, "run-2", "v1"))
-    return ext.latest_version(runs, ["as_of_date"])
+    wh = new_warehouse(spark, "versions")
+    first = finance.assets_by_sector(spark, p.reports.fin_detail.data.where(F.col("impairment_allowance") > 0)).data
+    for run_id, data in (("run-1", first), ("run-2", p.reports.fin_by_sector.data)):
+        run = wh.run(run_id, "v1", AS_OF)
+        run.upsert("rpt.finrep_assets_by_sector", data, finance._BY_SECTOR, snapshot=True)
+        run.publish()
+    return wh.read("rpt.finrep_assets_by_sector", stamped=True)
+
+
+#: Rules that two of the tables fail: positions are stopped, arrangements lose rows.
+GATE_RULES = [
+    ext.QualityRule("DQ-GATE-01", "position", "validity", "ERROR", "block", "carrying_amount >= 0"),
+    ext.QualityRule("DQ-GATE-02", "arrangement", "completeness", "ERROR", "quarantine", "original_notional is not null"),
+    ext.QualityRule("DQ-GATE-03", "arrangement", "completeness", "ERROR", "quarantine", "maturity_date is not null"),
+    ext.QualityRule("DQ-GATE-04", "collateral", "completeness", "WARN", "flag", "haircut_pct is not null"),
+]
+
+
+@query("ext_write_audit_publish")
+def _(spark, sf):
+    """Positions of the earlier date are published before the rules are declared; the next
+    run writes all, is audited, and publishes what no block rule stops."""
+    c = pipeline(spark, sf).canon
+    date = F.col("as_of_date")
+    wh = new_warehouse(spark, "gate")
+    run = wh.run("earlier", "v1", PRIOR_AS_OF)
+    run.upsert("canon.position", c["position"].where(date == F.lit(PRIOR_AS_OF).cast("date")), PRIMARY_KEYS["position"])
+    run.publish()
+    run = wh.run("later", "v2", AS_OF)
+    for t in ("position", "arrangement", "collateral"):
+        run.upsert(f"canon.{t}", c[t].where(date == F.lit(AS_OF).cast("date")), PRIMARY_KEYS[t])
+    publish_audited(run, audit_run(run, GATE_RULES), whole=False)
+    return published_rows(wh, ["position", "arrangement", "collateral"])
+
+
+#: A code list with faults: two entries of a code at a time, and none for some months.
+FAULTY_CODE_LIST = [
+    ("IR_SWAP", "INTEREST_RATE", "1990-01-01", "1996-01-01"), ("IR_SWAP", "RATES", "1995-01-01", "1998-01-01"),
+    ("IR_SWAP", "IR_DERIVATIVE", "1998-06-01", None), ("FX_FORWARD", "FOREIGN_EXCHANGE", "1990-01-01", None),
+    ("FX_FORWARD", "FX", "1997-01-01", None), ("CDS", "CREDIT", "1990-01-01", None),
+]
+
+
+@query("ext_code_list_findings")
+def _(spark, sf):
+    arr = pipeline(spark, sf).canon["arrangement"]
+    return ext.rows_in_findings(arr, "product_type", "inception_date", ext.code_list_findings(_code_list(spark, FAULTY_CODE_LIST)))
+
+
+@query("ext_code_mapping_faulty_list")
+def _(spark, sf):
+    """Overlapping entries double no arrangement."""
+    arr = pipeline(spark, sf).canon["arrangement"].select("arrangement_key", "product_type", "inception_date")
+    mapped = ext.map_effective_codes(arr, "product_type", "inception_date", _code_list(spark, FAULTY_CODE_LIST))
+    return mapped.groupBy("product_type", "mapped_value").agg(F.count(F.lit(1)).alias("arrangements"))
+
+
+@query("ext_landing_rejects")
+def _(spark, sf):
+    """The customer extract landed as text in which some lines have a field too many or too
+    few, and some names hold a line break: lines in = records + rejects."""
+    from ledgerlens.sources.extracts import EXTRACT_COLUMNS, landing_counts, read_extract
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    n = "cast(substr(cbs_customer_id, 2) as bigint)"
+    quoted = "concat('\"', replace(if({} % 13 = 0, concat(customer_name, '\n', 'branch'), customer_name), '\"', '\"\"'), '\"')".format(n)
+    lei = "coalesce(lei, '')"
+    pipeline(spark, sf).extracts["cbs_customer"].selectExpr(
+        f"case when {n} % 97 = 0 then concat_ws(',', cbs_customer_id, {quoted}, {lei}, country, '', 'surplus') "
+        f"when {n} % 89 = 0 then concat_ws(',', cbs_customer_id, {quoted}, {lei}) "
+        f"else concat_ws(',', cbs_customer_id, {quoted}, {lei}, country, coalesce(src_party_id_hint, '')) end as value") \
+        .write.text(f"{folder}/CBS_customer.csv")
+    counts = landing_counts(spark, folder, ["CBS_customer"], header=False)
+    records = read_extract(spark, f"{folder}/CBS_customer.csv", EXTRACT_COLUMNS["CBS_customer"], header=False)
+    broken = records.agg(F.lit("CBS_customer").alias("extract"), F.count_if(F.col("customer_name").contains("\n")).alias(
+        "names_with_line_break"), F.countDistinct("cbs_customer_id").alias("customers"))
+    return counts.join(broken, "extract")

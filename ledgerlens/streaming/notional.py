@@ -42,7 +42,9 @@ def start_notional_stream(spark: SparkSession, source_dir: str, warehouse: Wareh
     def absorb(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:
-            warehouse.append(events_table, batch.where("event_key is not null"), ("event_key",))
+            warehouse.append(events_table, batch.where("event_key is not null"), ("event_key",),
+                             month="date_format(economic_event_date, 'yyyy-MM')")
+            warehouse.compact(events_table)
             touched = batch.select("arrangement_key").distinct()
             notional = (warehouse.read(events_table).join(touched, "arrangement_key", "left_semi")
                         .groupBy("arrangement_key")

@@ -51,5 +51,4 @@ def test_findings_written_as_json(spark, small_pipeline, tmpdir_path):
     lines = [json.loads(l) for p in sorted(os.listdir(out)) if p.endswith(".json")
              for l in open(os.path.join(out, p))]
     assert lines == [{"rule_id": "DP-29", "severity": "WARN", "subject": "canon.trade_event",
-                      "message": "no as_of_date column; point-in-time reproduction is not "
-                                 "possible"}]
+                      "message": "has no as_of_date, so a past day cannot be rebuilt"}]
