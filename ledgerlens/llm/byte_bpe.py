@@ -55,7 +55,7 @@ class ByteBpe:
         tokenizer = Tokenizer(BPE({text(t): r for t, r in ranks.items()}, merges, ignore_merges=True))
         tokenizer.pre_tokenizer = Sequence([Split(Regex(pattern), "isolated"),
                                             ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.encoder = UnitEncoder(tokenizer, spaced=True)
+        self.encoder = UnitEncoder(tokenizer)
         reverse = {c: b for b, c in enumerate(table)}
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, i in tokenizer.get_vocab().items():

@@ -83,7 +83,7 @@ def pack(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID, size: int
     unique, not gapless. The first pass is written to the shared folder.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        encoder = file_encoder(path, False)
+        encoder = file_encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         windows, sequence = OpenWindows(size, open_windows), TaskContext.get().partitionId() << 36
         out: list[tuple] = []

@@ -1,7 +1,7 @@
 """Operator 8: token ids in binary files, compressed by a Re-Pair grammar.
 
 A shard is a run of documents in doc_id order. In it, frequent pairs of adjacent ids are
-replaced by nonterminals, again and again, until another round would not pay. A file row
+replaced by nonterminals, again and again, until no pair pays for its rule. A file row
 holds the shard's rules, the expansion length of each rule and the remaining symbols;
 with the lengths, any range of ids is decoded without the ids before it.
 """
@@ -26,48 +26,71 @@ END_ID = 0
 SHARD_IDS = 1 << 21
 #: Nonterminals begin here; terminals are below.
 FIRST_RULE = 1 << 16
-#: A pair is frequent if found so often; a round takes so many pairs at most, and the
-#: last round is the one that shortens the shard by less than this share.
-LEAST_COUNT, PAIRS_A_ROUND, LEAST_GAIN = 16, 2048, 0.06
-
-
-def _frequent(seq: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent adjacent pairs as 64-bit keys, ascending, and for every
-    position the index of its pair among them or -1."""
-    keys = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-    mixed = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    often = np.bincount(mixed, minlength=1 << 20)
-    at = np.flatnonzero(often[mixed] >= least)  # a superset; counted exactly below
-    pairs, counts = np.unique(keys[at], return_counts=True)
-    top = np.argsort(-counts, kind="stable")[:most]
-    pairs = np.sort(pairs[top[counts[top] >= least]])
-    rule = np.full(len(keys), -1, np.int64)
-    if len(pairs):
-        found = np.minimum(np.searchsorted(pairs, keys[at]), len(pairs) - 1)
-        rule[at] = np.where(pairs[found] == keys[at], found, -1)
-    return pairs, rule
-
-
-def compress(ids: np.ndarray, least: int = LEAST_COUNT, most: int = PAIRS_A_ROUND,
-             gain: float = LEAST_GAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: A pair is frequent if found so often. A rule costs 16 bytes and saves 3 with every use,
+#: so a pair met fewer times than LEAST_USES would cost more than it saves.
+LEAST_COUNT, LEAST_USES = 16, 6
+
+
+def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys found ``least`` times, ascending, and each key's place among them or -1."""
+    mixed = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+    at = np.flatnonzero(np.bincount(mixed, minlength=1 << 20)[mixed] >= least)  # a superset; counted exactly below
+    order = np.argsort(keys[at])
+    ordered = keys[at][order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(at) else at
+    counts = np.diff(np.append(first, len(at)))
+    kept = counts >= least
+    place = np.full(len(keys), -1, np.int64)
+    place[at[order]] = np.repeat(np.where(kept, np.cumsum(kept) - 1, -1), counts)
+    return ordered[first[kept]], place
+
+
+def compress(ids: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules, lengths): rule ``k`` is the pair that ``FIRST_RULE + k`` stands
-    for, and ``lengths[k]`` the number of ids it expands to."""
+    for, and ``lengths[k]`` the number of ids it expands to.
+
+    A round replaces all frequent pairs, the most frequent first where they overlap; rounds
+    end when no pair is frequent that would still be used ``LEAST_USES`` times. A round
+    looks only at pairs that can be frequent: those with a symbol made by the round before,
+    and those that were frequent and not replaced."""
     seq, rules = ids.astype(np.uint32), []
-    while len(seq) > 2 * least:
-        pairs, rule = _frequent(seq, least, most)
-        chosen = np.flatnonzero(rule >= 0)
-        # of overlapping occurrences in a run of chosen positions take each second one
-        fresh = np.append(True, np.diff(chosen) > 1)
-        run = chosen[np.maximum.accumulate(np.where(fresh, np.arange(len(chosen)), 0))] if len(chosen) else chosen
-        chosen = chosen[(chosen - run) % 2 == 0]
-        if len(chosen) < max(1, gain * len(seq)):
+    look = np.ones(max(0, len(seq) - 1), bool)
+    made = FIRST_RULE
+    while True:
+        at = np.flatnonzero(look)
+        pairs, rule = _frequent(seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1], least)
+        if not len(pairs):
+            break
+        chosen, rule = at[rule >= 0], rule[rule >= 0]
+        rank = np.empty(len(pairs), np.int32)
+        rank[np.argsort(-np.bincount(rule, minlength=len(pairs)), kind="stable")] = np.arange(len(pairs))
+        # an occurrence is taken if its pair precedes those of the occurrences it overlaps;
+        # equal pairs in a row (a a a) are taken from the left, each second one
+        place = np.full(len(seq) + 1, len(pairs), np.int32)
+        place[chosen + 1] = rank[rule]
+        mine, left, right = place[chosen + 1], place[chosen], place[chosen + 2]
+        same = left == mine
+        fresh = ~same | np.append(True, np.diff(chosen) > 1)
+        run = chosen[np.maximum.accumulate(np.where(fresh, np.arange(len(chosen)), 0))]
+        take = ((mine < left) | same) & (mine <= right) & ((chosen - run) % 2 == 0)
+        # beside a run of equal pairs an overlap can be left: the left one stays
+        some = np.flatnonzero(take)
+        take[some[1:][np.diff(chosen[some]) == 1]] = False
+        take &= np.bincount(rule[take], minlength=len(pairs))[rule] >= min(LEAST_USES, least)
+        taken = chosen[take]
+        if not len(taken):
             break
-        used, index = np.unique(rule[chosen], return_inverse=True)
-        seq[chosen] = FIRST_RULE + sum(map(len, rules)) + index
+        used, index = np.unique(rule[take], return_inverse=True)
+        seq[taken] = made + index
         rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         stay = np.ones(len(seq), bool)
-        stay[chosen + 1] = False
-        seq = seq[stay]
+        stay[taken + 1] = False
+        again = np.zeros(len(seq), bool)
+        again[chosen[~take]] = True
+        seq, again = seq[stay], again[stay]
+        new = seq >= made
+        look = (again[:-1] | new[:-1] | new[1:]) if len(seq) else again
+        made += len(used)
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
     lengths = np.ones(FIRST_RULE + len(table), np.int64)
     done = FIRST_RULE
@@ -119,7 +142,7 @@ def write_ids(docs: DataFrame, out: str, path: str = TOKENIZER, end_id: int = EN
     from pyspark import TaskContext
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = file_encoder(path, True)
+        encoder = file_encoder(path)
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         sizes: list[int] = []
@@ -180,14 +203,17 @@ class Shard:
 def read_digests(spark, out: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of every document in the files of ``out``.
 
-    ``start`` adds up the shards before, of which there is one row for about two million
-    ids; only those rows meet in one task."""
+    ``start`` adds up the shards of a task before it and the tasks before; one row per
+    writing task meets in one place."""
     files = spark.read.schema(_FILE).parquet(out)
     from pyspark.sql import Window
 
-    order = Window.orderBy("task", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    before = files.select("task", "shard", "n_ids").withColumn(
-        "base", F.coalesce(F.sum("n_ids").over(order), F.lit(0))).drop("n_ids")
+    sizes = files.select("task", "shard", "n_ids")
+    first = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    # a row per task in one place, then each task's shards in their own
+    tasks = sizes.groupBy("task").agg(F.sum("n_ids").alias("n")).withColumn("t", F.coalesce(F.sum("n").over(first("task")), F.lit(0)))
+    before = sizes.withColumn("s", F.coalesce(F.sum("n_ids").over(first("task", "shard")), F.lit(0))).join(
+        tasks.select("task", "t"), "task").select("task", "shard", (F.col("s") + F.col("t")).alias("base"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,11 +1,14 @@
 """Encode whole texts with the tokenizers library, each distinct unit once.
 
-A unit is a stretch of text at whose ends every tokenizer used here cuts anyway: a
-word together with the one space before it (byte-level vocabularies) or without it
-(vocabularies that drop white space). The ids of a text are the ids of its units in
-order, so a task encodes a unit with the library when it first meets it and copies
-its ids afterwards. The memory of units is bounded by ``max_units``: when it is full
-it is emptied, which costs time and changes no result.
+A unit is a stretch of text at whose ends every tokenizer used here cuts anyway: a word
+with the one space before it, a mark behind a word, a line break. The ids of a text are
+the ids of its units in order, so a task encodes a unit when it first meets it and copies
+its ids afterwards. Units are cut and counted as bytes of an Arrow buffer, many at a time.
+
+The memory of units is bounded in bytes (``max_bytes``, besides the units of the slice in
+hand): when it is full, units met again since it last was stay, up to half of it, and the
+others go; so frequent words stay known, and long texts without a place to cut are kept no
+longer than their slice. This costs time and changes no result.
 """
 
 from __future__ import annotations
@@ -21,110 +24,176 @@ from tokenizers import Tokenizer
 
 from ledgerlens.llm.shared import gather
 
-#: A space with white space on both sides is no place to cut a text for a byte-level
-#: vocabulary: the run of white space is split elsewhere. (A superset of white space.)
-_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
-_INNER_SPACE = f"{_SPACE} {_SPACE}"
-#: Units whose ids part again when several are encoded as one text: a word with its space,
-#: whose first token alone begins with a space; a word of letters and at most one mark
-#: after it, each of which ends in a token of its own kind.
-_SPACED_UNIT = re.compile(r" [^\s\x1c-\x1f\x85]+\Z")
-_BARE_UNIT = re.compile(r"[^\W\d_]+([.,]?)\Z")
+#: Bytes of units and ids that a task remembers, and what a unit costs besides them.
+MAX_BYTES, UNIT_COST = 48 << 20, 160
+#: A word of letters that are one piece in every tokenizer's pattern (a superset need not be).
+_WORD = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ɏЀ-ѿ]+)\\Z")
+
+
+def _byte_alphabet() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: printable bytes
+    stand for themselves, the others for characters from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
+_ALPHABET = str.maketrans(dict(enumerate(_byte_alphabet())))
+
+
+_SHOWN, _LETTER, _BEHIND, _FOLLOWS, _LEAD_2, _LEAD_3, _LEAD_4, _LEAD_LETTER = (1 << i for i in range(8))
+#: What a byte of UTF-8 may be, as flags.
+_KIND = np.zeros(256, np.uint8)
+for _flag, _codes in ((_SHOWN, range(0x21, 0x7F)), (_LETTER, [*range(65, 91), *range(97, 123)]),
+                      (_BEHIND, [c for c in range(0x21, 0x7F) if not chr(c).isalpha() and c != 0x27]),
+                      (_FOLLOWS, range(0x80, 0xC0)), (_LEAD_2, range(0xC3, 0xE0)), (_LEAD_3, [0xE0, *range(0xE4, 0xF0)]),
+                      (_LEAD_4, range(0xF0, 0xF5)), (_LEAD_LETTER, [*range(0xC3, 0xCA), 0xD0, 0xD1])):
+    _KIND[[*_codes]] |= _flag
+
+
+def cuts(b: np.ndarray) -> np.ndarray:
+    """For each byte of UTF-8 whether a unit may begin with it.
+
+    Before a space or line break that stands alone between characters known not to be white
+    space, behind such a line break, and between a letter and a following ASCII character
+    that is neither letter, space nor apostrophe. Characters of which this is not known from
+    their first bytes are left uncut: no tokenizer pattern spans the places that are."""
+    n = len(b)
+    kinds = np.zeros(n + 5, np.uint8)
+    np.take(_KIND, b, out=kinds[4:n + 4])
+    here, p1, p2, p3, p4 = kinds[4:n + 4], kinds[3:n + 3], kinds[2:n + 2], kinds[1:n + 1], kinds[:n]
+    gaps = np.flatnonzero((b == 0x20) | (b == 0x0A))
+    # the character before a gap is no white space, nor is the one behind it
+    k1, k2, k3 = p1[gaps], p2[gaps], p3[gaps]
+    solid = (k1 & _SHOWN) | ((k1 & _FOLLOWS) > 0) & (((k2 & _LEAD_2) > 0) | ((k2 & _FOLLOWS) > 0) & (
+        ((k3 & _LEAD_3) > 0) | ((k3 & _FOLLOWS) > 0) & ((p4[gaps] & _LEAD_4) > 0)))
+    alone = gaps[(solid > 0) & ((kinds[gaps + 5] & (_SHOWN | _LEAD_2 | _LEAD_3 | _LEAD_4)) > 0)]
+    out = np.zeros(n, bool)
+    out[alone] = True
+    out[alone[b[alone] == 0x0A] + 1] = True  # a gap is never the last byte
+    marks = np.flatnonzero(here & _BEHIND)
+    k1, k2 = p1[marks], p2[marks]
+    letter = (k1 & _LETTER) | ((k1 & _FOLLOWS) > 0) & ((k2 & _LEAD_LETTER) > 0)
+    marks = marks[letter > 0]
+    last, lead = b[marks - 1], b[marks - 2]  # a mark behind a letter of two bytes is not among the first two
+    # the two signs among Latin letters, and the one letter whose lower case ends in a mark
+    other = (last > 0x7F) & (((lead == 0xC3) & ((last == 0x97) | (last == 0xB7))) | ((lead == 0xC4) & (last == 0xB0)))
+    out[marks[~other]] = True
+    return out
 
 
 class UnitEncoder:
-    """``encode`` gives the ids of a batch of texts as one array with offsets."""
+    """``encode`` gives the ids of a batch of texts as one array with offsets: those of the
+    library's ``encode(text, add_special_tokens=False)``, in which the string of a special
+    token is that token."""
 
-    def __init__(self, tokenizer: Tokenizer, spaced: bool, max_units: int = 400_000):
-        """``spaced``: the space before a word belongs to the word's tokens."""
+    def __init__(self, tokenizer: Tokenizer, max_bytes: int = MAX_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task uses one core
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.tokenizer, self.spaced, self.max_units = tokenizer, spaced, max_units
-        self._edge = np.zeros(tokenizer.get_vocab_size() + 1, bool)
-        for token, i in tokenizer.get_vocab().items():
-            self._edge[i] = token.startswith("Ġ") if spaced else token.endswith("</w>")
-        self._clear()
-
-    def _clear(self) -> None:
+        self.tokenizer, self.max_bytes = tokenizer, max_bytes
+        self._special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        normalizer = tokenizer.normalizer
+        letters = "".join(c for c in map(chr, range(65, 0x480)) if c != "İ" and _WORD.match(c))
+        self._lowered = normalizer is not None
+        #: whether plain words may go to the model: what the normalizer does to them is known
+        self._plain = normalizer is None or normalizer.normalize_str(letters) == letters.lower()
         self.slot: dict[str, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
-        self.used = 0
-        self.begin, self.length = [np.empty(1 << 14, np.int64) for _ in range(2)]
+        self.used = self.bytes = 0
+        self.begin, self.length, self.met = [np.zeros(1 << 14, np.int64) for _ in range(3)]
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, unit: str) -> list[int] | None:
+        """The ids of a plain word by the tokenizer's model, without its pattern; else None."""
+        found = self._plain and _WORD.match(unit)
+        if not found:
+            return None
+        if self._lowered:  # these drop white space, and of a word only its case changes
+            if "İ" in unit:
+                return None
+            unit = found[2].lower()
+        return [t.id for t in self._tokenize(unit.encode().decode("latin-1").translate(_ALPHABET))]
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32)
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _keep(self, units: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
+    def _learn(self, units: list[str], many: int = 4000) -> None:
+        self._tokenize = self.tokenizer.model.tokenize
+        got = [self._word(u) for u in units]
+        rest = [i for i, ids in enumerate(got) if ids is None]
+        for i in range(0, len(rest), many):
+            for j, ids in zip(rest[i:i + many], self._whole([units[j] for j in rest[i:i + many]])):
+                got[j] = ids
         n, m = len(self.slot), len(self.slot) + len(units)
+        lens = np.fromiter(map(len, got), np.int64, len(got))
+        ids = np.fromiter((x for g in got for x in g), np.uint32, int(lens.sum()))
         while m > len(self.begin):
-            self.begin, self.length = (np.concatenate([x, np.empty_like(x)]) for x in (self.begin, self.length))
+            self.begin, self.length, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length, self.met))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         self.flat[self.used:self.used + len(ids)] = ids
         self.begin[n:m] = self.used + np.cumsum(lens) - lens
         self.length[n:m] = lens
+        self.met[n:m] = 0
         self.used += len(ids)
+        self.bytes += sum(map(len, units)) + 4 * len(ids) + UNIT_COST * len(units)
         self.slot.update(zip(units, range(n, m)))
 
-    def _learn(self, units: list[str], many: int = 4000) -> None:
-        """Encode new units, the plain ones many at a time."""
-        shape = _SPACED_UNIT if self.spaced else _BARE_UNIT
-        plain = [(u, m) for u in units if (m := shape.match(u))]
-        for i in range(0, len(plain), many):
-            part = [u for u, _ in plain[i:i + many]]
-            ids = self._whole([("" if self.spaced else " ").join(part)])[0]
-            edge = np.flatnonzero(self._edge[ids])
-            if self.spaced:
-                cut, right = edge, len(edge) == len(part) and edge[0] == 0
-            else:  # the ends of words and marks
-                ends = np.cumsum([1 + len(m[1]) for _, m in plain[i:i + many]])
-                right = len(edge) == ends[-1]
-                cut = np.append(0, edge[ends[:-1] - 1] + 1) if right else edge
-            if right:
-                self._keep(part, ids, np.diff(np.append(cut, len(ids))))
-        rest = [u for u in units if u not in self.slot]
-        for i in range(0, len(rest), many):
-            got = self._whole(rest[i:i + many])
-            self._keep(rest[i:i + many], np.concatenate(got),
-                       np.fromiter(map(len, got), np.int64, len(got)))
+    def _trim(self) -> None:
+        """Keep the units met in more than one slice since the last time, up to half the bound."""
+        names = list(self.slot)
+        met, size = self.met[:len(names)], np.fromiter(map(len, names), np.int64, len(names)) + UNIT_COST + 4 * self.length[:len(names)]
+        order = np.argsort(-met, kind="stable")
+        order = order[(np.cumsum(size[order]) <= self.max_bytes // 2) & (met[order] > 1)]
+        lens = self.length[order]
+        flat = gather(self.flat, self.begin[order], lens)
+        self.slot = {names[i]: k for k, i in enumerate(order.tolist())}
+        self.used, self.bytes = len(flat), int(size[order].sum())
+        self.flat = np.concatenate([flat, np.empty(1 << 16, np.uint32)])
+        self.length = np.concatenate([lens, np.zeros(1 << 14, np.int64)])
+        self.begin = np.cumsum(self.length) - self.length
+        self.met = np.concatenate([met[order] // 2, np.zeros(1 << 14, np.int64)])
 
     def _slots(self, units: list[str]) -> np.ndarray:
         known = self.slot
-        if new := [u for u in dict.fromkeys(units) if u not in known]:
+        if new := [u for u in units if u not in known]:
             self._learn(new)
-        return np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+        slots = np.fromiter(map(self.slot.__getitem__, units), np.int64, len(units))
+        self.met[slots] += 1
+        return slots
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts, and where each text's ids end. Null: none."""
-        if len(self.slot) > self.max_units:
-            self._clear()
-        texts = pc.fill_null(texts, "")
-        odd = pc.match_substring_regex(texts, _INNER_SPACE) if self.spaced else None
-        whole = odd.to_numpy(zero_copy_only=False).nonzero()[0] if odd is not None else []
-        parts = pc.split_pattern(pc.if_else(odd, "", texts) if len(whole) else texts, " ")
-        offsets = parts.offsets.to_numpy()
-        coded = parts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        offsets = offsets - offsets[0]
-        words = coded.dictionary.to_pylist()
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        if self.spaced:
-            slots = self._slots([" " + w for w in words])[at]
-            first = offsets[:-1]
-            slots[first] = self._slots([words[i] for i in at[first].tolist()])
-        else:
-            slots = self._slots(words)[at]
+        if self.bytes > self.max_bytes:
+            self._trim()
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        # a special token is found before anything else: such texts are left to the library
+        odd = np.zeros(len(texts), bool)
+        for token in self._special:
+            odd |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(odd)
+        got = self._whole([texts[int(i)].as_py() for i in whole]) if len(whole) else []
+        texts = pc.if_else(pa.array(odd), "", texts).cast(pa.large_string()) if len(whole) else texts
+        bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[:bounds[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
+        starts = cuts(data)
+        starts[:bounds[0]] = False
+        starts[bounds[:-1][bounds[:-1] < len(data)]] = True
+        at = np.flatnonzero(starts)
+        units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int64).tobytes()),
+                                                 pa.py_buffer(data))
+        coded = units.dictionary_encode()
+        slots = self._slots(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
         lens = self.length[slots]
         ids = gather(self.flat, self.begin[slots], lens)
-        ends = np.concatenate([[0], np.cumsum(lens)])[offsets[1:]]
+        ends = np.append(0, np.cumsum(lens))[np.searchsorted(at, bounds[1:])]
         if len(whole):
-            got = dict(zip(whole.tolist(), self._whole([texts[int(i)].as_py() for i in whole])))
-            pieces = [got.get(i, ids[a:b]) for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends))]
+            held = dict(zip(whole.tolist(), got))
+            pieces = [np.array(held[i], np.uint32) if i in held else ids[a:b]
+                      for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends))]
             return np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
         return ids, ends
 
 
-@lru_cache(maxsize=4)
-def file_encoder(path: str, spaced: bool) -> UnitEncoder:
-    """The encoder of a tokenizer file, one per Python worker."""
-    return UnitEncoder(Tokenizer.from_file(path), spaced)
+@lru_cache(maxsize=1)
+def file_encoder(path: str) -> UnitEncoder:
+    """The encoder of a tokenizer file; a Python worker holds one at a time."""
+    return UnitEncoder(Tokenizer.from_file(path))

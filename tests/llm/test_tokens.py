@@ -2,17 +2,19 @@
 
 import base64
 import hashlib
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import byte_bpe, packing, repair
 from ledgerlens.llm.shared import scratch, table
-from ledgerlens.llm.units import UnitEncoder
+from ledgerlens.llm.units import MAX_BYTES, UnitEncoder
 from tests.conftest import SF_SMALL
 
 ODD = ["", None, " ", "a", "a  b", "a \n b\n \nc", "\n\n", "tab\t\tx  ", "it's I'm WE'LL", "naïve café́ ñ", "日本語 テスト 😀😀",
@@ -33,17 +35,36 @@ def tik():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_units_equal_the_whole_text():
-    import pyarrow as pa
-
-    for path, spaced in ((repair.TOKENIZER, True), (packing.TOKENIZER, False)):
-        plain = Tokenizer.from_file(path)
-        plain.encode_special_tokens = True
-        encoder = UnitEncoder(Tokenizer.from_file(path), spaced, max_units=3)
-        for _ in range(2):  # from the library, then from the units kept or emptied
-            ids, ends = encoder.encode(pa.array(ODD))
+@pytest.mark.parametrize("path", [repair.TOKENIZER, packing.TOKENIZER])
+@pytest.mark.parametrize("most", [MAX_BYTES, 500])
+def test_units_equal_the_whole_text(path, most):
+    """Ids as the library gives them by default, from it, from kept units, after trimming."""
+    plain, encoder = Tokenizer.from_file(path), UnitEncoder(Tokenizer.from_file(path), most)
+    rnd = random.Random(1)
+    signs = list("abXYZ éÉßñ×÷İıſЖΣσς,.;'\n\n  \t\r  ́中文日本ไทย한국عربي😀👍🏽12345_-\"(<>≠|*\x00\x1c\x85\xa0　\u2003") + [
+        "<|endoftext|>", "<|startoftext|>", "'s", "'ll", " \n", "\n\n", " '"]
+    texts = ODD + ["".join(rnd.choices(signs, k=rnd.randrange(1, 60))) for _ in range(4000)]
+    for i in range(0, len(texts), 300):
+        part = texts[i:i + 300]
+        for column in (pa.array(part), pa.array(["x", *part])[1:]):  # an array that begins inside its buffers
+            ids, ends = encoder.encode(column)
             got = [ids[a:b].tolist() for a, b in zip(np.append(0, ends[:-1]), ends)]
-            assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in ODD]
+            assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in part]
+    assert encoder.encode(pa.array([], pa.string()))[1].tolist() == []
+
+
+def test_units_memory_is_bounded_in_bytes():
+    """Texts without a place to cut are not kept; frequent words are."""
+    encoder, rnd = UnitEncoder(Tokenizer.from_file(repair.TOKENIZER), 1 << 20), random.Random(2)
+    frequent = ["word%s" % "".join(rnd.choices("abcdef", k=6)) for _ in range(500)]
+    for i in range(12):
+        long = ["".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(30_000)) for _ in range(5)]
+        rare = ["".join(rnd.choices("abcdefghij", k=12)) for _ in range(3000)]
+        encoder.encode(pa.array([" ".join(frequent + rare), *long]))
+        encoder.encode(pa.array([" ".join(frequent)]))
+    assert encoder.bytes <= (1 << 20) + 3000 * 250 + 5 * 30_000 * 20 and all(" " + w in encoder.slot for w in frequent[1:])
+    encoder._trim()
+    assert encoder.bytes <= 1 << 19 and sum(map(len, encoder.slot)) < 1 << 19
 
 
 def test_byte_bpe_equals_tiktoken(spark, tik, odd):
@@ -76,7 +97,6 @@ def test_byte_bpe_offsets_and_decoding(spark, odd):
 
 def _ids(text, path, end):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return np.array(t.encode(text or "", add_special_tokens=False).ids + [end], "<u4")
 
 
@@ -117,6 +137,20 @@ def test_compress_expand_on_repetitive_and_random_ids():
             assert repair.expand_range(symbols, rules, lengths, a, b).tolist() == ids[a:b].tolist()
 
 
+def test_no_pair_is_left_that_pays_for_a_rule(spark):
+    """Rounds go on until no pair occurs LEAST_COUNT times; rules grow over rounds."""
+    encoder = UnitEncoder(Tokenizer.from_file(repair.TOKENIZER))
+    ids, _ = encoder.encode(pa.array([r.text for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]))
+    for least in (repair.LEAST_COUNT, 6):
+        symbols, rules, lengths = repair.compress(ids, least)
+        assert repair.expand(symbols, rules).tolist() == ids.tolist() and lengths.max() > 8
+        pairs, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+        # a run of one symbol holds half as many uses as pairs
+        often = (counts >= least) & (pairs[0] != pairs[1])
+        assert not often.any()
+        assert 3 * len(symbols) + 16 * len(rules) < 0.6 * 4 * len(ids)
+
+
 def check_packing(docs, rows):
     pieces, windows = {}, {}
     for r in rows:
