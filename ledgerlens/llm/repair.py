@@ -35,14 +35,15 @@ def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The keys found ``least`` times, ascending, and each key's place among them or -1."""
     mixed = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
     at = np.flatnonzero(np.bincount(mixed, minlength=1 << 20)[mixed] >= least)  # a superset; counted exactly below
-    order = np.argsort(keys[at])
-    ordered = keys[at][order]
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(at) else at
-    counts = np.diff(np.append(first, len(at)))
-    kept = counts >= least
+    coded = pa.array(keys[at]).dictionary_encode()
+    names, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    often = np.flatnonzero(np.bincount(index, minlength=len(names)) >= least)
+    often = often[np.argsort(names[often])]
+    number = np.full(len(names), -1, np.int64)
+    number[often] = np.arange(len(often))
     place = np.full(len(keys), -1, np.int64)
-    place[at[order]] = np.repeat(np.where(kept, np.cumsum(kept) - 1, -1), counts)
-    return ordered[first[kept]], place
+    place[at] = number[index]
+    return names[often], place
 
 
 def compress(ids: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,8 +81,9 @@ def compress(ids: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.
         taken = chosen[take]
         if not len(taken):
             break
-        used, index = np.unique(rule[take], return_inverse=True)
-        seq[taken] = made + index
+        uses = np.bincount(rule[take], minlength=len(pairs)) > 0
+        used = np.flatnonzero(uses)
+        seq[taken] = made + (np.cumsum(uses) - 1)[rule[take]]
         rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         stay = np.ones(len(seq), bool)
         stay[taken + 1] = False

@@ -113,7 +113,11 @@ class UnitEncoder:
             if "İ" in unit:
                 return None
             unit = found[2].lower()
-        return [t.id for t in self._tokenize(unit.encode().decode("latin-1").translate(_ALPHABET))]
+        if unit.isascii():  # letters stand for themselves
+            unit = "Ġ" + unit[1:] if unit[0] == " " else unit
+        else:
+            unit = unit.encode().decode("latin-1").translate(_ALPHABET)
+        return [t.id for t in self._tokenize(unit)]
 
     def _learn(self, units: list[str], many: int = 4000) -> None:
         self._tokenize = self.tokenizer.model.tokenize
