@@ -126,13 +126,13 @@ def _centres(classes: DataFrame, size: int) -> DataFrame:
         return pd.DataFrame({"label": rows["label"].iloc[0], "dim": rows["dim"].iloc[0], "cell": range(len(at)), "centre": list(x[at])})
 
     return some.select("label", "dim", "n", "rep", "embedding").groupBy("label", "dim").applyInPandas(
-        choose, "label int, dim int, cell int, centre array<double>")
+        choose, "label string, dim int, cell int, centre array<double>")
 
 
 def _placed(classes: DataFrame, centres: DataFrame, salts: int) -> DataFrame:
     """``(label, dim, rep, many, unit, cell, gap)``: each class under its nearest centre.
     A label is dealt over ``salts`` tasks, each with the label's centres."""
-    schema = "label int, dim int, rep long, many long, unit array<double>, cell int, gap double"
+    schema = "label string, dim int, rep long, many long, unit array<double>, cell int, gap double"
 
     def put(rows: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
         cells, out = cells.sort_values("cell"), []
@@ -151,7 +151,7 @@ def _placed(classes: DataFrame, centres: DataFrame, salts: int) -> DataFrame:
 
 
 _LEVELS = "array<struct<centres: binary, parents: binary, radii: binary>>"
-_BLOCKS = f"label int, dim int, cell int, block int, reps binary, many binary, x binary, levels {_LEVELS}"
+_BLOCKS = f"label string, dim int, cell int, block int, reps binary, many binary, x binary, levels {_LEVELS}"
 
 
 def _blocks(placed: DataFrame, cells: DataFrame) -> DataFrame:
@@ -234,27 +234,29 @@ def _links(blocks: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """Per row: ``vec_id, n_links, component_id, kept``.
 
-    Vectors are compared within equal non-null labels (and lengths), as doubles. Null,
+    Vectors are compared within equal non-null labels of any type (and lengths), as doubles. Null,
     empty and zero vectors, those with a null or non-finite part and rows with a null id
     or label have no links; a null id has a null component and is kept. Rows that share an
     id link like others, and ``component_id`` is the smallest id reached. Other columns
     are not read."""
-    rows = vectors.select("vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     valid = stored(rows.withColumn("ok", F.coalesce(F.expr(_valid()), F.lit(False))), "vectors")
     # equal vectors are one class; -0.0 is 0.0
     key = F.transform("embedding", lambda x: x + F.lit(0.0))
     good = valid.where("ok").select("vec_id", "label", key.alias("embedding"))
-    classes = stored(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many"))
-                     .withColumn("dim", F.size("embedding")), "classes")
+    classes = stored(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("many"))
+                     .withColumns({"dim": F.size("embedding"), "rep": F.monotonically_increasing_id()}), "classes")
     centres = stored(_centres(classes, sample), "centres")
     salts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
     placed = stored(_placed(classes, centres, salts), "placed")
     cells = stored(centres.join(placed.groupBy("label", "dim", "cell").agg(
         F.max("gap").alias("radius"), F.count("*").alias("n")), ["label", "dim", "cell"]), "cells")
     links = stored(_links(stored(_blocks(placed, cells), "blocks"), cells, threshold), "links")
-    joined = components(classes.select(F.col("rep").alias("id")), links.selectExpr("rep AS a", "root AS b"))
+    joined = components(classes.select(F.col("rep").alias("id")), links.selectExpr("rep AS a", "root AS b")).withColumnRenamed("id", "rep")
+    smallest = joined.join(classes.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("smallest"))
+    joined = joined.join(smallest, "component").select("rep", F.col("smallest").alias("component"))
     degree = links.groupBy("rep").agg(F.sum("links").alias("others"))
-    known = classes.join(joined.withColumnRenamed("id", "rep"), "rep").join(degree, "rep", "left").select(
+    known = classes.join(joined, "rep").join(degree, "rep", "left").select(
         "label", "embedding", "component", (F.coalesce("others", F.lit(0)) + F.col("many") - 1).alias("n_links"))
     answered = good.join(known, ["label", "embedding"]).select("vec_id", "n_links", F.col("component").alias("component_id"))
     alone = valid.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -21,8 +21,8 @@ from ledgerlens.llm.shared import text_slices
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object)\b(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*>|<[/a-zA-Z][^>]*\Z", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -289,11 +289,14 @@ class Tree:
     def text(self) -> str:
         out: list[str] = []
         for top in self.kept():
-            lists = [(n, self.last[n]) for n in range(top + 1, self.last[top] + 1)
-                     if self.tag[n] in ("ul", "ol", "table", "div", "section") and self.link_share(n) > LINK_LIST]
+            listed, until = set(), top  # elements inside link lists, each counted once
+            for n in range(top + 1, self.last[top] + 1):
+                if self.last[n] > until and self.tag[n] in ("ul", "ol", "table", "div", "section") and self.link_share(n) > LINK_LIST:
+                    listed.update(range(max(n, until + 1), self.last[n] + 1))
+                    until = self.last[n]
             block, was = [], None
             for node, piece, _ in self.chunks[self.first_chunk[top]:self.end_chunk[top]]:
-                if any(a <= node <= b for a, b in lists):
+                if node in listed:
                     continue
                 while self.tag[node] in INLINE:
                     node = self.parent[node]

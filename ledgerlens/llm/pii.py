@@ -102,10 +102,13 @@ def mentions(found: DataFrame) -> DataFrame:
     """Adds ``pattern``, ``found`` (all mentions in order) and ``named`` (the distinct name
     entities) to rows whose ``first`` mentions are known.
 
-    A name that is introduced with a title is found again without it in the same text."""
+    A name that is introduced with a title is found again without it in the same text, also in
+    capitals."""
     some = found.withColumn("named", F.expr(
         f"array_distinct(flatten(transform(filter(first, x -> {_type('x')} = 'person'), x -> {_parts('x')})))"))
     words = F.expr(f"array_distinct(flatten(transform(filter(first, x -> {_type('x')} = 'person'), x -> {_words('x')})))")
+    # as written, in capitals, and with a capital
+    words = F.array_distinct(F.flatten(F.transform(words, lambda w: F.array(w, F.upper(w), F.initcap(w)))))
     pattern = F.when(F.size("named") == 0, F.lit(ALL)).otherwise(F.concat(
         F.lit(ALL + r"|(?<!\p{L})(?:"), F.array_join(words, "|"), F.lit(r")(?!\p{L})")))
     return some.withColumn("pattern", pattern).withColumn("found", F.expr(
@@ -141,7 +144,7 @@ def _drawn(key: str) -> dict[str, Column]:
     rest = drawn("substring(canonical, 5)")
     check = (f"cast(98 - aggregate(split(concat({rest}, left(canonical, 2), '00'), ''), 0, (a, c) -> "
              "if(rlike(c, '[0-9]'), (a * 10 + cast(c as int)) % 97, (a * 100 + ascii(c) - 55) % 97)) as string)")
-    country = "regexp_extract(canonical, '^([+](?:1|7|2[07]|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})(?=[0-9]{6})|)', 1)"
+    country = "regexp_extract(canonical, '^([+](?:1|7|2[07]|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})(?=[0-9]{6})|[+]|)', 1)"
     return {
         "h": stream,
         "syllables": F.expr(f"CASE {script} {lists} END"),

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.shared import scratch, text_slices
+from ledgerlens.llm.shared import gather, scratch, text_slices
 from ledgerlens.llm.units import file_encoder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,12 +71,14 @@ def compress(ids: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.
         place[chosen + 1] = rank[rule]
         mine, left, right = place[chosen + 1], place[chosen], place[chosen + 2]
         same = left == mine
-        fresh = ~same | np.append(True, np.diff(chosen) > 1)
-        run = chosen[np.maximum.accumulate(np.where(fresh, np.arange(len(chosen)), 0))]
-        take = ((mine < left) | same) & (mine <= right) & ((chosen - run) % 2 == 0)
-        # beside a run of equal pairs an overlap can be left: the left one stays
-        some = np.flatnonzero(take)
-        take[some[1:][np.diff(chosen[some]) == 1]] = False
+        take = (mine < left) & (mine <= right)
+        if same.any():
+            fresh = ~same | np.append(True, np.diff(chosen) > 1)
+            run = chosen[np.maximum.accumulate(np.where(fresh, np.arange(len(chosen)), 0))]
+            take = (take | same & (mine <= right)) & ((chosen - run) % 2 == 0)
+            # beside a run of equal pairs an overlap can be left: the left one stays
+            some = np.flatnonzero(take)
+            take[some[1:][np.diff(chosen[some]) == 1]] = False
         take &= np.bincount(rule[take], minlength=len(pairs))[rule] >= min(LEAST_USES, least)
         taken = chosen[take]
         if not len(taken):
@@ -103,15 +105,23 @@ def compress(ids: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    """The ids that ``symbols`` stand for."""
-    while len(symbols) and (deep := symbols >= FIRST_RULE).any():
+    """The ids that ``symbols`` stand for: the rules are expanded once, then copied."""
+    if not len(symbols):
+        return symbols
+    asked = np.unique(symbols[symbols >= FIRST_RULE])
+    flat, owner = asked.astype(np.uint32), np.arange(len(asked))
+    while len(flat) and (deep := flat >= FIRST_RULE).any():
         sizes = 1 + deep.astype(np.int64)
-        out = np.repeat(symbols, sizes)
         heads = (np.cumsum(sizes) - sizes)[deep]
-        pair = rules[symbols[deep] - FIRST_RULE]
-        out[heads], out[heads + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+        pair = rules[flat[deep] - FIRST_RULE]
+        flat, owner = np.repeat(flat, sizes), np.repeat(owner, sizes)
+        flat[heads], flat[heads + 1] = pair[:, 0], pair[:, 1]
+    size = np.bincount(owner, minlength=len(asked))
+    # the terminals first, one each, then the expansions
+    plain = np.arange(FIRST_RULE, dtype=np.uint32)
+    begin, length = np.append(np.arange(FIRST_RULE), FIRST_RULE + np.cumsum(size) - size), np.append(np.ones(FIRST_RULE, np.int64), size)
+    at = np.where(symbols < FIRST_RULE, symbols, FIRST_RULE + np.searchsorted(asked, symbols))
+    return gather(np.append(plain, flat), begin[at], length[at])
 
 
 def expand_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, start: int, stop: int) -> np.ndarray:

@@ -239,3 +239,13 @@ def test_personal_data_of_the_test_documents(spark):
             for a, b in zip(old, new):
                 pairs[a].add(b)
     assert seen > 50 and all(len(v) == 1 for v in pairs.values()) and len({min(v) for v in pairs.values()}) == len(pairs)
+
+
+def test_names_in_capitals_and_short_numbers(spark):
+    from ledgerlens.llm import pii
+    docs = spark.createDataFrame([(1, "Mr John Smith met Anna Smith. John and SMITH, Ms Smith."),
+                                  *[(10 + i, f"Call +{7000 + i} now") for i in range(400)]], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.with_surrogates(docs).collect()}
+    assert "smith" not in out[1].lower() and "john" not in out[1].lower()
+    shown = [out[10 + i] for i in range(400)]
+    assert len({*shown}) == 400 and all(len(x) == len("Call +7000 now") for x in shown)

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import embeddings, jaccard
 from ledgerlens.llm.queries import ORACLE
@@ -170,3 +171,12 @@ def test_vectors_that_cannot_be_compared(spark):
     linked = {1: (3, 1, True), 2: (3, 1, False), 11: (3, 1, False), 12: (3, 1, False)}
     assert got == {i: linked.get(i, (0, i, True)) for i, _, _ in rows}
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_vectors_that_share_an_id_and_labels_of_any_type(spark, kind):
+    big = 1 << 40
+    rows = [(1, [1.0, 0.0], big), (1, [0.0, 1.0], big), (2, [1.0, 0.01], big), (3, [0.0, 1.0], big + 1), (4, [0.0, 2.0], big + 1), (5, [0.0, 1.0], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").withColumn("label", F.col("label").cast(kind))
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(df).collect())
+    assert got == [(1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True)]

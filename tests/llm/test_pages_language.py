@@ -158,3 +158,25 @@ def test_the_stage_drops_what_no_learned_language_claims(spark, left):
     assert sum(d in kept for d in clean) >= 0.99 * len(clean)
     assert sum(d in kept for d in foreign) <= 0.02 * len(foreign)
     assert not any(d >= 10**9 for d in kept)
+
+
+def test_quotes_count_only_behind_an_equals_sign():
+    from ledgerlens.llm.main_text import main_text
+    body = "".join(f"<p>Paragraph {i} of the article, long enough, with commas, to count.</p>" for i in range(6))
+    for tag in ("<a href=/o'neil>", "<p class=don't>", "<p title='it\"s'>", '<p title = "a>b">', "<b it's>"):
+        page = f"<html><body><article><h1>Title</h1>{tag}x</a></p></b>{body}</article><footer>it's over</footer></body></html>"
+        assert all(f"Paragraph {i} of" in main_text(page) for i in range(6)), tag
+        assert "over" not in main_text(page)
+
+
+def test_many_link_lists_cost_no_more_than_their_page():
+    import time
+
+    from ledgerlens.llm.main_text import main_text
+    block = "<p>A paragraph of the article, long enough, with commas, to count.</p><ul><li><a href=x>link</a></li></ul>"
+    took = []
+    for n in (500, 4000):
+        t = time.time()
+        assert main_text(f"<html><body><article>{block * n}</article></body></html>").count("A paragraph") == n
+        took.append(time.time() - t)
+    assert took[1] < 24 * took[0]
