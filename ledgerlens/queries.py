@@ -623,6 +623,7 @@ def _(spark, sf):
         .write.text(f"{folder}/CBS_customer.csv")
     counts = landing_counts(spark, folder, ["CBS_customer"], header=False)
     records = read_extract(spark, f"{folder}/CBS_customer.csv", EXTRACT_COLUMNS["CBS_customer"], header=False)
-    broken = records.agg(F.lit("CBS_customer").alias("extract"), F.count_if(F.col("customer_name").contains("\n")).alias(
-        "names_with_line_break"), F.countDistinct("cbs_customer_id").alias("customers"))
-    return counts.join(broken, "extract")
+    names = records.agg(F.count_if(F.col("customer_name").contains("\n")).alias("names_with_line_break"),
+                        F.countDistinct("cbs_customer_id").alias("customers")).withColumn("extract", F.lit("CBS_customer"))
+    both = counts.unionByName(names, allowMissingColumns=True)
+    return both.groupBy("extract").agg(*[F.sum(c).alias(c) for c in both.columns if c != "extract"])
