@@ -533,12 +533,8 @@ class Warehouse:
         return next(iter(got.values()))
 
     def tables(self, namespace: str) -> list[str]:
-        """Table folders under ``<root>/<namespace>`` (SRC-3 over a built warehouse)."""
-        fs, p = self._hadoop(f"{self.root}/{namespace}")
-        if not fs.exists(p):
-            return []
-        return sorted(st.getPath().getName() for st in fs.listStatus(p)
-                      if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
+        """Published tables of a namespace (SRC-3 over a built warehouse)."""
+        return sorted(t.split(".", 1)[1] for t in self._tables() if t.startswith(f"{namespace}."))
 
     def catalog(self) -> DataFrame:
         """Catalog DataFrame of the canonical and reporting layers, from the

@@ -162,6 +162,7 @@ def test_the_runner_stops_at_a_block_rule(spark, tmpdir_path):
     with pytest.raises(Blocked, match="canon.position"):
         run_pipeline(spark, x, AS_OF, wh, run_id="r1", rules=[rule])
     assert not wh.exists("canon.position") and not wh.exists("rpt.finrep_asset_detail")
+    assert wh.tables("canon") == [] and wh.catalog().count() == 0
     assert wh.read("meta.dq_result").where("failed_rows > 0").count() == 1
     held = X.QualityRule("DQ", "arrangement", "validity", "ERROR", "quarantine", "original_notional is not null")
     run_pipeline(spark, x, AS_OF, wh, run_id="r2", code_version="abc", rules=[held])
