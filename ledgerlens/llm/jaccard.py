@@ -247,7 +247,9 @@ class _Verifier:
         if sets is None:
             return pairs
         side = lambda of, name: sets.select(F.col("doc").alias(of), F.col("grams").alias(name))
-        whole = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+        # many pairs share their smaller document: only these sets are sent to meet the others
+        asked = stored(pairs.select("b").distinct(), "asked")
+        whole = pairs.join(side("a", "x"), "a").join(side("b", "y").join(asked, "b", "left_semi"), "b").select("a", "b", "x", "y")
         return stored(whole.mapInArrow(task, "a long, b long").distinct(), "links")
 
 
