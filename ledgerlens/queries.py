@@ -383,6 +383,17 @@ def _(spark, sf):
                        .withColumn("known_at", F.lit(known).cast("date")) for known in KNOWN_TIMES])
 
 
+@query("ext_as_of_join")
+def _(spark, sf):
+    """Each position with the newest event of its arrangement by the position's own date, as
+    booked by a day of its own: 30 days earlier for positions without a fair value."""
+    c = pipeline(spark, sf).canon
+    known = F.when(F.col("fair_value").isNull(), F.date_sub("as_of_date", 30)).otherwise(F.col("as_of_date"))
+    facts = c["position"].select("arrangement_key", "as_of_date", known.alias("known_date"))
+    return ext.as_of_join(facts, c["trade_event"], ["arrangement_key"], "as_of_date", "known_date",
+                          "economic_event_date", "accounting_date", ["event_type", "economic_event_date", "notional_delta"])
+
+
 @query("ext_restatement_summary")
 def _(spark, sf):
     pos = pipeline(spark, sf).canon["position"]
