@@ -440,6 +440,24 @@ class Warehouse:
                 self._publish(table, schema, found["partition_col"], segments, base, found["bucketed"])
         self._retried(write)
 
+    def fold(self, table: str, keys: tuple[str, ...], by: str, below: int, most: int = 64) -> None:
+        """Where a table split by the number ``by`` has more than ``most`` folders under
+        ``below``, make them one: of each key the row with the greatest number, filed under
+        the greatest of them. Folders from ``below`` on are not touched."""
+        def write(base: dict) -> None:
+            found = self._state(table)
+            number = {s[1]: int(s[1].split("=", 1)[1]) for s in found["segments"]}
+            old = [s for s in found["segments"] if number[s[1]] < below]
+            if len(old) <= most:
+                return
+            schema = T.StructType.fromJson(found["schema"])
+            df = dedupe_on_keys(self._read(table, schema, old), list(keys), [by]).withColumn(
+                by, F.lit(max(number[s[1]] for s in old)).cast(schema[by].dataType))
+            kept = [s for s in found["segments"] if number[s[1]] >= below]
+            self._publish(table, schema, by, self._write(table, df, by)[0] + kept, base)
+        if self.exists(table):
+            self._retried(write)
+
     def forget(self, table: str, states: int = 2) -> None:
         """Delete the versions that only states before the last ``states`` use. Runs before
         can then no longer be read for this table."""

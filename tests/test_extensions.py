@@ -1,6 +1,5 @@
 """Extensions that run on metadata or need a controlled fixture, plus the stream."""
 
-import os
 
 import pytest
 from decimal import Decimal as Dec
@@ -9,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import extensions as X
 from ledgerlens.operators import lineage as L
-from ledgerlens.plans.warehouse import Warehouse
 from tests.conftest import rows
 
 
@@ -164,22 +162,6 @@ def test_validators(spark):
     assert got[0] == (True, True) and got[1] == (False, False) and got[2][0] is False
 
 
-def test_notional_stream_equals_batch(spark, small_pipeline, tmpdir_path):
-    from ledgerlens.streaming.notional import EVENT_SCHEMA, start_notional_stream
-    ev = small_pipeline.canon["trade_event"].select(*EVENT_SCHEMA.names)
-    src = os.path.join(tmpdir_path, "events")
-    # two deliveries; the second repeats part of the first (a redelivery)
-    ev.where("event_type = 'INCEPTION'").write.parquet(os.path.join(src, "b1"))
-    ev.write.mode("overwrite").parquet(os.path.join(src, "b2"))
-    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"))
-    q = start_notional_stream(spark, src + "/*", wh, os.path.join(tmpdir_path, "ckpt"),
-                              max_files_per_trigger=1)
-    q.awaitTermination(300)
-    got = rows(wh.read("rpt.current_notional"), "arrangement_key", "notional_outstanding", "events")
-    want = rows(X.notional_as_of(ev, "9999-12-31"), "arrangement_key", "notional_outstanding", "events")
-    assert got == want
-
-
 def test_reconciliation_walk(spark):
     schema = ("arrangement_key string, in_finance_lens boolean, in_risk_lens boolean, "
               "finance_asset_amount decimal(20,2), finance_liability_amount decimal(20,2), "
