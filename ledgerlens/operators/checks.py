@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.digests import compare_runs
 from ledgerlens.operators.extensions import run_diff
 from ledgerlens.operators.finance import (SECTOR_ACCOUNTING, SECTOR_PRUDENTIAL,
                                           inception_dates)
+from ledgerlens.operators.lineage import trace, unmapped_columns
 from ledgerlens.operators.reconcile import RISK_RESIDUAL, FINANCE_RESIDUAL
 from ledgerlens.plans.warehouse import Warehouse
 from ledgerlens.schemas import ENTITY_REGISTRY
@@ -206,3 +207,29 @@ def check_rerun_runs(warehouse: Warehouse, first: str, second: str, tables: dict
     return warehouse.spark.createDataFrame(
         [(f"CHK-3 {t}", "a rerun leaves the rows unchanged", n) for t, n in counts.items()],
         "check_id string, description string, violations long")
+
+
+def check_lineage(spark: SparkSession, catalog: DataFrame, lineage: DataFrame, load_log: DataFrame,
+                  figure: tuple[str, str] = ("finrep_assets_by_sector", "carrying_amount"),
+                  derived: tuple[str, str, tuple[str, ...]] = (
+                      "finrep_asset_detail", "asset_carrying_amount", ("fair_value", "carrying_amount"))) -> DataFrame:
+    """CHK-18 over lineage, catalog and load log: every reporting column has lineage, the
+    reported ``figure`` is traced over three steps at least to a source system, a ``derived``
+    column names all its sources, no report reads a source system, every load is dated."""
+    traced = trace(spark, lineage, *figure)
+    table, column, wanted = derived
+    named = lineage.where((F.col("target_table") == table) & (F.col("target_column") == column))
+    totals = _together(
+        unmapped_columns(catalog, lineage, layer="REPORTING").agg(F.count(F.lit(1)).alias("unmapped")),
+        traced.agg(F.max("hop").alias("depth"), F.count_if(F.col("source_layer") == "SOURCE").alias("landed")),
+        named.agg(F.count_distinct(F.when(F.col("source_column").isin(*wanted), F.col("source_column"))).alias("sources")),
+        lineage.agg(F.count_if((F.col("target_layer") == "REPORTING") & (F.col("source_layer") == "SOURCE")).alias("bypasses")),
+        load_log.agg(F.count(F.lit(1)).alias("loads"), F.count_if(F.col("as_of_date").isNull()).alias("undated")))
+    return _rows(totals,
+                 ("CHK-18 coverage", "every reporting column has lineage", "unmapped"),
+                 ("CHK-18 depth", "the reported figure is traced over three steps or more", "if(coalesce(depth, 0) < 3, 1, 0)"),
+                 ("CHK-18 landing", "the reported figure is traced to a source system", "if(landed = 0, 1, 0)"),
+                 ("CHK-18 provenance", "a derived column names every source", f"{len(wanted)} - sources"),
+                 ("CHK-18 bypass", "no report reads a source system", "bypasses"),
+                 ("CHK-18 dated", "every load is logged with its date", "undated"),
+                 ("CHK-18 logged", "some load is logged", "if(loads = 0, 1, 0)"))

@@ -140,13 +140,17 @@ def apply_mapping(spark: SparkSession, mapping: Mapping, source: DataFrame) -> M
     return MappingResult(mapping, mapping.build(source), lineage_frame(spark, [mapping]))
 
 
+#: What a key that stands for a null begins with while rows are dealt.
+PLACEHOLDER = "~"
+
+
 def spread_nulls(df: DataFrame, key: str, by: str) -> DataFrame:
     """``df`` with a null ``key`` replaced by a value that no surrogate key has, different
     for each ``by``: a left join on it finds nothing for these rows either, and they are
     dealt over all tasks instead of meeting in one."""
-    return df.withColumn(key, F.coalesce(F.col(key), F.concat(F.lit("~"), F.col(by))))
+    return df.withColumn(key, F.coalesce(F.col(key), F.concat(F.lit(PLACEHOLDER), F.col(by))))
 
 
 def unspread(key: str):
     """The key as it was before :func:`spread_nulls`."""
-    return F.when(~F.col(key).startswith("~"), F.col(key))
+    return F.when(~F.col(key).startswith(PLACEHOLDER), F.col(key))

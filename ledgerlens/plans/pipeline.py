@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import canonical, finance, identity, reconcile, risk
 from ledgerlens.operators.canonical import Load
 from ledgerlens.operators.extensions import QualityRule
+from ledgerlens.operators.provenance import Sources
 from ledgerlens.plans.mapping import Mapping, MappingResult, lineage_frame
 from ledgerlens.plans.publication import audit_run, publish_audited
 from ledgerlens.plans.warehouse import Warehouse
 from ledgerlens.schemas import ENTITY_SCHEMAS, PRIMARY_KEYS, conform
+from ledgerlens.sources.extracts import EXTRACT_COLUMNS
 
 
 @dataclass
@@ -96,6 +98,27 @@ def build_pipeline(spark: SparkSession, extracts: dict[str, DataFrame], as_of: s
     return p
 
 
+def mappings_on_schemas(spark: SparkSession, as_of: str) -> tuple[list[MappingResult], Sources]:
+    """Every load and report over empty views of its sources, each apart from the rest, and
+    the views: what :func:`~ledgerlens.operators.provenance.source_findings` compares."""
+    sources = Sources(spark)
+    text = lambda columns: ", ".join(f"{c} string" for c in columns)
+    extracts = {n.lower(): sources.add(n, text(c)) for n, c in EXTRACT_COLUMNS.items()}
+    xref = sources.add("stg.party_xref", identity.resolve_party_identity(
+        extracts["ref_party"], extracts["cbs_customer"], extracts["trd_counterparty"]).schema)
+    results = [p for ld in canonical.load_all(spark, extracts, xref, as_of).values() for p in ld.parts]
+    canon = {n: sources.add(f"canon.{n}", schema) for n, schema in ENTITY_SCHEMAS.items()}
+    on = lambda r: sources.add(r.mapping.target, r.data.schema)
+    fin, trades = finance.asset_detail(spark, canon, as_of), risk.trade_exposure(spark, canon, as_of)
+    fin_rows, trade_rows = on(fin), on(trades)
+    sets = risk.netting_set_exposure(spark, trade_rows)
+    rec = reconcile.population_detail(fin_rows, trade_rows, canon["arrangement"], canon["trade_event"], as_of)
+    return results + [fin, trades, sets, finance.assets_by_sector(spark, fin_rows),
+                      reconcile.population_reconciliation(spark, rec, as_of),
+                      reconcile.netting_reconciliation(spark, on(sets), as_of),
+                      reconcile.sector_disagreement(spark, canon, as_of)], sources
+
+
 def load_run(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str, run: Warehouse, parallelism: int = 8,
              lap: Callable[[str], None] = lambda name: None) -> tuple[dict[str, Load], dict[str, int]]:
     """Write the cross-reference and the canonical layer into ``run``; the loads and the
