@@ -491,19 +491,13 @@ def _peeled(edges: DataFrame) -> DataFrame:
     return now
 
 
-def hierarchy_cycles(hierarchy: DataFrame) -> DataFrame:
-    """Edges on a cycle, per (hierarchy_type, as_of_date), exact for any number of parents.
+def _knotted(edges: DataFrame) -> DataFrame | None:
+    """Edges within a strongly connected component; None where there are none.
 
-    An edge lies on a cycle if its parent reaches its child again: both are in one
-    strongly connected component. What hangs off is peeled away; in the core every party
-    takes the greatest name that reaches it, and the parties that reach that name within
-    its share are its component. They are set aside and the rest is peeled again. All
-    steps are joins and aggregates over the edges, written to the checkpoint folder; a
-    hierarchy without cycles ends with the first peeling.
+    What hangs off is peeled away; in the core every party takes the greatest name that
+    reaches it, and the parties that reach that name within its share are its component.
+    They are set aside and the rest is peeled again.
     """
-    ensure_checkpoint_dir(hierarchy.sparkSession)
-    edges = (hierarchy.select(*_SCOPE, F.col("child_party_key").alias("child"), F.col("parent_party_key").alias("parent"))
-             .where("child is not null and parent is not null").distinct())
     core, found = _peeled(edges), []
     while not core.isEmpty():
         # the greatest name that reaches a party, child to parent
@@ -527,8 +521,61 @@ def hierarchy_cycles(hierarchy: DataFrame) -> DataFrame:
         found.append(on.select(*_SCOPE, "child", "parent"))
         core = _peeled(core.join(members.select(*_SCOPE, F.col("node").alias("child")), _SCOPE + ["child"], "left_anti")
                            .join(members.select(*_SCOPE, F.col("node").alias("parent")), _SCOPE + ["parent"], "left_anti"))
-    out = _union(found) if found else core
-    return out.select(*_SCOPE, F.col("child").alias("child_party_key"), F.col("parent").alias("parent_party_key"))
+    return _union(found) if found else None
+
+
+def _single_steps(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Pointer jumping over the parties with one parent: tables ``(scope, node, to, ended)``
+    whose k-th row of a party leads 2^k steps up, or to the first party with no or several
+    parents; and the parties among them that lie on a cycle.
+
+    Once a round ends no further party, none of the rest leads to such an end: each leads to
+    a cycle, and what as many steps as there are of them reach are the cycles' parties.
+    """
+    one = edges.groupBy(*_SCOPE, "child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("to")).where("n = 1").select(
+        *_SCOPE, F.col("child").alias("node"), "to")
+    known = one.select(*_SCOPE, F.col("node").alias("to"), F.lit(True).alias("goes_on"))
+    steps = [one.join(known, [*_SCOPE, "to"], "left").select(*_SCOPE, "node", "to", F.col("goes_on").isNull().alias("ended")).checkpoint()]
+    open_before, still, n = -1, steps[0].where("not ended"), 1
+    while (left := still.count()) and (left != open_before or n < left):
+        up = steps[-1].select(*_SCOPE, F.col("node").alias("to"), F.col("to").alias("next"), F.col("ended").alias("next_ended"))
+        jumped = still.join(up, [*_SCOPE, "to"]).select(*_SCOPE, "node", F.col("next").alias("to"), F.col("next_ended").alias("ended"))
+        steps.append(steps[-1].where("ended").unionByName(jumped).checkpoint())
+        open_before, still, n = left, steps[-1].where("not ended"), 2 * n
+    return steps, still.select(*_SCOPE, F.col("to").alias("node")).distinct()
+
+
+def hierarchy_cycles(hierarchy: DataFrame) -> DataFrame:
+    """Edges on a cycle, per (hierarchy_type, as_of_date), exact for any number of parents.
+
+    Chains of parties with one parent are jumped over by doubling steps, so that the rounds
+    grow with the logarithm of the depth; cycles made of such parties alone come out there.
+    What is left is a graph of the parties with several parents, an edge for each chain
+    between two of them, in which :func:`_knotted` finds the cycles; a chain on one of these
+    is marked by the same doubling steps. All steps are joins and aggregates over the
+    edges, written to the checkpoint folder.
+    """
+    ensure_checkpoint_dir(hierarchy.sparkSession)
+    edges = (hierarchy.select(*_SCOPE, F.col("child_party_key").alias("child"), F.col("parent_party_key").alias("parent"))
+             .where("child is not null and parent is not null").distinct()).checkpoint()
+    steps, marked = _single_steps(edges)
+    single = steps[0].select(*_SCOPE, F.col("node").alias("child"))
+    several = edges.join(single, [*_SCOPE, "child"], "left_anti")
+    ends = steps[-1].where("ended").select(*_SCOPE, F.col("node").alias("parent"), F.col("to").alias("end"))
+    hops = several.join(ends, [*_SCOPE, "parent"], "left").select(
+        *_SCOPE, "child", F.coalesce("end", "parent").alias("parent"), F.col("parent").alias("by")).checkpoint()
+    knots = _knotted(hops.select(*_SCOPE, "child", "parent").distinct())
+    if knots is not None:
+        on = hops.join(knots, [*_SCOPE, "child", "parent"], "left_semi").select(*_SCOPE, "child", F.col("by").alias("parent"))
+        chain = on.select(*_SCOPE, F.col("parent").alias("node")).distinct()
+        for step in steps:  # the first parties of chains, then twice as far each round
+            chain = chain.unionByName(step.join(chain, [*_SCOPE, "node"], "left_semi").select(
+                *_SCOPE, F.col("to").alias("node"))).distinct().checkpoint()
+        marked = marked.unionByName(chain).distinct()
+    cyclic = steps[0].join(marked, [*_SCOPE, "node"], "left_semi").select(*_SCOPE, F.col("node").alias("child"), F.col("to").alias("parent"))
+    if knots is not None:
+        cyclic = cyclic.unionByName(on)
+    return cyclic.select(*_SCOPE, F.col("child").alias("child_party_key"), F.col("parent").alias("parent_party_key"))
 
 
 # --------------------------------------------------------------------- EXT-12
