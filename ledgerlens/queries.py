@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import surrogate_key
-from ledgerlens.operators import analysis, canonical, finance, identity, reconcile, risk
+from ledgerlens.operators import analysis, canonical, drift, finance, identity, reconcile, risk
 from ledgerlens.plans.pipeline import Pipeline, build_pipeline, load_log_frame, load_run
 from ledgerlens.plans.publication import audit_run, publish_audited, published_rows
 from ledgerlens.plans.warehouse import Warehouse, keyed_upsert
@@ -503,6 +503,16 @@ def _(spark, sf):
     return ext.hierarchy_cycles(pipeline(spark, sf).canon["party_hierarchy"])
 
 
+@query("ext_content_change")
+def _(spark, sf):
+    """Arrangements of each year of inception against those of the year before."""
+    columns = ["product_family", "product_type", "currency", "status", "original_notional", "netting_set_key"]
+    new = drift.content_sketch(pipeline(spark, sf).canon["arrangement"].withColumn("year", F.year("inception_date")),
+                               columns, ("year",))
+    old = new.withColumn("year", F.col("year") + 1)
+    return drift.classify_content_change(old, new, ("year",))
+
+
 @query("ext_lei_validation")
 def _(spark, sf):
     party = pipeline(spark, sf).canon["party"].where(F.col("lei").isNotNull())
