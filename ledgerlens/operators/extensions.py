@@ -567,10 +567,14 @@ def hierarchy_cycles(hierarchy: DataFrame) -> DataFrame:
     knots = _knotted(hops.select(*_SCOPE, "child", "parent").distinct())
     if knots is not None:
         on = hops.join(knots, [*_SCOPE, "child", "parent"], "left_semi").select(*_SCOPE, "child", F.col("by").alias("parent"))
-        chain = on.select(*_SCOPE, F.col("parent").alias("node")).distinct()
+        chain = on.select(*_SCOPE, F.col("parent").alias("node")).distinct().checkpoint()
+        length = chain.count()
         for step in steps:  # the first parties of chains, then twice as far each round
-            chain = chain.unionByName(step.join(chain, [*_SCOPE, "node"], "left_semi").select(
+            chain = chain.unionByName(step.where("not ended").join(chain, [*_SCOPE, "node"], "left_semi").select(
                 *_SCOPE, F.col("to").alias("node"))).distinct().checkpoint()
+            was, length = length, chain.count()
+            if length == was:  # no chain goes on so far up
+                break
         marked = marked.unionByName(chain).distinct()
     cyclic = steps[0].join(marked, [*_SCOPE, "node"], "left_semi").select(*_SCOPE, F.col("node").alias("child"), F.col("to").alias("parent"))
     if knots is not None:
