@@ -147,6 +147,23 @@ def test_ratio_tells_junk_from_text(spark):
     assert sum(kept(1)) >= 0.99 * len(kept(1)) and sum(kept(0)) <= 0.2 * len(kept(0))
 
 
+def test_all_trusted_documents_count(spark, monkeypatch):
+    """Labels beyond 20,000 are learned from as the first ones are; the quantile is exact."""
+    labels = spark.range(30_000).selectExpr("id as doc_id", "1 as quality", "if(id % 3 = 0, 1, 0) as toxic")
+    assert quality.trusted_ids(labels.unionByName(labels)).count() == 20_000
+    assert quality.trusted_ids(spark.range(30_000).selectExpr("id as doc_id", "1 as quality", "null as toxic")).count() == 30_000
+    docs = spark.range(20_000).selectExpr("if(id % 7 = 0, null, cast(id % 9000 as int)) as doc_id", "concat('t', id) as text")
+    ids = spark.range(0, 9000, 2).selectExpr("id as doc_id")
+    for bits in (64, 1 << 25):  # a full map lets all pass, and the ids decide
+        monkeypatch.setattr(quality, "ID_BITS", bits)
+        got = sorted(int(r.text[1:]) for r in quality.of_ids(docs, ids).collect())
+        assert got == [i for i in range(20_000) if i % 7 and i % 9000 % 2 == 0]
+    monkeypatch.setattr(quality, "FEW", 50)
+    values = spark.range(20_000).selectExpr("if(id < 9000, -3.5D, sin(id) * exp(id % 90)) as x").cache()
+    order = sorted(r.x for r in values.collect())
+    assert [quality.nth_least(values, n) for n in (0, 19, 20, 8_000, 19_999)] == [order[n] for n in (0, 19, 20, 8_000, 19_999)]
+
+
 PERSONAL = ("Dear Mrs. Anna Smith, write to Anna.Smith@Mail4.example.com or +1 (938) 555-1226. Smith said: MR. JONES called. "
             "Then Mr. Smith and Dr. Maria Jones. Call +1 938 555 1226, ip 10.1.2.3. card 4111 1111 1111 1111, 4111111111111111; "
             "IBAN DE89 3704 0044 0532 0130 00 ssn 123-45-6789 г-н Иван Петров, Петров.")
