@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.shared import stored, text_slices
-from ledgerlens.llm.units import file_encoder
+from ledgerlens.llm.shared import SLICE_BYTES, stored, text_slices
+from ledgerlens.llm.units import MAX_BYTES, file_encoder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -74,17 +74,19 @@ def _rows(window: list[tuple], sequence: int) -> Iterator[tuple]:
 
 
 def pack(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID, size: int = WINDOW,
-         open_windows: int = OPEN_WINDOWS) -> DataFrame:
+         open_windows: int = OPEN_WINDOWS, slice_bytes: int = SLICE_BYTES, unit_bytes: int = MAX_BYTES) -> DataFrame:
     """Per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     A document is its ids and ``end_id``; a null or empty text is ``end_id`` alone. Only
     documents longer than a window are cut, into whole windows and a rest. Rows are
     packed as they come (repeated ids too); other columns are not read. Sequence ids are
-    unique, not gapless. The first pass is written to the shared folder.
+    unique, not gapless. The first pass is written to the shared folder. ``slice_bytes`` of
+    text are encoded at a time and ``unit_bytes`` of units remembered: less memory, more time.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        encoder = file_encoder(path)
+        encoder = file_encoder(path, unit_bytes)
         end = np.array([end_id], "<u4").tobytes()
+        pa.default_memory_pool().release_unused()
         windows, sequence = OpenWindows(size, open_windows), TaskContext.get().partitionId() << 36
         out: list[tuple] = []
 
@@ -92,7 +94,7 @@ def pack(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID, size: int
             return pa.record_batch([pa.array(c, t) for c, t in zip(
                 zip(*rows), [pa.int64()] * 7 + [pa.bool_(), pa.int64()])], _FIRST_NAMES)
 
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=slice_bytes):
             ids, ends = encoder.encode(batch.column(1))
             data, starts = memoryview(ids.astype("<u4").tobytes()), np.append(0, ends[:-1])
             for doc, a, b in zip(batch.column(0).to_pylist(), starts.tolist(), ends.tolist()):

@@ -198,6 +198,6 @@ class UnitEncoder:
 
 
 @lru_cache(maxsize=1)
-def file_encoder(path: str) -> UnitEncoder:
+def file_encoder(path: str, max_bytes: int = MAX_BYTES) -> UnitEncoder:
     """The encoder of a tokenizer file; a Python worker holds one at a time."""
-    return UnitEncoder(Tokenizer.from_file(path))
+    return UnitEncoder(Tokenizer.from_file(path), max_bytes)

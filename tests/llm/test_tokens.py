@@ -202,3 +202,10 @@ def test_empty_tables(spark):
     assert packing.pack(none).count() == 0
     assert byte_bpe.encoding_digests(none).count() == 0
     assert repair.grammar_digests(none).count() == 0
+
+
+def test_packing_in_little_memory_gives_the_same_pieces(spark):
+    """Smaller slices and fewer remembered units change no piece (one task)."""
+    docs = table(spark, SF_SMALL, "documents").coalesce(1)
+    some = lambda **k: sorted(map(tuple, packing.pack(docs, **k).collect()))
+    assert some(slice_bytes=1 << 14, unit_bytes=1 << 14) == some()
