@@ -478,16 +478,29 @@ def unknown_parents(hierarchy: DataFrame, party: DataFrame) -> DataFrame:
 _SCOPE = ["hierarchy_type", "as_of_date"]
 
 
-def _peeled(edges: DataFrame) -> DataFrame:
+#: Hanging edges are peeled off before chains are jumped over while a round takes away such
+#: a share of all: the rounds stay few, and on all their edges add up to twice the first.
+WORTH_A_ROUND = 0.5
+
+
+def _joined(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join whose sides meet in the executors, however small one of them is: dozens of
+    rounds that each send a table through the driver fill its memory."""
+    return a.join(b.hint("merge"), on, how)
+
+
+def _peeled(edges: DataFrame, worth: float = 0.0) -> DataFrame:
     """Edges without those that hang off: whose child is nobody's parent or whose parent
-    is nobody's child, again and again."""
-    n, now = -1, edges.checkpoint()
-    while (count := now.count()) != n:
-        n = count
+    is nobody's child, again and again while a round takes away more than ``worth`` of them."""
+    now = edges.checkpoint()
+    n = now.count()
+    while n:
         parents = now.select(*_SCOPE, F.col("parent").alias("child")).distinct()
         children = now.select(*_SCOPE, F.col("child").alias("parent")).distinct()
-        now = (now.join(parents, _SCOPE + ["child"], "left_semi")
-                  .join(children, _SCOPE + ["parent"], "left_semi")).checkpoint()
+        now = _joined(_joined(now, parents, _SCOPE + ["child"], "left_semi"), children, _SCOPE + ["parent"], "left_semi").checkpoint()
+        was, n = n, now.count()
+        if was - n <= worth * was:
+            break
     return now
 
 
@@ -504,23 +517,23 @@ def _knotted(edges: DataFrame) -> DataFrame | None:
         names = core.select(*_SCOPE, F.explode(F.array("child", "parent")).alias("node")).distinct().withColumn("name", F.col("node"))
         changed = True
         while changed:
-            told = core.join(names.withColumnRenamed("node", "child"), _SCOPE + ["child"]).select(
+            told = _joined(core, names.withColumnRenamed("node", "child"), _SCOPE + ["child"]).select(
                 *_SCOPE, F.col("parent").alias("node"), "name")
             newer = names.withColumn("own", F.lit(1)).unionByName(told.withColumn("own", F.lit(0))).groupBy(*_SCOPE, "node").agg(
                 F.max("name").alias("name"), F.max(F.when(F.col("own") == 1, F.col("name"))).alias("was")).checkpoint()
             changed = not newer.where("name <> was").isEmpty()
             names = newer.drop("was")
         # within a name's share, who reaches the party of that name
-        inside = (core.join(names.select(*_SCOPE, F.col("node").alias("child"), "name"), _SCOPE + ["child"])
-                  .join(names.select(*_SCOPE, F.col("node").alias("parent"), "name"), _SCOPE + ["parent", "name"])).checkpoint()
+        inside = _joined(_joined(core, names.select(*_SCOPE, F.col("node").alias("child"), "name"), _SCOPE + ["child"]),
+                         names.select(*_SCOPE, F.col("node").alias("parent"), "name"), _SCOPE + ["parent", "name"]).checkpoint()
         key = lambda c: F.struct(*_SCOPE, "name", F.col(c).alias("node"))
         members = reached(inside.select(key("parent").alias("a"), key("child").alias("b")),
                           inside.select(key("name").alias("node")).distinct()).select(F.col("node.*"))
-        on = inside.join(members.withColumnRenamed("node", "child"), _SCOPE + ["name", "child"], "left_semi").join(
-            members.withColumnRenamed("node", "parent"), _SCOPE + ["name", "parent"], "left_semi")
+        on = _joined(_joined(inside, members.withColumnRenamed("node", "child"), _SCOPE + ["name", "child"], "left_semi"),
+                     members.withColumnRenamed("node", "parent"), _SCOPE + ["name", "parent"], "left_semi")
         found.append(on.select(*_SCOPE, "child", "parent"))
-        core = _peeled(core.join(members.select(*_SCOPE, F.col("node").alias("child")), _SCOPE + ["child"], "left_anti")
-                           .join(members.select(*_SCOPE, F.col("node").alias("parent")), _SCOPE + ["parent"], "left_anti"))
+        core = _peeled(_joined(_joined(core, members.select(*_SCOPE, F.col("node").alias("child")), _SCOPE + ["child"], "left_anti"),
+                               members.select(*_SCOPE, F.col("node").alias("parent")), _SCOPE + ["parent"], "left_anti"))
     return _union(found) if found else None
 
 
@@ -535,11 +548,11 @@ def _single_steps(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     one = edges.groupBy(*_SCOPE, "child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("to")).where("n = 1").select(
         *_SCOPE, F.col("child").alias("node"), "to")
     known = one.select(*_SCOPE, F.col("node").alias("to"), F.lit(True).alias("goes_on"))
-    steps = [one.join(known, [*_SCOPE, "to"], "left").select(*_SCOPE, "node", "to", F.col("goes_on").isNull().alias("ended")).checkpoint()]
+    steps = [_joined(one, known, [*_SCOPE, "to"], "left").select(*_SCOPE, "node", "to", F.col("goes_on").isNull().alias("ended")).checkpoint()]
     open_before, still, n = -1, steps[0].where("not ended"), 1
     while (left := still.count()) and (left != open_before or n < left):
         up = steps[-1].select(*_SCOPE, F.col("node").alias("to"), F.col("to").alias("next"), F.col("ended").alias("next_ended"))
-        jumped = still.join(up, [*_SCOPE, "to"]).select(*_SCOPE, "node", F.col("next").alias("to"), F.col("next_ended").alias("ended"))
+        jumped = _joined(still, up, [*_SCOPE, "to"]).select(*_SCOPE, "node", F.col("next").alias("to"), F.col("next_ended").alias("ended"))
         steps.append(steps[-1].where("ended").unionByName(jumped).checkpoint())
         open_before, still, n = left, steps[-1].where("not ended"), 2 * n
     return steps, still.select(*_SCOPE, F.col("to").alias("node")).distinct()
@@ -548,7 +561,8 @@ def _single_steps(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
 def hierarchy_cycles(hierarchy: DataFrame) -> DataFrame:
     """Edges on a cycle, per (hierarchy_type, as_of_date), exact for any number of parents.
 
-    Chains of parties with one parent are jumped over by doubling steps, so that the rounds
+    What hangs off is peeled away while that is worth a round, which leaves little of a wide
+    hierarchy. Chains of parties with one parent are then jumped over by doubling steps, so that the rounds
     grow with the logarithm of the depth; cycles made of such parties alone come out there.
     What is left is a graph of the parties with several parents, an edge for each chain
     between two of them, in which :func:`_knotted` finds the cycles; a chain on one of these
@@ -557,26 +571,27 @@ def hierarchy_cycles(hierarchy: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(hierarchy.sparkSession)
     edges = (hierarchy.select(*_SCOPE, F.col("child_party_key").alias("child"), F.col("parent_party_key").alias("parent"))
-             .where("child is not null and parent is not null").distinct()).checkpoint()
+             .where("child is not null and parent is not null").distinct())
+    edges = _peeled(edges, WORTH_A_ROUND)
     steps, marked = _single_steps(edges)
     single = steps[0].select(*_SCOPE, F.col("node").alias("child"))
-    several = edges.join(single, [*_SCOPE, "child"], "left_anti")
+    several = _joined(edges, single, [*_SCOPE, "child"], "left_anti")
     ends = steps[-1].where("ended").select(*_SCOPE, F.col("node").alias("parent"), F.col("to").alias("end"))
-    hops = several.join(ends, [*_SCOPE, "parent"], "left").select(
+    hops = _joined(several, ends, [*_SCOPE, "parent"], "left").select(
         *_SCOPE, "child", F.coalesce("end", "parent").alias("parent"), F.col("parent").alias("by")).checkpoint()
     knots = _knotted(hops.select(*_SCOPE, "child", "parent").distinct())
     if knots is not None:
-        on = hops.join(knots, [*_SCOPE, "child", "parent"], "left_semi").select(*_SCOPE, "child", F.col("by").alias("parent"))
+        on = _joined(hops, knots, [*_SCOPE, "child", "parent"], "left_semi").select(*_SCOPE, "child", F.col("by").alias("parent"))
         chain = on.select(*_SCOPE, F.col("parent").alias("node")).distinct().checkpoint()
         length = chain.count()
         for step in steps:  # the first parties of chains, then twice as far each round
-            chain = chain.unionByName(step.where("not ended").join(chain, [*_SCOPE, "node"], "left_semi").select(
+            chain = chain.unionByName(_joined(step.where("not ended"), chain, [*_SCOPE, "node"], "left_semi").select(
                 *_SCOPE, F.col("to").alias("node"))).distinct().checkpoint()
             was, length = length, chain.count()
             if length == was:  # no chain goes on so far up
                 break
         marked = marked.unionByName(chain).distinct()
-    cyclic = steps[0].join(marked, [*_SCOPE, "node"], "left_semi").select(*_SCOPE, F.col("node").alias("child"), F.col("to").alias("parent"))
+    cyclic = _joined(steps[0], marked, [*_SCOPE, "node"], "left_semi").select(*_SCOPE, F.col("node").alias("child"), F.col("to").alias("parent"))
     if knots is not None:
         cyclic = cyclic.unionByName(on)
     return cyclic.select(*_SCOPE, F.col("child").alias("child_party_key"), F.col("parent").alias("parent_party_key"))

@@ -71,16 +71,17 @@ def reached(edges: DataFrame, start: DataFrame) -> DataFrame:
 
     One frontier at a time, without the nodes already seen, until none is new: it ends
     on cycles, has no depth limit, and never enumerates paths. Each frontier is written
-    to the checkpoint folder, so the plan does not grow with the depth.
+    to the checkpoint folder, so the plan does not grow with the depth, and none is sent
+    through the driver, which would hold one a step.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     seen = frontier = start.select("node").distinct().withColumn("steps", F.lit(0)).checkpoint()
     steps = 0
     while not frontier.isEmpty():
         steps += 1
-        frontier = (edges.join(frontier.select(F.col("node").alias("a")), "a")
+        frontier = (edges.join(frontier.select(F.col("node").alias("a")).hint("merge"), "a")
                     .select(F.col("b").alias("node")).distinct()
-                    .join(seen.select("node"), "node", "left_anti")
+                    .join(seen.select("node").hint("merge"), "node", "left_anti")
                     .withColumn("steps", F.lit(steps)).checkpoint())
         seen = seen.unionByName(frontier)
     return seen

@@ -72,3 +72,20 @@ def test_no_edges_and_null_ends(spark):
     none = spark.createDataFrame([("L", None, "x", None), ("L", None, None, "y")], EDGES).selectExpr(
         "hierarchy_type", "cast(as_of_date as date) as as_of_date", "child_party_key", "parent_party_key")
     assert X.hierarchy_cycles(none).count() == 0
+
+
+def test_rounds_send_no_table_through_the_driver_and_hanging_trees_go_first(spark, monkeypatch):
+    """A wide tree over a cycle, with parties of two parents: no join of a round is a
+    broadcast, and what is jumped over is no more than the cycle and its chains."""
+    n = 4_000
+    tree = [(f"t{i:05}", f"t{i // 20:05}") for i in range(1, n)] + [("t00000", "t00001")]
+    side = [(f"t{i:05}", f"t{i + 1:05}") for i in range(100, n - 1, 500)]
+    kind, plans, sizes = type(spark.range(1)), [], []
+    written, steps = kind.checkpoint, X._single_steps
+    monkeypatch.setattr(kind, "checkpoint", lambda self, *a, **k: (
+        plans.append(self._jdf.queryExecution().executedPlan().toString()), written(self, *a, **k))[1])
+    monkeypatch.setattr(X, "_single_steps", lambda edges: (sizes.append(edges.count()), steps(edges))[1])
+    got = X.hierarchy_cycles(_edges(spark, tree + side))
+    assert rows(got, "child_party_key", "parent_party_key") == _on_cycles(tree + side)
+    assert sizes == [s for s in sizes if s < n // 10]
+    assert plans and not [p for p in plans if "Broadcast" in p]
