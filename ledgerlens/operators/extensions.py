@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.lineage import impacted
-from ledgerlens.session import ensure_checkpoint_dir, reached
+from ledgerlens.session import ensure_checkpoint_dir, reached, written
 
 
 def _d(v: str) -> Column:
@@ -62,6 +62,10 @@ def as_known_at(df: DataFrame, keys: list[str], valid_col: str, known_col: str,
             .select(*keys, *[F.col(f"_best.{c}").alias(c) for c in others]))
 
 
+#: Versions of one key that are held in one row; a key with more goes by blocks of days.
+FEW_VERSIONS = 64
+
+
 def as_of_join(facts: DataFrame, versions: DataFrame, keys: list[str], fact_valid: str, fact_known: str,
                valid_col: str, known_col: str, values: list[str]) -> DataFrame:
     """Each row of ``facts`` with ``values`` of the version that was valid at its own
@@ -70,25 +74,49 @@ def as_of_join(facts: DataFrame, versions: DataFrame, keys: list[str], fact_vali
     known, values); null where there is none or a key or time of the fact is null. Versions
     without a time are never seen. All rows of ``facts`` stay, with all columns.
 
-    No pair of a fact and a version is made. A version goes into the block of days of each
-    length 1, 2, 4, ... that its known day lies in; the days up to a fact's known day are
-    cut into such blocks, one a length at most. In a block the newest version is carried
-    forward over the valid days. What meets in a block is a row per pair of dates, not per
-    fact or version, so a key with a third of all rows costs no more than its dates.
+    No pair of a fact and a version is made. The versions of a key with few of them are one
+    row, which facts meet by the key alone, so that both are dealt out once. Those of a key
+    with many go by :func:`_by_blocks`.
     """
-    day = lambda c: F.unix_date(F.col(c))
-    seen = versions.where(F.col(valid_col).isNotNull() & F.col(known_col).isNotNull())
-    first, last = seen.agg(F.min(day(known_col)), F.max(day(known_col))).first()
     best = F.struct(F.col(valid_col).alias("valid"), F.col(known_col).alias("known"),
                     *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
-    points = facts.select(*keys, F.col(fact_valid).alias("_valid"), F.col(fact_known).alias("_known")).where(
-        " and ".join(f"`{c}` is not null" for c in (*keys, "_valid", "_known"))).distinct()
-    first, last = (0, 0) if first is None else (first, last)
+    seen = written(versions.where(" and ".join(f"`{c}` is not null" for c in (*keys, valid_col, known_col)))
+                   .select(*keys, best.alias("version")), "versions")
+    many = written(seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW_VERSIONS).select(*keys), "many")
+    some_many = not many.isEmpty()
+    few = seen.join(many, keys, "left_anti") if some_many else seen
+    few = few.groupBy(*keys).agg(F.collect_list("version").alias("_versions"))
+    met = facts.join(few, [facts[k] == few[k] for k in keys], "left").select(
+        *[facts[c] for c in facts.columns], F.array_max(F.filter(few["_versions"], lambda v: (
+            v["valid"] <= facts[fact_valid]) & (v["known"] <= facts[fact_known]))).alias("_version"))
+    if some_many:
+        points = met.select(*keys, F.col(fact_valid).alias("_valid"), F.col(fact_known).alias("_known")).where(
+            " and ".join(f"`{c}` is not null" for c in (*keys, "_valid", "_known"))).join(many, keys, "left_semi").distinct()
+        found = _by_blocks(points, seen.join(many, keys, "left_semi"), keys).withColumnsRenamed(
+            {"_version": "_carried"} | {k: f"_key{i}" for i, k in enumerate(keys)})
+        met = met.join(found, [F.col(k) == F.col(f"_key{i}") for i, k in enumerate(keys)] + [
+            F.col(fact_valid) == F.col("_valid"), F.col(fact_known) == F.col("_known")], "left").withColumn(
+            "_version", F.coalesce("_carried", "_version"))
+    return met.select(*facts.columns, *[F.col("_version")[f"v{i}"].alias(c) for i, c in enumerate(values)])
+
+
+def _by_blocks(points: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``_version`` of each point ``(keys, _valid, _known)`` that has one, of ``seen``
+    ``(keys, version)``.
+
+    A version goes into the block of days of each length 1, 2, 4, ... that its known day
+    lies in; the days up to a point's known day are cut into such blocks, one a length at
+    most. In a block the newest version is carried forward over the valid days. What meets
+    in a block is a row per pair of dates, not per fact or version, so a key with a third
+    of all rows costs no more than its dates.
+    """
+    day = lambda c: F.unix_date(F.col(c))
+    first, last = seen.agg(F.min(day("version.known")), F.max(day("version.known"))).first()
     levels = F.sequence(F.lit(0), F.lit((last - first + 1).bit_length() - 1))
     block = lambda n, level: F.struct(level.alias("level"), F.call_function("shiftright", n, level).alias("block"))
 
-    placed = seen.select(*keys, best.alias("version"), F.explode(F.transform(
-        levels, lambda level: block(day(known_col) - F.lit(first), level))).alias("b"))
+    placed = seen.select(*keys, "version", F.explode(F.transform(
+        levels, lambda level: block(day("version.known") - F.lit(first), level))).alias("b"))
     placed = placed.groupBy(*keys, "b", F.col("version.valid").alias("_valid")).agg(F.max("version").alias("version"))
     # the days 0 to n - 1 are a block for each bit set in n, the one that ends where the bit does
     n = F.least(day("_known"), F.lit(last)) - F.lit(first) + F.lit(1)
@@ -98,12 +126,8 @@ def as_of_join(facts: DataFrame, versions: DataFrame, keys: list[str], fact_vali
             level.alias("level"), (F.call_function("shiftright", n, level) - F.lit(1)).alias("block")))).alias("b"))
     upto = Window.partitionBy(*keys, "b").orderBy("_valid", F.col("_known").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     carried = placed.unionByName(asked, allowMissingColumns=True).withColumn("version", F.last("version", ignorenulls=True).over(upto))
-    found = carried.where("_known is not null and version is not null").groupBy(
+    return carried.where("_known is not null and version is not null").groupBy(
         *keys, "_valid", "_known").agg(F.max("version").alias("_version"))
-    on = [facts[k] == found[k] for k in keys] + [facts[fact_valid] == found["_valid"], facts[fact_known] == found["_known"]]
-    joined = facts.join(found, on, "left")
-    return joined.select(*[facts[c] for c in facts.columns], *[
-        found["_version"][f"v{i}"].alias(c) for i, c in enumerate(values)])
 
 
 # --------------------------------------------------------------------- EXT-6 / EXT-10

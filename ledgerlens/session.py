@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the checkpoint folder and read back: what comes before runs once."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reached(edges: DataFrame, start: DataFrame) -> DataFrame:
     """Nodes reached from ``start(node)`` over ``edges(a, b)``: ``(node, steps)`` with the
     least number of steps, 0 for the start.

@@ -46,3 +46,18 @@ def test_no_pairs_in_the_plan(spark):
     """A key's facts and versions meet by dates: no join of facts with versions."""
     plan = joined(spark, [("a", 1, 1)], [("a", 1, 1, 1)])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("Join") == 1
+
+
+def test_keys_with_few_and_with_many_versions(spark, monkeypatch):
+    """The same rows whether a key's versions are one row or go by blocks; without keys of
+    many versions nothing is dealt out by block, and facts are dealt out once."""
+    r = random.Random(5)
+    versions = [(f"k{r.randrange(6) ** 2}", r.randrange(40), r.randrange(40), r.randrange(5)) for _ in range(200)]
+    versions += [(f"n{i}", i, i, i) for i in range(30)] + [(None, 1, 1, 1)] * 9
+    facts = [(r.choice(["k0", "k1", "k25", "n3", "n9", "none", None]), r.randrange(40), r.randrange(40)) for _ in range(300)]
+    wanted = {i: expected(f, versions) for i, f in enumerate(facts)}
+    for few in (0, 5, ext.FEW_VERSIONS, 1000):
+        monkeypatch.setattr(ext, "FEW_VERSIONS", few)
+        assert {x.id: x.x for x in joined(spark, facts, versions).collect()} == wanted, few
+    plan = joined(spark, facts, versions)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan and plan.count("Exchange") <= 3
