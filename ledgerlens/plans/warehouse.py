@@ -335,13 +335,21 @@ class Warehouse:
             df = df.withColumn(col, F.lit(as_of).cast(schema[col].dataType))
         return df.select(*schema.names)
 
-    def _write(self, table: str, df: DataFrame, partition_col: str | None) -> tuple[list[list], list | None]:
-        """Write a new version; its segments, and its bucketing (key, number) if any."""
+    def _dealt(self, table: str, df: DataFrame, among: tuple[str, ...]) -> tuple[DataFrame, bool]:
+        """``df`` dealt out by the table's buckets, if its bucket key is ``among`` these
+        columns: what then groups by them all stays where it is, and is written from there."""
+        dealt = BUCKETED.get(table) in among and BUCKETED[table] in df.columns
+        return (df.repartition(self.buckets, BUCKETED[table]) if dealt else df), dealt
+
+    def _write(self, table: str, df: DataFrame, partition_col: str | None,
+               dealt: bool = False) -> tuple[list[list], list | None]:
+        """Write a new version; its segments, and its bucketing (key, number) if any.
+        ``dealt``: its rows lie by bucket already and are not dealt out again."""
         version = uuid.uuid4().hex
         path = f"{self.path(table)}/version={version}"
         key = BUCKETED.get(table)
         bucketed = [key, self.buckets] if key and key in df.columns else None
-        writer = (df.repartition(self.buckets, key) if bucketed else df).write
+        writer = (df.repartition(self.buckets, key) if bucketed and not dealt else df).write
         if partition_col:
             writer = writer.partitionBy(partition_col)
         if bucketed:  # Spark writes buckets through a table; dropping it leaves the files
@@ -371,24 +379,28 @@ class Warehouse:
         Of incoming rows with one key the greatest, column by column, is taken. With
         ``snapshot`` the incoming dates (or the table) are replaced: rows missing go.
         """
-        incoming = dedupe_on_keys(incoming, list(keys), [])
+        given, incoming = incoming, dedupe_on_keys(incoming, list(keys), [])
+        dated = given if partition_col in keys else incoming  # rows of one key are of one date
+
         def write(base: dict) -> None:
             kept: list[list] = []
-            merged = incoming
+            touched: list[list] = []
             if self.exists(table):
                 found = self._state(table)
                 kept = touched = found["segments"]
                 if partition_col:  # the folders of the incoming dates
                     text = F.coalesce(F.col(partition_col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-                    dates = {f"{partition_col}={r[0]}" for r in incoming.select(text).distinct().collect()}
+                    dates = {f"{partition_col}={r[0]}" for r in dated.select(text).distinct().collect()}
                     touched = [s for s in kept if s[1] in dates]
                     kept = [s for s in kept if s[1] not in dates]
                 else:
                     kept = []
-                if touched and not snapshot:
-                    existing = self._read(table, T.StructType.fromJson(found["schema"]), touched)
-                    merged = keyed_upsert(existing, incoming, keys)
-            new, bucketed = self._write(table, merged, partition_col)
+            if touched and not snapshot:
+                existing = self._read(table, T.StructType.fromJson(found["schema"]), touched)
+                new, bucketed = self._write(table, keyed_upsert(existing, incoming, keys), partition_col)
+            else:  # one exchange serves the keys and the buckets
+                df, dealt = self._dealt(table, given, keys)
+                new, bucketed = self._write(table, dedupe_on_keys(df, list(keys), []), partition_col, dealt)
             if not new and kept and not bucketed:
                 bucketed = self._state(table)["bucketed"]
             self._publish(table, incoming.schema, partition_col, new + kept, base, bucketed)
@@ -522,13 +534,14 @@ class Warehouse:
 
     def quarantine(self, table: str, good: DataFrame, held: DataFrame, keys: tuple[str, ...]) -> None:
         """In a run: the rows of ``table`` that this run wrote become ``good``; ``held`` are
-        the rows taken out, kept in ``quar.<table>`` by their keys and dates."""
+        the rows taken out, kept in ``quar.<table>`` by their keys and dates. Both are read from
+        the files that hold them by bucket."""
         found = self._state(table)
         before = {tuple(s[:2]) for s in self._segments(self._pinned["tables"].get(table), table)}
         kept = [s for s in found["segments"] if tuple(s[:2]) in before]
         col = found["partition_col"]
         self.upsert(f"quar.{table.split('.', 1)[1]}", held, keys, partition_col=col, snapshot=True)
-        new, bucketed = self._write(table, good, col)
+        new, bucketed = self._write(table, good, col, dealt=True)
         self._publish(table, T.StructType.fromJson(found["schema"]), col, new + kept, self._pinned, bucketed)
 
     def record(self, mappings: list[Mapping], counts: dict[str, int], as_of_date: str) -> None:

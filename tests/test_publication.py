@@ -236,3 +236,38 @@ def test_code_lists_with_faults(spark):
     assert rows(got, "id", "mapped_value") == list(enumerate(["y", "x", None, "z", "q", None, "ok", "ok", None, None]))
     hit = X.rows_in_findings(facts, "c", "d", found)
     assert rows(hit, "code", "kind", "rows") == [("A", "GAP", 1), ("A", "OVERLAP", 1), ("B", "OVERLAP", 1)]
+
+
+def test_a_bucketed_write_deals_its_rows_out_once(spark, tmpdir_path, monkeypatch):
+    """The exchange of the keys is that of the buckets, quarantined tables are rewritten
+    without any, and the greatest row of a key, the dates and the buckets are as before."""
+    kind, plans = type(spark.range(1)), []
+    write = kind.write
+    monkeypatch.setattr(kind, "write", property(lambda self: (
+        plans.append(self._jdf.queryExecution().executedPlan().toString()), write.fget(self))[1]))
+    keys = ("arrangement_key", "as_of_date")
+    df = spark.range(400).selectExpr("concat('a', id % 150) as arrangement_key", "cast(id as int) as v",
+                                     "if(id % 2 = 0, date '2026-03-31', date '2026-06-30') as as_of_date")
+    run = Warehouse(spark, tmpdir_path, buckets=4).run("one", "v1", "2026-03-31")
+    run.upsert("canon.position", df, keys)
+    assert [p.count("Exchange") for p in plans] == [1]
+    wanted = rows(df.groupBy(*keys).agg(F.max("v").alias("v")), "arrangement_key", "as_of_date", "v")
+    assert rows(run.read("canon.position"), "arrangement_key", "as_of_date", "v") == wanted
+    plans.clear()
+    audit_run(run, [X.QualityRule("Q", "position", "validity", "ERROR", "quarantine", "v % 10 <> 0")])
+    assert any("Exchange" not in p and "v" in p and "FileScan" in p for p in plans)
+    run.publish()
+    good = [w for w in wanted if w[2] % 10]
+    assert rows(run.read("canon.position"), "arrangement_key", "as_of_date", "v") == good
+    dated = run.read_dated("canon.position", "2026-03-31")
+    joined = dated.hint("merge").join(dated.select("arrangement_key", F.col("v").alias("w")), "arrangement_key")
+    assert joined.where("v = w").count() == len([w for w in good if str(w[1]) == "2026-03-31"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan, plan
+    # a second upsert over the same dates: incoming rows win, others survive
+    again = run.run("two", "v1", "2026-03-31")
+    again.upsert("canon.position", spark.createDataFrame([("a0", -1, "2026-03-31")], "arrangement_key string, v int, as_of_date string")
+                 .withColumn("as_of_date", F.to_date("as_of_date")), keys)
+    got = rows(again.read("canon.position"), "arrangement_key", "as_of_date", "v")
+    rest = lambda of: [w for w in of if (w[0], str(w[1])) != ("a0", "2026-03-31")]
+    assert rest(got) == rest(good) and [w[2] for w in got if w not in rest(got)] == [-1]
