@@ -19,7 +19,7 @@ from ledgerlens.plans.pipeline import Pipeline, build_pipeline, load_log_frame,
 from ledgerlens.plans.publication import audit_run, publish_audited, published_rows
 from ledgerlens.plans.warehouse import Warehouse, keyed_upsert
 from ledgerlens.schemas import PRIMARY_KEYS
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.session import ensure_checkpoint_dir, written
 from ledgerlens.sources.testdata import AS_OF, testdata_extracts
 
 _PIPELINES: dict[tuple, Pipeline] = {}
@@ -266,9 +266,11 @@ def _(spark, sf):
 
 @query("chk_risk")
 def _(spark, sf):
+    """The trade exposures are written once: four checks and two reports read them."""
     p = pipeline(spark, sf)
-    r = p.reports
-    return checks.check_risk(r.ccr_trade.data, r.ccr_netting_set.data, r.rec_netting.data,
+    trades = written(p.reports.ccr_trade.data, "trades")
+    sets = risk.netting_set_exposure(spark, trades).data
+    return checks.check_risk(trades, sets, reconcile.netting_reconciliation(spark, sets, AS_OF).data,
                              p.canon["arrangement"], p.canon["trade_event"],
                              p.canon["collateral"], p.canon["collateral_allocation"],
                              p.canon["classification"], AS_OF)

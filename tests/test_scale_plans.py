@@ -105,3 +105,17 @@ def test_broken_inputs_fail_the_checks(spark, small_pipeline):
         r.rec_detail, r.fin_detail.data, r.ccr_trade.data, r.rec_disagreement.data.where("false")))
     party = c["party"]
     assert ids(checks.check_rerun({"party": party}, {"party": party.where("party_key > '8'")})) == {"CHK-3 party"}
+
+
+def test_risk_checks_build_the_trades_once(spark, small_pipeline):
+    """The checks read the trade exposures as written: of the large tables their plan holds
+    only what the checks need besides, and the rows are those of the lazy reports."""
+    from ledgerlens.operators import checks
+    from ledgerlens.sources.testdata import AS_OF
+    p, c, r = small_pipeline, small_pipeline.canon, small_pipeline.reports
+    lazy = checks.check_risk(r.ccr_trade.data, r.ccr_netting_set.data, r.rec_netting.data, c["arrangement"], c["trade_event"],
+                             c["collateral"], c["collateral_allocation"], c["classification"], AS_OF)
+    got = QUERIES["chk_risk"](spark, SF_SMALL)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, lazy.collect()))
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey")
+    assert 3 * scans(got) < scans(lazy), (scans(got), scans(lazy))
