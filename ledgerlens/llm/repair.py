@@ -24,6 +24,9 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Ids a shard holds, before the document that fills it ends.
 SHARD_IDS = 1 << 21
+#: Bytes of units that a task remembers: half the units of a task's texts are met once in
+#: it, and in several tasks that one worker runs; with too few they are encoded each time.
+UNIT_BYTES = 128 << 20
 #: Nonterminals begin here; terminals are below.
 FIRST_RULE = 1 << 16
 #: A pair is frequent if found so often. A rule costs 16 bytes and saves 3 with every use,
@@ -33,8 +36,8 @@ LEAST_COUNT, LEAST_USES = 16, 6
 
 def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The keys found ``least`` times, ascending, and each key's place among them or -1."""
-    mixed = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-    at = np.flatnonzero(np.bincount(mixed, minlength=1 << 20)[mixed] >= least)  # a superset; counted exactly below
+    mixed = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+    at = np.flatnonzero((np.bincount(mixed, minlength=1 << 20) >= least)[mixed])  # a superset; counted exactly below
     coded = pa.array(keys[at]).dictionary_encode()
     names, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
     often = np.flatnonzero(np.bincount(index, minlength=len(names)) >= least)
@@ -55,46 +58,51 @@ def compress(ids: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.
     looks only at pairs that can be frequent: those with a symbol made by the round before,
     and those that were frequent and not replaced."""
     seq, rules = ids.astype(np.uint32), []
-    look = np.ones(max(0, len(seq) - 1), bool)
-    made = FIRST_RULE
+    at = np.arange(max(0, len(seq) - 1))
+    made, least_uses = FIRST_RULE, min(LEAST_USES, least)
     while True:
-        at = np.flatnonzero(look)
         pairs, rule = _frequent(seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1], least)
         if not len(pairs):
             break
-        chosen, rule = at[rule >= 0], rule[rule >= 0]
+        found = np.flatnonzero(rule >= 0)
+        chosen, rule = at[found], rule[found]
         rank = np.empty(len(pairs), np.int32)
         rank[np.argsort(-np.bincount(rule, minlength=len(pairs)), kind="stable")] = np.arange(len(pairs))
         # an occurrence is taken if its pair precedes those of the occurrences it overlaps;
         # equal pairs in a row (a a a) are taken from the left, each second one
-        place = np.full(len(seq) + 1, len(pairs), np.int32)
-        place[chosen + 1] = rank[rule]
-        mine, left, right = place[chosen + 1], place[chosen], place[chosen + 2]
-        same = left == mine
+        mine, beside = rank[rule], np.diff(chosen) == 1
+        left, right = np.full(len(mine), len(pairs), np.int32), np.full(len(mine), len(pairs), np.int32)
+        np.copyto(left[1:], mine[:-1], where=beside)
+        np.copyto(right[:-1], mine[1:], where=beside)
         take = (mine < left) & (mine <= right)
-        if same.any():
-            fresh = ~same | np.append(True, np.diff(chosen) > 1)
-            run = chosen[np.maximum.accumulate(np.where(fresh, np.arange(len(chosen)), 0))]
-            take = (take | same & (mine <= right)) & ((chosen - run) % 2 == 0)
+        same = np.flatnonzero(left == mine)
+        if len(same):
+            begins = np.diff(same, prepend=-1) > 1
+            run = same[np.maximum.accumulate(np.where(begins, np.arange(len(same)), 0))] - 1
+            take[same] = (mine[same] <= right[same]) & ((same - run) % 2 == 0)
             # beside a run of equal pairs an overlap can be left: the left one stays
             some = np.flatnonzero(take)
             take[some[1:][np.diff(chosen[some]) == 1]] = False
-        take &= np.bincount(rule[take], minlength=len(pairs))[rule] >= min(LEAST_USES, least)
-        taken = chosen[take]
+        used = np.bincount(rule[take], minlength=len(pairs)) >= least_uses
+        take &= used[rule]
+        some = np.flatnonzero(take)
+        taken, by = chosen[some], rule[some]
         if not len(taken):
             break
-        uses = np.bincount(rule[take], minlength=len(pairs)) > 0
-        used = np.flatnonzero(uses)
-        seq[taken] = made + (np.cumsum(uses) - 1)[rule[take]]
+        seq[taken] = made + (np.cumsum(used) - 1)[by]
         rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         stay = np.ones(len(seq), bool)
         stay[taken + 1] = False
-        again = np.zeros(len(seq), bool)
-        again[chosen[~take]] = True
-        seq, again = seq[stay], again[stay]
-        new = seq >= made
-        look = (again[:-1] | new[:-1] | new[1:]) if len(seq) else again
-        made += len(used)
+        # the next round looks at new symbols, with what is before them, and at pairs not replaced
+        rest = ~take
+        rest[1:] &= ~(beside & take[:-1])
+        rest = np.flatnonzero(rest)
+        again = chosen[rest] - np.cumsum(take)[rest]
+        seq, new = seq[stay], taken - np.arange(len(taken))
+        look = np.zeros(len(seq), bool)
+        look[again] = look[new] = look[new[new > 0] - 1] = True
+        at = np.flatnonzero(look[:-1])
+        made += int(used.sum())
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
     lengths = np.ones(FIRST_RULE + len(table), np.int64)
     done = FIRST_RULE
@@ -108,7 +116,9 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
     """The ids that ``symbols`` stand for: the rules are expanded once, then copied."""
     if not len(symbols):
         return symbols
-    asked = np.unique(symbols[symbols >= FIRST_RULE])
+    known = np.zeros(FIRST_RULE + len(rules), bool)
+    known[symbols] = True
+    asked = FIRST_RULE + np.flatnonzero(known[FIRST_RULE:])
     flat, owner = asked.astype(np.uint32), np.arange(len(asked))
     while len(flat) and (deep := flat >= FIRST_RULE).any():
         sizes = 1 + deep.astype(np.int64)
@@ -118,10 +128,9 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
         flat[heads], flat[heads + 1] = pair[:, 0], pair[:, 1]
     size = np.bincount(owner, minlength=len(asked))
     # the terminals first, one each, then the expansions
-    plain = np.arange(FIRST_RULE, dtype=np.uint32)
-    begin, length = np.append(np.arange(FIRST_RULE), FIRST_RULE + np.cumsum(size) - size), np.append(np.ones(FIRST_RULE, np.int64), size)
-    at = np.where(symbols < FIRST_RULE, symbols, FIRST_RULE + np.searchsorted(asked, symbols))
-    return gather(np.append(plain, flat), begin[at], length[at])
+    begin, length = np.arange(len(known)), np.ones(len(known), np.int64)
+    begin[asked], length[asked] = FIRST_RULE + np.cumsum(size) - size, size
+    return gather(np.append(np.arange(FIRST_RULE, dtype=np.uint32), flat), begin[symbols], length[symbols])
 
 
 def expand_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, start: int, stop: int) -> np.ndarray:
@@ -154,7 +163,7 @@ def write_ids(docs: DataFrame, out: str, path: str = TOKENIZER, end_id: int = EN
     from pyspark import TaskContext
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = file_encoder(path)
+        encoder = file_encoder(path, UNIT_BYTES)
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         sizes: list[int] = []

@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +129,7 @@ class UnitEncoder:
                 got[j] = ids
         n, m = len(self.slot), len(self.slot) + len(units)
         lens = np.fromiter(map(len, got), np.int64, len(got))
-        ids = np.fromiter((x for g in got for x in g), np.uint32, int(lens.sum()))
+        ids = np.fromiter(chain.from_iterable(got), np.uint32, int(lens.sum()))
         while m > len(self.begin):
             self.begin, self.length, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length, self.met))
         while self.used + len(ids) > len(self.flat):
@@ -157,10 +158,11 @@ class UnitEncoder:
         self.met = np.concatenate([met[order] // 2, np.zeros(1 << 14, np.int64)])
 
     def _slots(self, units: list[str]) -> np.ndarray:
-        known = self.slot
-        if new := [u for u in units if u not in known]:
-            self._learn(new)
-        slots = np.fromiter(map(self.slot.__getitem__, units), np.int64, len(units))
+        slots = np.fromiter(map(self.slot.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = len(self.slot) + np.arange(len(new))  # as they are learned
+            self._learn([units[i] for i in new.tolist()])
         self.met[slots] += 1
         return slots
 
@@ -177,15 +179,16 @@ class UnitEncoder:
         got = self._whole([texts[int(i)].as_py() for i in whole]) if len(whole) else []
         texts = pc.if_else(pa.array(odd), "", texts).cast(pa.large_string()) if len(whole) else texts
         bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[:bounds[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
+        # a slice of a batch shares its buffer: only the slice's own bytes are looked at
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0]:bounds[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
+        bounds = bounds - bounds[0]
         starts = cuts(data)
-        starts[:bounds[0]] = False
         starts[bounds[:-1][bounds[:-1] < len(data)]] = True
         at = np.flatnonzero(starts)
         units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int64).tobytes()),
                                                  pa.py_buffer(data))
         coded = units.dictionary_encode()
-        slots = self._slots(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
+        slots = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
         lens = self.length[slots]
         ids = gather(self.flat, self.begin[slots], lens)
         ends = np.append(0, np.cumsum(lens))[np.searchsorted(at, bounds[1:])]

@@ -12,8 +12,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from ledgerlens.llm import byte_bpe, packing, repair
-from ledgerlens.llm.shared import scratch, table
+from ledgerlens.llm import byte_bpe, packing, repair, units
+from ledgerlens.llm.shared import scratch, table, text_slices
 from ledgerlens.llm.units import MAX_BYTES, UnitEncoder
 from tests.conftest import SF_SMALL
 
@@ -67,6 +67,21 @@ def test_units_memory_is_bounded_in_bytes():
     assert encoder.bytes <= 1 << 19 and sum(map(len, encoder.slot)) < 1 << 19
 
 
+def test_a_batch_in_slices_is_cut_once(monkeypatch):
+    """A slice shares its batch's buffer: the bytes before it are not looked at again."""
+    looked, cuts = [], units.cuts
+    monkeypatch.setattr(units, "cuts", lambda b: (looked.append(len(b)), cuts(b))[1])
+    texts = ["\nplain words, and more: 1234", " é\n\nß x", "", " two  gaps ", "é. x"] * 20
+    batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
+    plain, encoder = Tokenizer.from_file(repair.TOKENIZER), UnitEncoder(Tokenizer.from_file(repair.TOKENIZER))
+    got = []
+    for part in text_slices([batch], limit=50):
+        ids, ends = encoder.encode(part.column(0))
+        got += [x.tolist() for x in np.split(ids, ends[:-1])]
+    assert len(looked) > 20 and sum(looked) <= sum(len(t.encode()) for t in texts)
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_byte_bpe_equals_tiktoken(spark, tik, odd):
     for docs in (table(spark, SF_SMALL, "documents"), odd):
         texts = {(r.doc_id, r.text) for r in docs.collect()}
