@@ -34,7 +34,7 @@ SKETCH_BITS, SKETCH_ROWS = 21, 64
 #: Text that a task holds as words and hashes at a time.
 HELD_BYTES = 4 << 20
 #: Rounds of comparing with one member go on while all pairs of members would be more than
-#: so many for each member, and while a round takes away such a share of the pairs.
+#: so many for each posting that met another, and while a round takes away such a share of the pairs.
 PAIRS_A_MEMBER, WORTH_A_ROUND = 4, 0.2
 #: An n-gram is hot if its counter is so many times the mean and so large. Groups of
 #: others are met in sorted streams, hot ones by an aggregate and a join that Spark splits.
@@ -131,45 +131,37 @@ def _postings(docs: DataFrame, often: np.ndarray, n: int, percent: int) -> DataF
     return docs.select("doc_id", "text").mapInArrow(task, "doc long, n int, grams array<long>, hot array<boolean>")
 
 
-_MET = "gram long, doc long, n int, pos int, pivot struct<doc: long, n: int, pos: int>"
+_MET = "gram long, doc long, n int, pos int, pivot struct<doc: long, n: int, pos: int>, many boolean"
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of postings in the order of their n-grams, those of n-grams with two documents or
-    more, each with the first of its n-gram. One row is held back for its successor."""
-    kind = pa.struct([("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
-    held = pivot = None
+    more, each with the first of its n-gram, and whether they are ``many``: more than two.
+    The last n-gram of a batch is held back; it has fewer rows than a hot one."""
+    held = None
     for batch in batches:
         cols = [batch.column(i).to_numpy() for i in range(4)]
         if held is not None:
             cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-        if not len(cols[0]):
-            continue
-        gram = cols[0]
-        new = np.append(True, gram[1:] != gram[:-1])
-        if pivot is not None and gram[0] == pivot[0]:
-            head = np.maximum.accumulate(np.where(new, np.arange(len(gram)), 0))
-            carried = head == 0
-        else:
-            head, carried, pivot = np.maximum.accumulate(np.where(new, np.arange(len(gram)), 0)), np.zeros(len(gram), bool), None
-        met = ~new | np.append(~new[1:], False) | carried
-        met[-1] = False  # not known yet
-        firsts = [np.where(carried, pivot[k], c[head]) if pivot is not None else c[head] for k, c in enumerate(cols)]
-        held = [c[-1:] for c in cols]
-        if not new[-1] or carried[-1]:
-            pivot = [f[-1] for f in firsts]
-        else:
-            pivot = None
-        yield _met_batch([c[met] for c in cols], [f[met] for f in firsts], kind)
-        if pivot is not None:  # the held row is of a group: give it out now
-            yield _met_batch(held, [np.array([p]) for p in pivot], kind)
-            held = None
+        if len(cols[0]):
+            last = int(np.searchsorted(cols[0], cols[0][-1]))
+            held = [c[last:] for c in cols]
+            yield _met_batch([c[:last] for c in cols])
+    if held is not None:
+        yield _met_batch(held)
 
 
-def _met_batch(cols: list, firsts: list, kind: pa.DataType) -> pa.RecordBatch:
-    pivot = pa.StructArray.from_arrays([pa.array(f, t.type) for f, t in zip(firsts[1:], kind)], fields=list(kind))
-    return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
-                            pa.array(cols[3], pa.int32()), pivot], ["gram", "doc", "n", "pos", "pivot"])
+def _met_batch(cols: list) -> pa.RecordBatch:
+    kind = pa.struct([("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+    gram = cols[0]
+    head = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])[:len(gram)])
+    size = np.diff(head, append=len(gram))
+    first, size = np.repeat(head, size), np.repeat(size, size)
+    met = size > 1
+    pivot = pa.StructArray.from_arrays([pa.array(c[first[met]], t.type) for c, t in zip(cols[1:], kind)], fields=list(kind))
+    gram, doc, n, pos = (c[met] for c in cols)
+    return pa.record_batch([pa.array(gram, pa.int64()), pa.array(doc, pa.int64()), pa.array(n, pa.int32()), pa.array(pos, pa.int32()),
+                            pivot, pa.array(size[met] > 2)], ["gram", "doc", "n", "pos", "pivot", "many"])
 
 
 def _size_fits(m: str, n: str, percent: int) -> str:
@@ -196,6 +188,25 @@ def suffix_fits(a: np.ndarray, b: np.ndarray, percent: int, depth: int = 3) -> b
     return np.minimum(ours, theirs).sum() >= need
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many of a sorted set's hashes begin with each of so many bits that there are two
+    to four of them each; a byte each. Empty if one needs more, or the set is empty."""
+    bits = max(1, (len(s) // 4).bit_length())
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if len(s) and counts.max() < 256 else b""
+
+
+def sketches_fit(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
+    """False only if the sets cannot be similar: no more is common than the smaller counts."""
+    if not a or not b:
+        return True
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    size = min(len(x), len(y))
+    x, y = x.reshape(size, -1).sum(1), y.reshape(size, -1).sum(1)
+    common = int(np.minimum(x, y).sum())
+    return 100 * common >= percent * (int(x.sum() + y.sum()) - common)
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """100 * intersection >= percent * union of two sorted sets."""
     if not suffix_fits(a, b, percent):
@@ -219,8 +230,9 @@ class _Verifier:
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches, limit=HELD_BYTES):
-                yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), n)], pa.binary())],
-                                      ["doc", "grams"])
+                sets = list(shingle_sets(batch.column(1), n))
+                yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
+                                       pa.array([sketch(s) for s in sets], pa.binary())], ["doc", "grams", "sketch"])
 
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         if self.sets is not None:
@@ -228,7 +240,7 @@ class _Verifier:
         ids = stored(ids, "wanted")
         if ids.isEmpty():
             return self.sets
-        new = stored(self.docs.join(ids, "doc_id", "left_semi").mapInArrow(task, "doc long, grams binary"), "sets")
+        new = stored(self.docs.join(ids, "doc_id", "left_semi").mapInArrow(task, "doc long, grams binary, sketch binary"), "sets")
         self.sets = new if self.sets is None else self.sets.union(new)
         return self.sets
 
@@ -236,6 +248,11 @@ class _Verifier:
         """Those of the distinct pairs ``(a, b)``, a written table, that are similar."""
         percent = self.percent
 
+        def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = [sketches_fit(x.as_py(), y.as_py(), percent) for x, y in zip(batch.column(2), batch.column(3))]
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x, y = batch.column(2), batch.column(3)
@@ -246,10 +263,14 @@ class _Verifier:
         sets = self._sets(pairs)
         if sets is None:
             return pairs
-        side = lambda of, name: sets.select(F.col("doc").alias(of), F.col("grams").alias(name))
-        # many pairs share their smaller document: only these sets are sent to meet the others
-        asked = stored(pairs.select("b").distinct(), "asked")
-        whole = pairs.join(side("a", "x"), "a").join(side("b", "y").join(asked, "b", "left_semi"), "b").select("a", "b", "x", "y")
+        side = lambda of, column, name: sets.select(F.col("doc").alias(of), F.col(column).alias(name))
+        # the sets themselves are sent only for pairs that their sketches leave
+        pairs = stored(pairs.join(side("a", "sketch", "x"), "a").join(side("b", "sketch", "y"), "b").select(
+            "a", "b", "x", "y").mapInArrow(fit, "a long, b long").distinct(), "likely")
+        # many pairs share a document: only sets that one asks for are sent to meet the others
+        asked = lambda of: stored(pairs.select(of).distinct(), "asked")
+        whole = pairs.join(side("a", "grams", "x").join(asked("a"), "a", "left_semi"), "a").join(
+            side("b", "grams", "y").join(asked("b"), "b", "left_semi"), "b").select("a", "b", "x", "y")
         return stored(whole.mapInArrow(task, "a long, b long").distinct(), "links")
 
 
@@ -274,30 +295,36 @@ def linked(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame
     often = np.zeros((SKETCH_ROWS, (1 << SKETCH_BITS) // SKETCH_ROWS), np.uint32)
     for r in summed:  # SKETCH_ROWS of them
         often[r["row"]] = np.frombuffer(r["counts"], "<u4")
-    classes = stored(rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stored(rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")), "classes")
 
-    prefixes = _postings(docs, often.ravel(), n, percent).join(
-        classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
-    postings = prefixes.select("doc", "n", F.posexplode(F.arrays_zip("grams", "hot")).alias("pos", "g")).select(
+    # few documents are copies: they are taken out, by a small table, before anything is dealt
+    copies = stored(rows.join(classes.where("k > 1").select("sig", "rep"), "sig").where("doc_id <> rep").select(F.col("doc_id").alias("doc")).distinct().join(
+        classes.select(F.col("rep").alias("doc")), "doc", "left_anti"), "copies")
+    prefixes = stored(_postings(docs, often.ravel(), n, percent).join(copies, "doc", "left_anti"), "prefixes")
+    postings = lambda of: of.select("doc", "n", F.posexplode(F.arrays_zip("grams", "hot")).alias("pos", "g")).select(
         F.col("g.grams").alias("gram"), "doc", "n", "pos", F.col("g.hot").alias("hot"))
-    cold = postings.where("not hot").drop("hot").repartition("gram").sortWithinPartitions("gram", "doc").mapInArrow(_met, _MET)
-    hot = postings.where("hot").drop("hot")
-    pivots = hot.groupBy("gram").agg(F.min(F.struct("doc", "n", "pos")).alias("pivot"), F.count("*").alias("k")).where("k > 1").drop("k")
+    cold = postings(prefixes).where("not hot").drop("hot").repartition("gram").sortWithinPartitions("gram", "doc").mapInArrow(_met, _MET)
+    hot = postings(prefixes.where("array_contains(hot, true)")).where("hot").drop("hot")
+    pivots = hot.groupBy("gram").agg(F.min(F.struct("doc", "n", "pos")).alias("pivot"), F.count("*").alias("k")).where("k > 1").select("gram", "pivot", F.expr("k > 2").alias("many"))
     met = stored(cold.unionByName(hot.join(pivots, "gram")), "met")
 
     verifier = _Verifier(docs, n, percent)
     tested = stored(_candidates(met, percent), "pairs")
     links = verifier.links(tested)
-    vertices = lambda: met.select(F.col("doc").alias("id")).distinct()
-    joined = stored(components(vertices(), links), "joined")
-    turn, pairs_before = 0, float("inf")
+    # documents that are linked, with their components; any other is one by itself
+    together = lambda links: stored(components(
+        links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), links), "joined")
+    joined = together(links)
+    # two documents that share an n-gram alone have been compared by now
+    several = met.where("many").drop("pivot", "many")
+    turn, pairs_before, members = 0, float("inf"), met.count()
     while True:
         # n-grams whose documents are not yet connected
-        left = met.drop("pivot").join(joined.withColumnRenamed("id", "doc"), "doc")
+        left = several.join(joined.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         sizes = left.groupBy("gram", "component").agg(F.count("*").alias("k")).groupBy("gram").agg(
             F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"), F.count("*").alias("components"))
         open_ = stored(sizes.where("components > 1"), "open")
-        members, pairs_left = map(float, open_.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("own")) / 2), F.lit(0))).first())
+        pairs_left = float(open_.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("own")) / 2), F.lit(0))).first()[0])
         left = stored(left.join(open_.select("gram"), "gram"), "left")
         if pairs_left <= PAIRS_A_MEMBER * members or pairs_left > (1 - WORTH_A_ROUND) * pairs_before:
             break
@@ -312,7 +339,7 @@ def linked(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame
         if new.isEmpty():
             break
         links = links.union(new)
-        joined = stored(components(vertices(), links), "joined")
+        joined = together(links)
 
     # the rest: pairs of members that are not connected, within a size class and the next
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent * 1.01)))
@@ -325,9 +352,9 @@ def linked(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame
     if not rest.isEmpty():
         new = verifier.links(rest)
         if not new.isEmpty():
-            joined = stored(components(vertices(), links.union(new)), "joined")
+            joined = together(links.union(new))
 
-    of_class = classes.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
+    of_class = classes.drop("k").join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "sig", F.coalesce("component", "rep").alias("component"))
     return rows.join(of_class, "sig", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

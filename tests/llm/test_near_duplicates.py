@@ -89,6 +89,48 @@ def test_hot_grams_take_the_other_way(spark, monkeypatch):
     assert answers(jaccard.linked(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
 
 
+def test_sets_are_sent_only_where_they_can_be_similar(spark, monkeypatch):
+    """Documents with one passage in common meet, but neither their sets are sent nor their
+    n-grams compared again; an n-gram of two documents needs no further round."""
+    made = {}
+
+    def kept(df, name, *by):
+        made.setdefault(name, []).append(out := stored(df, name, *by))
+        return out
+
+    stored = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", kept)
+    rng, docs = random.Random(6), []
+    for i in range(30):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        docs += [own + [f"p{i}q{k}" for k in range(8)], [f"v{rng.randrange(10**6)}" for _ in range(300)] + [f"p{i}q{k}" for k in range(8)]]
+    docs += [edited(rng, docs[0], 2), list(docs[1])]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    monkeypatch.setattr(jaccard, "prefix_length", lambda n, percent=80: n)  # all n-grams meet
+    monkeypatch.setattr(jaccard, "_place_fits", lambda *a: "true")
+    assert answers(jaccard.linked(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
+    assert made["pairs"][0].count() >= 30
+    assert {r[0] for df in made["asked"] for r in df.collect()} <= {0, 60}
+    grams = {r.gram for r in made["left"][0].collect()}
+    assert len(grams) <= 8  # those of the passage that three documents have
+
+
+def test_sketches_lose_no_similar_pair():
+    rng = np.random.default_rng(5)
+    seen = set()
+    for size in (1, 2, 7, 40, 700, 3000):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 1 << 64, size, np.uint64, endpoint=False))
+            keep = rng.random(len(a)) < rng.choice([0.1, 0.8, 0.9, 1])
+            b = np.unique(np.concatenate([a[keep], rng.integers(0, 1 << 64, rng.integers(0, size // 5 + 2), np.uint64)]))
+            exact, fit = jaccard.similar(a, b), jaccard.sketches_fit(jaccard.sketch(a), jaccard.sketch(b))
+            assert fit or not exact
+            seen.add((exact, fit))
+    assert seen == {(True, True), (False, True), (False, False)}
+    many = np.arange(2000, dtype=np.uint64)  # hashes that begin alike
+    assert jaccard.sketch(many) == b"" and jaccard.sketches_fit(b"", jaccard.sketch(a))
+
+
 def test_rows_without_words(spark):
     rows = [(1, None, 1), (2, "", 1), (3, " \t\n", 1), (4, "one two", 1), (5, "One  Two", 1), (6, "one", 1), (None, "one two", 1),
             (7, "x " * 30_000, 1), (8, "X " * 29_000, 1), (4, "one two", 1)]
