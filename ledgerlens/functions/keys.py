@@ -5,6 +5,10 @@ Each part is cast to text, trimmed and upper-cased; a null part becomes the
 marker ``^^`` so that (null, 'x') and ('x', null) hash differently; parts are
 joined with ``||``. A rebuild therefore produces the same keys, and two
 systems that share a business key meet on the same surrogate.
+
+A key is never null, and says so to Spark (which takes any sha2 for nullable): else a
+join on keys pushes a test of each key below the aggregates it comes from, where it
+differs by system and keeps two loads of one extract from sharing its shuffles.
 """
 
 from __future__ import annotations
@@ -26,11 +30,11 @@ def _part(c: Column | str) -> Column:
 def surrogate_key(*parts: Column | str) -> Column:
     """Column expression: hashed key over ``parts`` (column names or Columns)."""
     joined = F.concat_ws(KEY_SEPARATOR, *[_part(p) for p in parts])
-    return F.substring(F.sha2(joined, 256), 1, KEY_HEX_CHARS)
+    return F.coalesce(F.substring(F.sha2(joined, 256), 1, KEY_HEX_CHARS), F.lit(""))
 
 
 def surrogate_key_sql(*parts: str) -> str:
     """The same key as a Spark SQL expression string over SQL expressions."""
     inner = ", ".join(
         f"coalesce(upper(trim(cast({p} as string))), '{KEY_NULL_MARKER}')" for p in parts)
-    return f"substring(sha2(concat_ws('{KEY_SEPARATOR}', {inner}), 256), 1, {KEY_HEX_CHARS})"
+    return f"coalesce(substring(sha2(concat_ws('{KEY_SEPARATOR}', {inner}), 256), 1, {KEY_HEX_CHARS}), '')"

@@ -1,7 +1,9 @@
 """Plan-level guards for the scale rules, over every registered query."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerlens.functions import surrogate_key, surrogate_key_sql
 from ledgerlens.operators import identity
 from ledgerlens.queries import QUERIES
 from tests.conftest import SF_SMALL
@@ -119,3 +121,13 @@ def test_risk_checks_build_the_trades_once(spark, small_pipeline):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, lazy.collect()))
     scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey")
     assert 3 * scans(got) < scans(lazy), (scans(got), scans(lazy))
+
+
+def test_the_allocations_of_both_systems_are_dealt_once(spark):
+    """Loads of one extract for two systems share its shuffles: a key, which is never null,
+    leaves no test of its own below the extract's aggregate."""
+    df = QUERIES["four_measures"](spark, SF_SMALL)
+    below = [x for x in _physical_plan(df).splitlines() if "FileScan" in x and "l_partkey" in x]
+    assert len(below) == 2 and not any("sha2" in x for x in below), below
+    keys = spark.range(1).select(surrogate_key("id"), F.expr(surrogate_key_sql("'TRD'", "id")))
+    assert [f.nullable for f in keys.schema] == [False, False]
