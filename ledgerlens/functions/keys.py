@@ -38,3 +38,21 @@ def surrogate_key_sql(*parts: str) -> str:
     inner = ", ".join(
         f"coalesce(upper(trim(cast({p} as string))), '{KEY_NULL_MARKER}')" for p in parts)
     return f"coalesce(substring(sha2(concat_ws('{KEY_SEPARATOR}', {inner}), 256), 1, {KEY_HEX_CHARS}), '')"
+
+
+def packed_key(key: Column | str) -> Column:
+    """A key as bytes, for an exchange: the 12 bytes of a surrogate key. Other text keeps its
+    own behind a mark, with which it never has 12; :func:`unpacked_key` gives either back."""
+    text = F.col(key) if isinstance(key, str) else key
+    size, own = F.octet_length(text), text.cast("binary")
+    hashed = (size == KEY_HEX_CHARS) & (F.translate(text, "0123456789abcdef", "") == "")
+    return F.when(hashed, F.unhex(text)).when(size == KEY_HEX_CHARS // 2 - 1, F.concat(F.lit(b"\x02\x02"), own)).otherwise(
+        F.concat(F.lit(b"\x01"), own))
+
+
+def unpacked_key(packed: Column | str) -> Column:
+    """The key that :func:`packed_key` made bytes of."""
+    own = F.col(packed) if isinstance(packed, str) else packed
+    marks = F.when(F.substring(own, 1, 1) == F.lit(b"\x02"), F.lit(2)).otherwise(F.lit(1))
+    return F.when(F.octet_length(own) == KEY_HEX_CHARS // 2, F.lower(F.hex(own))).otherwise(
+        F.substring(own, marks + 1, F.octet_length(own)).cast("string"))

@@ -25,6 +25,7 @@ from ledgerlens.plans.mapping import Mapping, MappingResult, lineage_frame
 from ledgerlens.plans.publication import audit_run, publish_audited
 from ledgerlens.plans.warehouse import Warehouse
 from ledgerlens.schemas import ENTITY_SCHEMAS, PRIMARY_KEYS, conform
+from ledgerlens.session import shuffles_released
 from ledgerlens.sources.extracts import EXTRACT_COLUMNS
 
 
@@ -122,7 +123,7 @@ def mappings_on_schemas(spark: SparkSession, as_of: str) -> tuple[list[MappingRe
 def load_run(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str, run: Warehouse, parallelism: int = 8,
              lap: Callable[[str], None] = lambda name: None) -> tuple[dict[str, Load], dict[str, int]]:
     """Write the cross-reference and the canonical layer into ``run``; the loads and the
-    rows written per mapping."""
+    rows written per mapping. The shuffle files of a table are deleted once it is written."""
     from concurrent.futures import ThreadPoolExecutor
 
     counts: dict[str, int] = {}
@@ -140,7 +141,7 @@ def load_run(spark: SparkSession, extracts: dict[str, DataFrame], as_of: str, ru
     xref = identity.resolve_party_identity(extracts["ref_party"], extracts["cbs_customer"],
                                            extracts["trd_counterparty"])
     lazy = canonical.load_all(spark, extracts, xref, as_of)
-    with ThreadPoolExecutor(parallelism) as pool:
+    with shuffles_released(spark), ThreadPoolExecutor(parallelism) as pool:
         early = [pool.submit(write_entity, (n, ld)) for n, ld in lazy.items()
                  if n not in needs_xref]
         run.replace("stg.party_xref", xref)

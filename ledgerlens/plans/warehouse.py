@@ -16,12 +16,16 @@ sees parts of two runs.
 A keyed upsert writes the incoming rows plus the existing rows of the touched dates whose
 key is not incoming (``left_anti``); a row missing from a rerun survives (ledger Q1) unless
 ``snapshot`` is asked for. The touched dates are the incoming ones, and only their folders
-are read. Append-only tables (events) get a folder with the keys not yet present; split by
-month, only the months that arrive are looked through.
-
-Tables of one row or few per arrangement are written in buckets of ``arrangement_key``
-(:data:`BUCKETED`); :meth:`Warehouse.read_dated` reads a date so that Spark knows them, and
-joins of such tables need no exchange.
+are read: the incoming rows are computed and dealt out once, into the new folder, and what
+survives is then found against the files of that folder and added to it. Append-only tables
+(events) get a folder with the keys not yet present; split by month, only the months that
+arrive are looked through.
+
+Tables of one row or few per arrangement are written in buckets of ``arrangement_key``,
+allocations in buckets of both their keys (:data:`BUCKETED`);
+:meth:`Warehouse.read_dated` reads a date so that Spark knows them, and joins of such tables
+need no exchange, nor does an upsert for the rows that are there. Surrogate keys cross an
+exchange as bytes, half as long as their text.
 """
 
 from __future__ import annotations
@@ -30,12 +34,14 @@ import hashlib
 import json
 import threading
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.functions import packed_key, unpacked_key
 from ledgerlens.plans.mapping import Mapping, lineage_frame
 from ledgerlens.schemas import LINEAGE_KEY, LINEAGE_SCHEMA, LOAD_LOG_KEY, LOAD_LOG_SCHEMA
 
@@ -76,9 +82,29 @@ def dedupe_on_keys(df: DataFrame, keys: list[str], order_cols: list[str],
             .select(*df.columns))
 
 
-#: Tables in buckets of a key, of which a date holds few rows for one key value each.
-BUCKETED = {f"canon.{t}": "arrangement_key" for t in (
-    "arrangement", "position", "arrangement_party_role", "classification")} | {"stg.inception_dates": "arrangement_key"}
+def keys_packed(df: DataFrame, cols: list[str] | tuple[str, ...] | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` with its surrogate keys (those among ``cols``) as bytes, and which these are."""
+    names = [f.name for f in df.schema.fields if f.name.endswith("_key") and f.dataType == T.StringType()
+             and (cols is None or f.name in cols)]
+    return df.withColumns({c: packed_key(c) for c in names}), names
+
+
+def unique_on_keys(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
+    """:func:`dedupe_on_keys` of whole rows, with the keys exchanged as bytes."""
+    packed, names = keys_packed(df, keys)
+    return dedupe_on_keys(packed, list(keys), []).withColumns({c: unpacked_key(c) for c in names})
+
+
+#: Tables in buckets of key columns, of which a date holds few rows for their values each.
+BUCKETED = {f"canon.{t}": ("arrangement_key",) for t in (
+    "arrangement", "position", "arrangement_party_role", "classification")} | {
+    "canon.collateral_allocation": ("collateral_key", "arrangement_key"), "stg.inception_dates": ("arrangement_key",)}
+
+#: What Spark calls the folder of the rows without a date.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+
+#: Keys are text without repetition: zstd keeps them in half the space that snappy needs.
+CODEC = "zstd"
 
 #: Hidden column by which append-only tables are split, and the expression it holds.
 MONTHLY = {"canon.trade_event": "date_format(economic_event_date, 'yyyy-MM')"}
@@ -246,8 +272,8 @@ class Warehouse:
 
     def _publish(self, table: str, schema: T.StructType, partition_col: str | None,
                  segments: list[list], base: dict, bucketed: list | None = None) -> None:
-        """``segments``: (version, folder or None, run, code version) of every folder of the
-        table, which was built on the tables of the manifest ``base``."""
+        """``segments``: (version, folder or None, run, code version, bucketing or None) of every
+        folder of the table, which was built on the tables of the manifest ``base``."""
         if self._pinned is not None and self._staged is None:
             raise ValueError("this view is for reading")
         was = (self._staged or {}).get(table, base["tables"].get(table))
@@ -336,33 +362,93 @@ class Warehouse:
         return df.select(*schema.names)
 
     def _dealt(self, table: str, df: DataFrame, among: tuple[str, ...]) -> tuple[DataFrame, bool]:
-        """``df`` dealt out by the table's buckets, if its bucket key is ``among`` these
-        columns: what then groups by them all stays where it is, and is written from there."""
-        dealt = BUCKETED.get(table) in among and BUCKETED[table] in df.columns
-        return (df.repartition(self.buckets, BUCKETED[table]) if dealt else df), dealt
+        """``df`` dealt out by the table's buckets, if its bucket columns are ``among`` these:
+        what then groups by them all stays where it is, and is written from there."""
+        cols = BUCKETED.get(table, ())
+        dealt = bool(cols) and set(cols) <= set(among) & set(df.columns)
+        return (self._by_bucket(df, cols) if dealt else df), dealt
+
+    def _by_bucket(self, df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
+        """``df`` dealt out by ``cols``, its surrogate keys as bytes on the way."""
+        packed, names = keys_packed(df)
+        text = {c: unpacked_key(c) for c in names}
+        return packed.repartition(self.buckets, *[text.get(c, F.col(c)) for c in cols]).withColumns(text)
 
     def _write(self, table: str, df: DataFrame, partition_col: str | None,
                dealt: bool = False) -> tuple[list[list], list | None]:
-        """Write a new version; its segments, and its bucketing (key, number) if any.
+        """Write a new version; its segments, and its bucketing (columns, number) if any.
         ``dealt``: its rows lie by bucket already and are not dealt out again."""
         version = uuid.uuid4().hex
         path = f"{self.path(table)}/version={version}"
-        key = BUCKETED.get(table)
-        bucketed = [key, self.buckets] if key and key in df.columns else None
-        writer = (df.repartition(self.buckets, key) if bucketed and not dealt else df).write
+        cols = BUCKETED.get(table, ())
+        bucketed = [", ".join(cols), self.buckets] if cols and set(cols) <= set(df.columns) else None
+        writer = (self._by_bucket(df, cols) if bucketed and not dealt else df).write.option("compression", CODEC)
         if partition_col:
             writer = writer.partitionBy(partition_col)
         if bucketed:  # Spark writes buckets through a table; dropping it leaves the files
             name = f"ledgerlens_{version}"
-            writer.bucketBy(self.buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+            writer.bucketBy(self.buckets, *cols).sortBy(*cols).option("path", path).format("parquet").saveAsTable(name)
             self.spark.sql(f"drop table {name}")
         else:
             writer.parquet(path)
-        stamp = [self.run_id, self.code_version]
+        return self._folders(table, version, partition_col, bucketed), bucketed
+
+    def _folders(self, table: str, version: str, partition_col: str | None, bucketed: list | None) -> list[list]:
+        """The segments of a version that this view has written."""
+        stamp = [self.run_id, self.code_version, bucketed]
         if not partition_col:
-            return [[version, None, *stamp]], bucketed
-        fs, p = self._hadoop(path)
-        return [[version, st.getPath().getName(), *stamp] for st in fs.listStatus(p) if st.isDirectory()], bucketed
+            return [[version, None, *stamp]]
+        fs, p = self._hadoop(f"{self.path(table)}/version={version}")
+        return [[version, st.getPath().getName(), *stamp] for st in fs.listStatus(p) if st.isDirectory()]
+
+    @contextmanager
+    def _as_table(self, table: str, schema: T.StructType, segments: list[list], partition_col: str | None):
+        """The name of a bucketed Spark table over ``segments``, one a date, while it is in use.
+        Folders without a date are no part of it."""
+        folder = lambda s: f"{self.path(table)}/version={s[0]}"
+        name, (key, n) = f"ledgerlens_{uuid.uuid4().hex}", segments[0][4]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        split = f"partitioned by (`{partition_col}`) " if partition_col else ""
+        self.spark.sql(f"create table {name} ({columns}) using parquet options (compression '{CODEC}') {split}clustered by ({key}) "
+                       f"sorted by ({key}) into {n} buckets location '{folder(segments[0])}'")
+        try:
+            dated = [s for s in segments if partition_col and not s[1].endswith(f"={UNDATED}")]
+            if dated:
+                self.spark.sql(f"alter table {name} add " + " ".join(
+                    f"partition (`{partition_col}` = '{s[1].split('=', 1)[1]}') location '{folder(s)}/{s[1]}'" for s in dated))
+            yield name
+        finally:
+            self.spark.sql(f"drop table {name}")
+
+    def _keep(self, table: str, keys: tuple[str, ...], partition_col: str | None, old: list[list], was: T.StructType,
+              new: list[list], schema: T.StructType) -> None:
+        """Add to the version just written (``new``) the rows of the folders ``old`` whose keys it
+        does not have.
+
+        Buckets of one number meet without an exchange: the join is on the bucket columns, whose
+        values few rows share, and tells the other keys by a condition."""
+        def written(existing: DataFrame, fresh: DataFrame, on: list[str]) -> DataFrame:
+            o, n = existing.alias("o"), fresh.select(*keys).alias("n")
+            same = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in on] + [
+                F.col(f"o.{k}").between(F.col(f"n.{k}"), F.col(f"n.{k}")) for k in keys if k not in on]
+            return o.join(n, reduce(lambda x, y: x & y, same), "left_anti").select(
+                *[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+        bucketed, folders = new[0][4], [s[1] for s in old]
+        if not bucketed:
+            kept = written(self._read(table, was, old), self._read(table, schema, new), list(keys))
+            writer = kept.write.mode("append").option("compression", CODEC)
+            (writer.partitionBy(partition_col) if partition_col else writer).parquet(f"{self.path(table)}/version={new[0][0]}")
+            return
+        cols = bucketed[0].split(", ")
+        with self._as_table(table, schema, new, partition_col) as fresh:
+            put = lambda df: df.select(*self.spark.table(fresh).columns).write.insertInto(fresh)
+            if (set(cols) <= set(keys) and (not partition_col or partition_col in keys and schema[partition_col].dataType == T.DateType())
+                    and len(folders) == len(set(folders)) and all(s[4:5] == [bucketed] for s in old)):
+                with self._as_table(table, was, old, partition_col) as stored:
+                    put(written(self.spark.table(stored), self.spark.table(fresh), cols))
+            else:
+                put(written(self._read(table, was, old), self._read(table, schema, new), list(keys)))
 
     # ------------------------------------------------------------- writes
     def replace(self, table: str, df: DataFrame) -> None:
@@ -379,28 +465,22 @@ class Warehouse:
         Of incoming rows with one key the greatest, column by column, is taken. With
         ``snapshot`` the incoming dates (or the table) are replaced: rows missing go.
         """
-        given, incoming = incoming, dedupe_on_keys(incoming, list(keys), [])
-        dated = given if partition_col in keys else incoming  # rows of one key are of one date
-
         def write(base: dict) -> None:
+            df, dealt = self._dealt(table, incoming, keys)  # one exchange serves the keys and the buckets
+            unique = dedupe_on_keys(df, list(keys), []) if dealt else unique_on_keys(df, keys)
+            new, bucketed = self._write(table, unique, partition_col, dealt)
             kept: list[list] = []
-            touched: list[list] = []
             if self.exists(table):
                 found = self._state(table)
-                kept = touched = found["segments"]
+                touched = found["segments"]
                 if partition_col:  # the folders of the incoming dates
-                    text = F.coalesce(F.col(partition_col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-                    dates = {f"{partition_col}={r[0]}" for r in dated.select(text).distinct().collect()}
-                    touched = [s for s in kept if s[1] in dates]
-                    kept = [s for s in kept if s[1] not in dates]
-                else:
-                    kept = []
-            if touched and not snapshot:
-                existing = self._read(table, T.StructType.fromJson(found["schema"]), touched)
-                new, bucketed = self._write(table, keyed_upsert(existing, incoming, keys), partition_col)
-            else:  # one exchange serves the keys and the buckets
-                df, dealt = self._dealt(table, given, keys)
-                new, bucketed = self._write(table, dedupe_on_keys(df, list(keys), []), partition_col, dealt)
+                    dates = {s[1] for s in new}
+                    if partition_col in keys and not snapshot:  # rows without a date match none
+                        dates.discard(f"{partition_col}={UNDATED}")
+                    kept = [s for s in touched if s[1] not in dates]
+                    touched = [s for s in touched if s[1] in dates]
+                if touched and not snapshot:
+                    self._keep(table, keys, partition_col, touched, T.StructType.fromJson(found["schema"]), new, incoming.schema)
             if not new and kept and not bucketed:
                 bucketed = self._state(table)["bucketed"]
             self._publish(table, incoming.schema, partition_col, new + kept, base, bucketed)
@@ -412,23 +492,29 @@ class Warehouse:
         ``month`` (by default :data:`MONTHLY`) is an expression that never changes for a
         key: the table is split by it, and only the months that arrive are searched."""
         month = month or MONTHLY.get(table)
-        incoming = dedupe_on_keys(incoming, list(keys), [])
         dated = incoming.withColumn("_month", F.coalesce(F.expr(month), F.lit("none"))) if month else incoming
+        packed, names = keys_packed(dated, keys)
+        unique = dedupe_on_keys(packed, list(keys), [])
         part = "_month" if month else None
 
         def write(base: dict) -> None:
             kept: list[list] = []
-            fresh = dated
+            fresh, held = unique, False
             if self.exists(table):
                 found = self._state(table)
                 kept = searched = found["segments"]
                 if month:
-                    months = {f"_month={r[0]}" for r in dated.select("_month").distinct().collect()}
+                    held = bool(unique.persist())
+                    months = {f"_month={r[0]}" for r in unique.select("_month").distinct().collect()}
                     searched = [s for s in kept if s[1] in months or not s[1]]
                 if searched:
-                    stored = self._read(table, T.StructType.fromJson(found["schema"]), searched)
-                    fresh = dated.join(stored.select(*keys), list(keys), "left_anti").select(*dated.columns)
-            new, _ = self._write(table, fresh, part)
+                    stored, _ = keys_packed(self._read(table, T.StructType.fromJson(found["schema"]), searched).select(*keys), keys)
+                    fresh = unique.join(stored, list(keys), "left_anti").select(*unique.columns)
+            try:
+                new, _ = self._write(table, fresh.withColumns({c: unpacked_key(c) for c in names}), part)
+            finally:
+                if held:
+                    unique.unpersist()
             self._publish(table, incoming.schema, None, kept + new, base)
         self._retried(write)
 
@@ -510,12 +596,6 @@ class Warehouse:
         for i, (m, df) in enumerate(parts):
             t = df.withColumn("_part", F.lit(i))
             tagged = t if tagged is None else tagged.unionByName(t)
-        if keys and self.exists(target):  # the merge reads the incoming rows more than once
-            held = tagged.persist()
-            n = {r["_part"]: r["n"] for r in held.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
-            self._merge(target, held.drop("_part"), keys, partition_col)
-            held.unpersist()
-            return {f"{m.rule_id} {target}": int(n.get(i, 0)) for i, (m, _) in enumerate(parts)}
         obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
         observed = tagged.observe(obs, *[F.count_if(F.col("_part") == i).alias(f"p{i}")
                                          for i in range(len(parts))]).drop("_part")

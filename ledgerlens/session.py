@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +75,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_releasing: dict[int, list] = {}
+_counting = threading.Lock()
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession):
+    """While this is open, a query's shuffle files go when it ends (from Spark 4.1) and not
+    when the driver happens to collect its plan: for writes, whose plans run once."""
+    with _counting:
+        held = _releasing.setdefault(id(spark), [0, spark.conf.get(_RELEASE, None)])
+        held[0] += 1
+        spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        with _counting:
+            held[0] -= 1
+            if not held[0]:
+                del _releasing[id(spark)]
+                spark.conf.unset(_RELEASE) if held[1] is None else spark.conf.set(_RELEASE, held[1])
+
+
 def reached(edges: DataFrame, start: DataFrame) -> DataFrame:
     """Nodes reached from ``start(node)`` over ``edges(a, b)``: ``(node, steps)`` with the
     least number of steps, 0 for the start.

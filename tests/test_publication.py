@@ -2,22 +2,30 @@
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import packed_key, unpacked_key
 from ledgerlens.operators import digests
 from ledgerlens.operators import extensions as X
 from ledgerlens.operators.checks import check_rerun_runs
 from ledgerlens.plans.pipeline import dated_canon, pipeline_from_warehouse, run_pipeline
 from ledgerlens.plans.publication import Blocked, audit_run, publish_audited
 from ledgerlens.plans.warehouse import Conflict, Warehouse
+from ledgerlens.session import shuffles_released
 from ledgerlens.sources.extracts import EXTRACT_COLUMNS, landing_counts, read_extract, read_rejects
 from ledgerlens.sources.testdata import AS_OF
 from ledgerlens.sources.testdata import testdata_extracts as extracts_of
 from tests.conftest import SF_SMALL, rows
 
 
+def rows_of(df, *cols):
+    """Rows as tuples, in no order (dates may be missing)."""
+    return list(map(tuple, df.select(*cols).collect()))
+
+
 def table(spark, *values):
     return spark.createDataFrame(values, "k string, v int, as_of_date string").withColumn("as_of_date", F.to_date("as_of_date"))
 
@@ -271,3 +279,75 @@ def test_a_bucketed_write_deals_its_rows_out_once(spark, tmpdir_path, monkeypatc
     got = rows(again.read("canon.position"), "arrangement_key", "as_of_date", "v")
     rest = lambda of: [w for w in of if (w[0], str(w[1])) != ("a0", "2026-03-31")]
     assert rest(got) == rest(good) and [w[2] for w in got if w not in rest(got)] == [-1]
+
+
+@pytest.mark.parametrize("name, keys", [("canon.position", ("arrangement_key", "as_of_date")),
+                                        ("canon.collateral_allocation", ("collateral_key", "arrangement_key", "as_of_date"))])
+def test_a_second_run_computes_and_deals_out_its_rows_once(spark, tmpdir_path, monkeypatch, name, keys):
+    """The incoming rows are written by one exchange; the stored rows that survive are found
+    in the buckets without any, added to the same folders, and read by bucket again."""
+    hashed = "substring(sha2(cast({} as string), 256), 1, 24)".format
+    df = spark.range(600).selectExpr(
+        f"{hashed('id % 300')} as arrangement_key", f"if(id % 50 = 0, 'c', {hashed('id % 7')}) as collateral_key", "cast(id as int) as v",
+        "case when id % 11 = 0 then null when id % 2 = 0 then date '2026-03-31' else date '2026-06-30' end as as_of_date")
+    one = Warehouse(spark, tmpdir_path, buckets=4).run("one", "v1")
+    one.upsert(name, df, keys)
+    one.publish()
+    first = rows_of(one.read(name), *keys, "v")
+    kind, plans = type(spark.range(1)), []
+    write = kind.write
+    monkeypatch.setattr(kind, "write", property(lambda self: (
+        plans.append(self._jdf.queryExecution().executedPlan().toString()), write.fget(self))[1]))
+    monkeypatch.setattr(kind, "persist", lambda self, *a: pytest.fail("rows are held"))
+    incoming = df.where("v < 200").withColumn("v", -F.col("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        two = one.run("two", "v1")
+        two.upsert(name, incoming, keys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [p.count("Exchange") for p in plans] == [1, 0], plans
+    new = rows_of(incoming.groupBy(*keys).agg(F.max("v").alias("v")), *keys, "v")
+    taken = {r[:-1] for r in new if r[-2] is not None}
+    want = sorted([r for r in first if r[:-1] not in taken] + new, key=str)
+    assert sorted(rows_of(two.read(name), *keys, "v"), key=str) == want
+    # each date is one folder and known by bucket; the rows without a date stay where they are
+    folders = [s[1] for s in two._state(name)["segments"]]
+    assert sorted(folders) == ["as_of_date=2026-03-31", "as_of_date=2026-06-30", *["as_of_date=__HIVE_DEFAULT_PARTITION__"] * 2]
+    dated = two.read_dated(name, "2026-03-31")
+    by = dated.groupBy(*keys[:-1]).agg(F.sum("v").alias("v"))
+    assert "Exchange" not in by._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, by.collect())) == sorted((*r[:-2], r[-1]) for r in want if str(r[-2]) == "2026-03-31")
+    # another number of buckets: the stored ones are read as any files, with the same result
+    two.publish()
+    three = Warehouse(spark, tmpdir_path, buckets=3).run("three", "v1")
+    three.upsert(name, df.where("v = 2").withColumn("v", F.lit(7000)), keys)
+    last = [(*r[:-1], 7000) if r[:-1] == gone else r for gone in [rows_of(df.where("v = 2"), *keys)[0]] for r in want]
+    assert sorted(rows_of(three.read(name), *keys, "v"), key=str) == sorted(last, key=str)
+
+
+def test_a_packed_key_comes_back(spark):
+    values = ["", None, "a", "0123456789ab", "12345678901", "abcdef0123456789abcdef01", "ABCDEF0123456789ABCDEF01", "\u00e9" * 12,
+              "\x02abc", "\x02\x02", "\x01", "\u00e923456789\u00e9", "0" * 24, "0" * 23 + "g", "0" * 23, "0" * 48]
+    df = spark.createDataFrame([(v,) for v in values], "k string").withColumn("p", packed_key("k"))
+    got = df.withColumn("back", unpacked_key("p")).collect()
+    assert [r.back for r in got] == values and len({r.p and bytes(r.p) for r in got}) == len(values)
+    assert [len(r.p) for r in got if r.k and len(r.p) == 12 and len(r.k) != 24] == []
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark, tmpdir_path):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files().mkString(" ")))
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(setting, None), shuffled()
+    run = Warehouse(spark, tmpdir_path, buckets=4).run("one", "v1")
+    df = spark.range(5000).selectExpr("cast(id as string) as arrangement_key", "date '2026-03-31' as as_of_date")
+    with shuffles_released(spark):
+        with shuffles_released(spark):
+            run.upsert("canon.position", df, ("arrangement_key", "as_of_date"))
+        run.upsert("canon.other", df, ("arrangement_key", "as_of_date"))
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(setting, None) == was
+    assert run.read("canon.position").count() == run.read("canon.other").count() == 5000
